@@ -22,6 +22,21 @@ class Ingested(NamedTuple):
     rejects: DataFrame
 
 
+def mark_trades(
+    valid: DataFrame,
+    horizon: int | None = None,
+    threshold_pct: float = C.SPIKE_THRESHOLD_PCT,
+    order_by: Sequence[str] = ARRIVAL,
+    block: str | None = "10 minutes",
+) -> DataFrame:
+    """Valid trades with ``is_duplicate`` and ``is_price_spike``, the batch form of the keyed
+    stream state: a spike is measured against the previous trade that is not a duplicate."""
+    marked = durable(mark_duplicates(valid, horizon, order_by))
+    kept = flag_spikes(marked.filter(~F.col("is_duplicate")), threshold_pct, order_by, block)
+    copies = marked.filter("is_duplicate").withColumn("is_price_spike", F.lit(False))
+    return kept.unionByName(copies)
+
+
 def ingest_messages(
     messages: DataFrame,
     value: str = "value",
@@ -34,13 +49,12 @@ def ingest_messages(
     messages. Messages are parsed once: the checked rows are written out before they branch."""
     checked = validate_trades(unwrap_messages(messages, value)).drop(value, "raw", "parse_ok")
     accepted, refused = split_rejects(durable(checked))
-    marked = durable(mark_duplicates(accepted, horizon, order_by))
-    duplicate = marked.filter("is_duplicate").drop("is_duplicate")
+    marked = mark_trades(accepted, horizon, threshold_pct, order_by)
+    copies = marked.filter("is_duplicate").drop("is_duplicate", "is_price_spike")
     rejects = refused.unionByName(
-        duplicate.withColumn("reject_reason", F.lit(C.DUPLICATE)), allowMissingColumns=True
+        copies.withColumn("reject_reason", F.lit(C.DUPLICATE)), allowMissingColumns=True
     )
-    kept = marked.filter(~F.col("is_duplicate"))
-    return Ingested(enrich_trades(flag_spikes(kept, threshold_pct, order_by), source), rejects)
+    return Ingested(enrich_trades(marked.filter(~F.col("is_duplicate")), source), rejects)
 
 
 class WindowTables(NamedTuple):

@@ -27,10 +27,9 @@ def mark_stream(
     bound them with ``max_per_trigger`` of the source. The state outlives a restart.
     """
     order = list(order_by)
-    schema = StructType(valid.schema.fields)
-    for name in ("is_duplicate", "is_price_spike"):
-        if name in schema.names:
-            schema = StructType([f for f in schema.fields if f.name != name])
+    marks = ("is_duplicate", "is_price_spike")
+    schema = StructType([f for f in valid.schema.fields if f.name not in marks])
+    for name in marks:
         schema = schema.add(name, BooleanType())
 
     def mark(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
