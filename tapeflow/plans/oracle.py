@@ -100,6 +100,26 @@ _DEDUP_COLUMNS = """symbol, round(price + 1e-9, 6) AS price, quantity, trade_val
 ORACLE["dedup_recent"] = f"WITH {MARKED} SELECT {_DEDUP_COLUMNS} FROM kept"
 ORACLE["mark_duplicates"] = f"WITH {MARKED} SELECT {_DEDUP_COLUMNS}, is_duplicate FROM marked"
 
+# The bounded memory as a fold over the trades of a symbol in order.
+ORACLE["dedup_recent_2000"] = f"""
+WITH {LINEITEM},
+ordered AS (
+  SELECT list(li ORDER BY timestamp_ms, trade_id, price, quantity, trade_value_usdt, is_buyer_maker)
+         AS trades FROM li GROUP BY symbol),
+folded AS (
+  SELECT trades, list_reduce(
+      list_transform(trades, lambda t: {{'memory': [t.trade_id], 'flags': [false]}}),
+      lambda a, x: CASE WHEN list_contains(a.memory, x.memory[1])
+        THEN {{'memory': a.memory, 'flags': list_append(a.flags, true)}}
+        ELSE {{'memory': list_append(a.memory[-1999:], x.memory[1]),
+               'flags': list_append(a.flags, false)}} END).flags AS flags
+  FROM ordered)
+SELECT t.symbol AS symbol, round(t.price + 1e-9, 6) AS price, t.quantity AS quantity,
+       t.trade_value_usdt AS trade_value_usdt, t.timestamp_ms AS timestamp_ms,
+       t.is_buyer_maker AS is_buyer_maker, false AS is_price_spike, t.trade_id AS trade_id,
+       'synthetic' AS source, is_duplicate
+FROM (SELECT unnest(trades) AS t, unnest(flags) AS is_duplicate FROM folded)"""
+
 ORACLE["flag_spikes_by_time"] = f"""
 WITH {EVENTS}
 SELECT symbol, price, quantity, trade_value_usdt, timestamp_ms, is_buyer_maker, trade_id,
