@@ -43,7 +43,7 @@ def main() -> None:
         shown = peek_trades(records, args.limit).writeStream.format("console").outputMode("append")
         shown.option("truncate", "false").start().awaitTermination()
     else:
-        start_pipeline(spark, settings, json_dir=getattr(args, "json_dir", None))
+        start_pipeline(spark, settings, json_dir=getattr(args, "json_dir", None), files_per_batch=1)
         spark.streams.awaitAnyTermination()
 
 

@@ -99,18 +99,21 @@ def start_window_query(
     settings: Settings,
     trigger: Trigger | None = None,
     partition_by: str | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Start one window table into the sink of the settings: updates on the console, or finished
     windows appended as parquet.
 
-    The few rows of a micro-batch are gathered by date before they are written, so that a live
-    batch makes one file and a backfill one per day, not one per shuffle partition.
+    Window rows are gathered by date before they are written, not one file per shuffle
+    partition: a backfill writes one file per day. ``files_per_batch=1`` suits a live stream,
+    whose micro-batches finish a few windows of each symbol.
     """
     if settings.sink == "console":
         writer = windows.writeStream.format("console").outputMode("update")
         writer = writer.option("numRows", _CONSOLE_ROWS).option("truncate", "false")
     elif settings.sink == "parquet":
-        writer = windows.repartition("event_date").writeStream.format("parquet").outputMode("append")
+        rows = windows.repartition(*([files_per_batch] if files_per_batch else []), "event_date")
+        writer = rows.writeStream.format("parquet").outputMode("append")
         writer = writer.option("path", settings.output_path(table))
         if partition_by:
             writer = writer.partitionBy(partition_by)
@@ -128,6 +131,7 @@ def start_pipeline(
     dedup: str | None = "unbounded",
     trigger: Trigger | None = None,
     partition_by: str | None = None,
+    files_per_batch: int | None = None,
 ) -> list[StreamingQuery]:
     """Both window tables from one stream of clean trades, each with its own checkpoint. Wait
     with ``spark.streams.awaitAnyTermination()``, which reports the first query that fails."""
@@ -137,7 +141,7 @@ def start_pipeline(
     trades = clean_trades(parse_clean_trades(messages), settings.watermark, dedup)
     tables = {C.TUMBLING_NAME: aggregate_tumbling(trades), C.SLIDING_NAME: aggregate_sliding(trades)}
     return [
-        start_window_query(windows, table, settings, trigger, partition_by)
+        start_window_query(windows, table, settings, trigger, partition_by, files_per_batch)
         for table, windows in tables.items()
     ]
 
