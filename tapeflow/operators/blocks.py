@@ -30,8 +30,10 @@ def millis_block(timestamp_ms: Column, width: str) -> Column:
 
 
 def total_order(df: DataFrame, order_by: Sequence[str]) -> list[str]:
-    """``order_by`` followed by every other column, so that no tie is left open."""
-    return [*order_by, *[name for name in df.columns if name not in order_by]]
+    """``order_by`` followed by every other column, so that no tie is left open; the columns that
+    only render ``timestamp_ms`` are left out, so that they need not be computed to sort."""
+    rendered = ("event_time", "trade_time") if "timestamp_ms" in df.columns else ()
+    return [*order_by, *[c for c in df.columns if c not in order_by and c not in rendered]]
 
 
 def range_parts(
@@ -46,6 +48,7 @@ def range_parts(
     Ranges are cut by row count over the whole order, so neither a hot symbol nor a hot minute
     makes a large part. Without ``parts`` the rows are counted first, so that parts keep their
     size when the data grows. The result is written out once, since the cuts come from a sample.
+    Counting, sampling and sorting each read ``df``: hand over a stored table.
     """
     if parts is None:
         shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -65,39 +68,47 @@ def with_halo(
     df: DataFrame,
     key: Sequence[str],
     order_by: Sequence[str],
+    values: Sequence[str],
     before: int = 0,
     after: int = 0,
     block: str = BLOCK,
 ) -> DataFrame:
     """``df`` plus, for each block, copies of the last ``before`` rows ahead of it and the first
-    ``after`` rows behind it, marked by ``_halo``.
+    ``after`` rows behind it, marked by ``_halo``. Copies carry key, order and ``values`` only.
 
     Blocks must follow ``order_by`` within a key. Only the rows at block edges are exchanged
     between blocks: a map-side row limit keeps ``before`` (``after``) of them per task and block.
     """
     key, order_by = list(key), list(order_by)
-    rest = [name for name in df.columns if name not in {*key, block, *order_by}]
-    payload = F.struct(*order_by, *rest)
+    carried = [*order_by, *[c for c in values if c not in order_by]]
+    types = dict(df.dtypes)
     result = df.withColumn(HALO, F.lit(False))
+    # The block number first: Spark sorts by the bits of a leading number.
+    group = [block, *key]
     for rows, step in ((before, -1), (after, 1)):
         if not rows:
             continue
         edge = [F.col(name).desc() if step < 0 else F.col(name) for name in order_by]
-        edge_rows = df.withColumn(
-            "_rank", F.row_number().over(Window.partitionBy(*key, block).orderBy(*edge))
-        ).filter(F.col("_rank") <= rows)
-        edges = edge_rows.groupBy(*key, block).agg(
-            F.sort_array(F.collect_list(payload)).alias("_rows")
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(*edge))
+        edges = (
+            df.select(*group, *carried)
+            .withColumn("_rank", rank)
+            .filter(F.col("_rank") <= rows)
+            .groupBy(*group)
+            .agg(F.sort_array(F.collect_list(F.struct(*carried))).alias("_rows"))
         )
         # A block may hold fewer rows than the frame reaches, so look over several blocks.
         around = Window.partitionBy(*key).orderBy(block)
         around = around.rowsBetween(-rows, -1) if step < 0 else around.rowsBetween(1, rows)
         near = edges.withColumn("_rows", F.flatten(F.collect_list("_rows").over(around)))
         start = F.greatest(F.size("_rows") - rows + 1, F.lit(1)) if step < 0 else F.lit(1)
-        halo = (
-            near.select(*key, block, F.explode(F.slice("_rows", start, F.lit(rows))).alias("_row"))
-            .select(*key, block, "_row.*", F.lit(True).alias(HALO))
-            .select(*result.columns)
+        near = near.select(*group, F.explode(F.slice("_rows", start, F.lit(rows))).alias("_row"))
+        known = {name: F.col(name) for name in group}
+        known |= {name: F.col("_row")[name] for name in carried}
+        result = result.union(
+            near.select(
+                *[known.get(c, F.lit(None).cast(types[c])).alias(c) for c in df.columns],
+                F.lit(True).alias(HALO),
+            )
         )
-        result = result.union(halo)
     return result

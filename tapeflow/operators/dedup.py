@@ -11,13 +11,15 @@ from ..session import durable
 from . import blocks as B
 from .spikes import ARRIVAL
 
-KEY = ("symbol", "trade_id")
+# The number first: Spark sorts by the bits of a leading number, but compares texts row by row.
+KEY = ("trade_id", "symbol")
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order_by: Sequence) -> DataFrame:
     """The first row of each key. Spark limits each group to one row per map task before the
     shuffle, so a group of many copies stays small."""
-    first = Window.partitionBy(*key).orderBy(*order_by)
+    order = [c for c in order_by if not (isinstance(c, str) and c in key)]
+    first = Window.partitionBy(*key).orderBy(*(order or [F.lit(0)]))
     return df.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
 
 
@@ -27,7 +29,7 @@ def dedup_recent(
     """Drop a trade whose id is among the last ``horizon`` accepted ids of its symbol;
     ``None`` remembers all ids. Ties in ``order_by`` are broken by the other columns."""
     if horizon is None:
-        return keep_first(df, KEY, B.total_order(df, [c for c in order_by]))
+        return keep_first(df, KEY, B.total_order(df, order_by))
     return mark_duplicates(df, horizon, order_by).filter(~F.col("is_duplicate")).drop("is_duplicate")
 
 
@@ -133,4 +135,4 @@ def dedup_windows(df: DataFrame) -> DataFrame:
     rest = [c for c in df.columns if c not in ("symbol", "window_start", "trade_count", "window_end")]
     if not {"symbol", "window_start"} <= set(df.columns):
         return df
-    return keep_first(df, ("symbol", "window_start"), first + rest or ["symbol"])
+    return keep_first(df, ("window_start", "symbol"), first + rest)

@@ -10,7 +10,7 @@ from . import blocks as B
 
 
 def framed(df: DataFrame, columns: Mapping, before: int, after: int, block: str | None) -> DataFrame:
-    """Add columns that need a row frame per symbol in window order.
+    """Add columns that need a row frame over ``avg_price`` per symbol in window order.
 
     ``columns`` maps a name to a function from the window specification to a column.
     """
@@ -19,8 +19,8 @@ def framed(df: DataFrame, columns: Mapping, before: int, after: int, block: str
     rows = df.select(*keep)
     if block:
         rows = rows.withColumn(B.BLOCK, B.time_block(F.col("window_start"), block))
-        rows = B.with_halo(rows, key, ["window_start"], before, after)
-        key.append(B.BLOCK)
+        rows = B.with_halo(rows, key, ["window_start"], ["avg_price"], before, after)
+        key.insert(0, B.BLOCK)
     order = Window.partitionBy(*key).orderBy("window_start")
     rows = rows.withColumns({name: make(order) for name, make in columns.items()})
     if block:

@@ -35,8 +35,9 @@ def flag_spikes(
             raise ValueError("time blocks need an order that starts with timestamp_ms")
         df = df.withColumn(B.BLOCK, B.millis_block(F.col("timestamp_ms"), block))
     if block:
-        df = B.with_halo(df, key, order_by, before=1)
-        key.append(B.BLOCK)
+        df = B.with_halo(df, key, order_by, ["price"], before=1)
+        # The block number first: Spark sorts by the bits of a leading number.
+        key.insert(0, B.BLOCK)
     arrival = Window.partitionBy(*key).orderBy(*order_by)
     previous = F.lag("price").over(arrival)
     flagged = df.withColumn("is_price_spike", X.is_spike(F.col("price"), previous, threshold_pct))

@@ -83,7 +83,7 @@ def stats_snapshots(
     ``span`` snapshots, so no task sees more than a part or a span.
     """
     order = B.total_order(marked, order_by)
-    parts = B.range_parts(marked, order)
+    parts = B.range_parts(durable(marked), order)
     accepted = (~F.col("is_duplicate")).cast("bigint")
     per_part = parts.groupBy(B.PART).agg(F.sum(accepted).alias("_accepted"))
     # One row per part: the only place where all parts meet.

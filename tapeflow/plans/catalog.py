@@ -180,7 +180,7 @@ def flag_spikes_by_time(spark, sf_dir):
 
 @query()
 def flag_spikes_by_range(spark, sf_dir):
-    trades = D.dedup_recent(lineitem(spark, sf_dir))
+    trades = durable(D.dedup_recent(lineitem(spark, sf_dir)))
     return flag_spikes(trades, threshold_pct=50.0, block="range").drop("event_time", "trade_time")
 
 

@@ -36,7 +36,7 @@ def events_as_trades(events: DataFrame) -> DataFrame:
         events,
         symbol="upper(event_type)",
         price="value",
-        quantity="1.0 + user_id % 10",
+        quantity="cast(1 + user_id % 10 as double)",
         timestamp_ms="unix_millis(cast(ts as timestamp))",
         is_buyer_maker="user_id % 2 = 0",
         trade_id="event_id",

@@ -32,6 +32,10 @@ def check(spark, text, **options):
         (message(m="false"), "bad_type"),
         (message(m=1), "bad_type"),
         (message(t=None), "bad_type"),
+        (message(T="12.5"), "bad_type"),
+        (message(T="12"), None),
+        (message(T=12.7), None),
+        (message(p=" 1 "), None),
         (message(s=""), "empty_symbol"),
         (message(p=3, q=4.5), None),
         ("{}", "missing_field"),

@@ -47,7 +47,7 @@ def test_halo_reaches_over_thin_blocks(trades):
     # One row per block, so nine rows back means nine blocks back.
     table = trades(*[("A", float(i), i, i) for i in range(20)]).select("symbol", "price", "trade_id")
     blocked = table.withColumn(BLOCK, F.col("trade_id"))
-    halo = with_halo(blocked, ["symbol"], ["trade_id"], before=9, after=2).filter(HALO)
+    halo = with_halo(blocked, ["symbol"], ["trade_id"], ["price"], before=9, after=2).filter(HALO)
     last = sorted(r.trade_id for r in halo.filter(F.col(BLOCK) == 15).collect())
     assert last == [*range(6, 15), 16, 17]
 
