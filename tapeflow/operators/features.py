@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as X
+from ..session import durable
 from . import blocks as B
 
 
@@ -75,9 +76,12 @@ def price_features(df: DataFrame, block: str | None = "1 day") -> DataFrame:
         after=1,
         block=block,
     )
-    # Partially aggregated per symbol and joined back: no frame over a whole symbol.
-    volume = df.groupBy("symbol").agg(
-        F.avg("sum_value").alias("_mean"), F.stddev_samp("sum_value").alias("_std")
+    # Partially aggregated per symbol and joined back: no frame over a whole symbol. Stored first,
+    # so that the join is planned with its size.
+    volume = durable(
+        df.groupBy("symbol").agg(
+            F.avg("sum_value").alias("_mean"), F.stddev_samp("sum_value").alias("_std")
+        )
     )
     zscore = (F.col("sum_value") - F.col("_mean")) / F.col("_std")
     return (

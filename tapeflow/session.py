@@ -2,6 +2,9 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +49,9 @@ def durable_dir(spark: SparkSession) -> str:
     return known
 
 
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -55,5 +61,23 @@ def durable(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{durable_dir(spark).rstrip('/')}/tapeflow/{uuid.uuid4().hex}"
+    if (written := _written.get()) is not None:
+        written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that :func:`durable` writes inside the block when it ends, for jobs that
+    run again and again. Results must be written before that."""
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        paths = _written.get()
+        _written.reset(token)
+        for path in paths:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            files.delete(target, True)

@@ -17,6 +17,7 @@ from ..operators.windows import (
 )
 from ..plans.pipelines import score_windows
 from ..schemas import TUMBLING_TABLE
+from ..session import temporary_tables
 from ..settings import Settings
 from ..sources.tables import read_window_table
 from ..sources.topics import read_trade_stream, topic_sink_options
@@ -169,9 +170,11 @@ def refresh_scores(
     source = settings.output_path(table)
 
     def refresh(_: DataFrame, batch_id: int) -> None:
-        windows = read_window_table(spark, source, sort=False)
-        scored = score_windows(windows, symbols)
-        scored.write.mode("overwrite").parquet(f"{settings.output_path(name)}/refresh={batch_id}")
+        with temporary_tables(spark):
+            windows = read_window_table(spark, source, sort=False)
+            scored = score_windows(windows, symbols)
+            target = f"{settings.output_path(name)}/refresh={batch_id}"
+            scored.write.mode("overwrite").parquet(target)
 
     grown = spark.readStream.schema(TUMBLING_TABLE).parquet(source).select("window_start")
     writer = grown.writeStream.queryName(name).foreachBatch(refresh)

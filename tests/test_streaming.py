@@ -1,6 +1,7 @@
 import json
 import os
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,9 @@ from tapeflow import constants as C
 from tapeflow.operators import windows as W
 from tapeflow.operators.ingest import split_rejects, unwrap_messages, validate_trades
 from tapeflow.plans.pipelines import ingest_messages, mark_trades
+from tapeflow.session import durable_dir
 from tapeflow.settings import Settings
+from tapeflow.sources.synthetic import synth_window_tables
 from tapeflow.sources.tables import read_window_table
 from tapeflow.sources.topics import read_trade_messages, read_trade_stream
 from tapeflow.schemas import SLIDING_TABLE
@@ -217,10 +220,8 @@ def test_layers_and_statistics(spark, feed, settings):
 
 
 def test_scores_are_refreshed(spark, settings):
-    from datetime import datetime
-
-    from tapeflow.sources.synthetic import synth_window_tables
-
+    stored = os.path.join(durable_dir(spark).removeprefix("file:"), "tapeflow")
+    before = set(os.listdir(stored)) if os.path.isdir(stored) else set()
     tumbling, _ = synth_window_tables(spark, datetime(2024, 1, 1))
     path = settings.output_path(C.TUMBLING_NAME)
     tumbling.filter("minute(window_start) < 40").write.mode("append").parquet(path)
@@ -231,3 +232,5 @@ def test_scores_are_refreshed(spark, settings):
     counts = {r.refresh: r["count"] for r in scores.groupBy("refresh").count().collect()}
     assert counts == {0: 80, 1: 120}
     assert {"anomaly", "anomaly_score", "predicted_price", "pred_error"} <= set(scores.columns)
+    # Intermediate tables of a refresh are gone.
+    assert set(os.listdir(stored)) == before
