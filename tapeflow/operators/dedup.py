@@ -81,37 +81,33 @@ def _mark_within_horizon(df: DataFrame, horizon: int, order: Sequence[str]) -> D
     rounds do. A task holds one block's ids and ``horizon`` carried ids.
     """
     spark = df.sparkSession
-    key = ["symbol", B.PART]
+    key, pos = ["symbol", B.PART], B.POS
     parts = B.range_parts(df, ["symbol", *[c for c in order if c != "symbol"]])
-    rows = parts.select(*key, B.POS, "trade_id")
+    rows = parts.select(*key, pos, "trade_id")
     key_types = ", ".join(f"`{c}` {parts.schema[c].dataType.simpleString()}" for c in key)
-    memory_type = f"{key_types}, recent array<bigint>"
-
-    def carried(memory: pd.DataFrame) -> Sequence[int]:
-        return memory["recent"].iloc[0] if len(memory) else ()
+    # A block's result: the memory it hands on, and the places of its duplicates.
+    result_type = f"{key_types}, recent array<bigint>, copies array<bigint>"
 
     def run_block(block: pd.DataFrame, memory: pd.DataFrame) -> pd.DataFrame:
-        ids = block.sort_values(B.POS)["trade_id"].tolist()
-        if not ids:
-            return pd.DataFrame({c: [] for c in [*key, "recent"]})
-        _, recent = flag_recent(ids, carried(memory), horizon)
-        return pd.DataFrame({**{c: [block[c].iloc[0]] for c in key}, "recent": [recent]})
-
-    def flag_block(block: pd.DataFrame, memory: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values(B.POS)
-        flags, _ = flag_recent(block["trade_id"].tolist(), carried(memory), horizon)
-        return block[[B.PART, B.POS]].assign(is_duplicate=flags)
-
-    def per_block(rows: DataFrame, memory: DataFrame, function, schema: str) -> DataFrame:
+        if block.empty:
+            return pd.DataFrame({c: [] for c in [*key, "recent", "copies"]})
+        block = block.sort_values(pos)
+        known = memory["recent"].iloc[0] if len(memory) else ()
+        flags, recent = flag_recent(block["trade_id"].tolist(), known, horizon)
+        copies = block[pos].to_numpy()[flags]
+        first = {c: [block[c].iloc[0]] for c in key}
+        return pd.DataFrame({**first, "recent": [recent], "copies": [copies.tolist()]})
+
+    def run(rows: DataFrame, memory: DataFrame) -> DataFrame:
         pairs = rows.groupBy(*key).cogroup(memory.groupBy(*key))
-        return pairs.applyInPandas(function, schema)
+        return pairs.applyInPandas(run_block, result_type)
 
     following = F.lead(B.PART).over(Window.partitionBy("symbol").orderBy(B.PART))
     links = durable(rows.select(*key).distinct().withColumn("_next", following))
-    incoming = spark.createDataFrame([], memory_type)
-    outgoing = durable(per_block(rows, incoming, run_block, memory_type))
+    incoming = spark.createDataFrame([], f"{key_types}, recent array<bigint>")
+    results = durable(run(rows, incoming))
     while True:
-        handed = outgoing.join(links.filter("_next is not null"), key).select(
+        handed = results.join(links.filter("_next is not null"), key).select(
             "symbol", F.col("_next").alias(B.PART), "recent"
         )
         before = incoming.withColumnRenamed("recent", "_before")
@@ -120,12 +116,15 @@ def _mark_within_horizon(df: DataFrame, horizon: int, order: Sequence[str]) -> D
         incoming = handed.drop("_before")
         if stale.isEmpty():
             break
-        rerun = per_block(rows.join(stale.select(*key), key, "left_semi"), stale, run_block, memory_type)
-        outgoing = durable(outgoing.join(stale, key, "left_anti").unionByName(rerun))
+        again = run(rows.join(stale.select(*key), key, "left_semi"), stale)
+        results = durable(results.join(stale, key, "left_anti").unionByName(again))
 
-    pos_type = f"`{B.PART}` bigint, `{B.POS}` bigint, is_duplicate boolean"
-    flags = per_block(rows, incoming, flag_block, pos_type)
-    return parts.join(flags, [B.PART, B.POS]).drop(B.PART, B.POS)
+    copies = results.select(B.PART, F.explode("copies").alias(pos), F.lit(True).alias("_copy"))
+    return (
+        parts.join(copies, [B.PART, pos], "left")
+        .withColumn("is_duplicate", F.coalesce("_copy", F.lit(False)))
+        .drop(B.PART, pos, "_copy")
+    )
 
 
 def dedup_windows(df: DataFrame) -> DataFrame:
