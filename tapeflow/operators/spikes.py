@@ -23,7 +23,8 @@ def flag_spikes(
     ``block`` cuts each symbol by time, so that a hot symbol is spread over many tasks; it
     needs ``order_by`` to start with ``timestamp_ms``. ``block="range"`` cuts by row count
     whatever the order, at the price of one sort and one write of the rows. ``None`` is the
-    plain window, for data with small symbols.
+    plain window, for data with small symbols. Blocks read ``df`` twice or more: hand over a
+    stored table.
     """
     order_by = list(order_by)
     columns = df.columns

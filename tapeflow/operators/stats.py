@@ -82,8 +82,9 @@ def stats_snapshots(
     count comes from range parts and their offsets, and running totals are carried over spans of
     ``span`` snapshots, so no task sees more than a part or a span.
     """
-    order = B.total_order(marked, order_by)
-    parts = B.range_parts(durable(marked), order)
+    # Only what the statistics use; rows that tie in all of it are interchangeable.
+    order = list(dict.fromkeys([*order_by, "symbol", "is_duplicate", "price", "quantity", "is_price_spike"]))
+    parts = B.range_parts(durable(marked.select(*order)), order)
     accepted = (~F.col("is_duplicate")).cast("bigint")
     per_part = parts.groupBy(B.PART).agg(F.sum(accepted).alias("_accepted"))
     # One row per part: the only place where all parts meet.

@@ -227,8 +227,8 @@ def sliding_5m_1m_expanded(spark, sf_dir):
 
 @query(digits=2)
 def tumbling_1m_lineitem(spark, sf_dir):
-    trades = flag_spikes(W.clean_trades(lineitem(spark, sf_dir)))
-    return W.aggregate_tumbling(trades)
+    trades = durable(W.clean_trades(lineitem(spark, sf_dir)))
+    return W.aggregate_tumbling(flag_spikes(trades))
 
 
 @query()
@@ -358,7 +358,7 @@ def message_count(spark, sf_dir):
 
 @query()
 def quality_report(spark, sf_dir):
-    trades = durable(flag_spikes(W.clean_trades(events(spark, sf_dir))))
+    trades = durable(flag_spikes(durable(W.clean_trades(events(spark, sf_dir)))))
     return quality(trades, W.aggregate_tumbling(trades), ["CLICK", "VIEW", "NONE"])
 
 
