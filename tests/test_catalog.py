@@ -28,7 +28,10 @@ def rows_of(frame):
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, database, name):
-    got = queries()[name](spark, SF_DIR).toPandas()
+    table = queries()[name](spark, SF_DIR)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    got = table.toPandas()
     assert len(got)
     if name in oracle_sql():
         want = database.execute(oracle_sql()[name]).df()
