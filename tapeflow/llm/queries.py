@@ -6,10 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing
-from .common import read_table
+from . import bpe, langid, mixing, tokencount, toxicity
+from .common import held_out, read_table
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
+WORD_RANKS = "word_bpe_49k.json"
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    known = docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text").join(labels, "doc_id")
+    scored = toxicity.score(docs, toxicity.fit(known, "toxic"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,5 +32,22 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op4_mixing": op4_mixing}
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~held_out(F.col("doc_id"))))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_RANKS))
+
+
+QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op4_mixing": op4_mixing,
+    "op5_language": op5_language,
+    "op6_token_counts": op6_token_counts,
+}
 ORACLE = {"op4_mixing": mixing.SQL}
