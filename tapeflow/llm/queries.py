@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, tokencount, toxicity
+from . import bpe, langid, mixing, quality, tokencount, toxicity
 from .common import held_out, read_table
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -43,11 +43,17 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_RANKS))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.assess(read_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
     "op6_token_counts": op6_token_counts,
+    "op10_quality": op10_quality,
 }
 ORACLE = {"op4_mixing": mixing.SQL}
