@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, quality, tokencount, toxicity
+from . import bpe, langid, mixing, pii, quality, tokencount, toxicity
 from .common import held_out, read_table
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -15,8 +15,8 @@ WORD_RANKS = "word_bpe_49k.json"
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    known = docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text").join(labels, "doc_id")
+    labels = read_table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    known = toxicity.labelled_sample(docs, labels, "toxic")
     scored = toxicity.score(docs, toxicity.fit(known, "toxic"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
@@ -43,6 +43,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_RANKS))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read_table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.assess(read_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality")
@@ -54,6 +58,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
     "op6_token_counts": op6_token_counts,
+    "op9_pii": op9_pii,
     "op10_quality": op10_quality,
 }
 ORACLE = {"op4_mixing": mixing.SQL}

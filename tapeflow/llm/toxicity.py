@@ -127,6 +127,15 @@ class Matcher:
         return [1.0, 1.0, math.log1p(total), math.log1p(1000 * total / words)]
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Texts with labels, ``docs_per_class`` of each label at most. The rows are chosen before the texts
+    are read, so the side that is sent to all tasks is bounded and no text is shuffled."""
+    pairs = labels.select(labels[id_col].alias("of"), labels[label_col].cast("int").alias(label_col))
+    ids = bounded_sample(pairs.where(F.col(label_col).isin(0, 1)), label_col, settings.docs_per_class)
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias(text_col))
+    return texts.join(F.broadcast(ids), F.col("id") == F.col("of")).select(label_col, text_col)
+
+
 def fit(docs: DataFrame, label_col: str, settings: Settings = Settings(), text_col: str = "text") -> Lexicon:
     """Learns from labelled texts (label 0 or 1). What is collected is bounded by the settings."""
     labelled = docs.select(docs[label_col].cast("int").alias("label"), text_of(docs, text_col).alias("text"))
