@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, pii, quality, tokencount, toxicity
+from . import bpe, langid, mixing, neardup, pii, quality, tokencount, toxicity
 from .common import held_out, read_table
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -43,6 +43,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_RANKS))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(read_table(spark, sf_dir, "documents"), neardup.Settings(shingle=4))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read_table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
     "op6_token_counts": op6_token_counts,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
 }
