@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, mixing, neardup, pii, quality, tokencount, toxicity
+from . import ann, bpe, langid, mixing, neardup, pii, quality, tokencount, toxicity
 from .common import held_out, read_table
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return ann.neighbours(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return bpe.digest_documents(docs, public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
@@ -58,6 +63,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_neighbours": op2_neighbours,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
