@@ -95,7 +95,7 @@ def neighbours(
     blocks = max(1, -(-vectors.count() // settings.rows_per_block))
     parts = max(1, -(-asked.count() // settings.queries_per_block))
     left = vectors.withColumns({"block": F.pmod(F.xxhash64("id"), F.lit(blocks)), "part": F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))})
-    right = asked.withColumns({"part": F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"), "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long")})
+    right = asked.withColumns({"part": F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"), "block": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))})
 
     def search(data: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
         if not len(data) or not len(ask):
