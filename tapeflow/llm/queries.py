@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, mixing, neardup, pii, quality, tokencount, toxicity
+from . import ann, bpe, langid, mixing, neardup, pii, quality, repeats, tokencount, toxicity
 from .common import held_out, read_table
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -48,6 +48,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_RANKS))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.cleaned(read_table(spark, sf_dir, "documents"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(read_table(spark, sf_dir, "documents"), neardup.Settings(shingle=4))
 
@@ -68,6 +72,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
     "op6_token_counts": op6_token_counts,
+    "op7_repeats": op7_repeats,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
