@@ -149,7 +149,7 @@ def pairs(path: str, pattern: str) -> BytePairs:
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_tokens, ids (binary, 4 bytes each), decoded (binary).
+    """One row per document: id, n_tokens, ids (binary, 4 bytes each), decodes (the ids give the text's bytes back).
 
     ``path`` is a rank file that every executor can open. A null text counts as empty and gives no
     ids. Texts of any length are encoded whole. Repeated rows give repeated rows, other columns are
@@ -160,12 +160,12 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
     def run(parts: Iterator[dict]) -> Iterator[list]:
         coder = pairs(path, pattern)
         for part in parts:
-            for one, text in zip(part["id"], part["text"]):  # a row at a time: a text's ids may be long
-                ids = coder.encode(text)
-                yield [[one], [len(ids) // 4], [ids], [coder.decode(ids)]]
+            ids = [coder.encode(text) for text in part["text"]]
+            back = [coder.decode(i) == text.encode("utf-8", "replace") for i, text in zip(ids, part["text"])]
+            yield [part["id"], [len(i) // 4 for i in ids], ids, back]
 
     narrow = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
-    return map_rows(narrow, run, f"`{id_col}` {kind}, n_tokens bigint, ids binary, decoded binary")
+    return map_rows(narrow, run, f"`{id_col}` {kind}, n_tokens bigint, ids binary, decodes boolean")
 
 
 def digest_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
