@@ -112,19 +112,25 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return 100 * both >= round(100 * similarity) * (len(a) + len(b) - both)
 
 
+def node_of(shingles: np.ndarray) -> int:
+    """A 64-bit digest of a shingle set."""
+    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 def sketches(docs: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_shingles, node, sig) per document; node is a digest of the shingle set, null for an empty one."""
+    """(id, n_shingles, node, sig) per document; node is a 64-bit digest of the shingle
+    set, null for an empty one."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(parts: Iterator[dict]) -> Iterator[list]:
         shingles = Shingles(settings)
         for part in parts:
             sets = [shingles(text) for text in part["text"]]
-            nodes = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            nodes = [node_of(s) if len(s) else None for s in sets]
             yield [part["id"], [len(s) for s in sets], nodes, [signature(s, settings) if len(s) else None for s in sets]]
 
     narrow = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
-    return map_rows(narrow, run, f"id {kind}, n_shingles bigint, node binary, sig binary")
+    return map_rows(narrow, run, f"id {kind}, n_shingles bigint, node bigint, sig binary")
 
 
 def chunk_keys(nodes: DataFrame, settings: Settings) -> DataFrame:
@@ -144,7 +150,8 @@ def chunk_keys(nodes: DataFrame, settings: Settings) -> DataFrame:
                     out.append(key.view(np.int64))
             yield [part["node"], np.array(out).T.tolist()]
 
-    keys = map_rows(nodes.select("node", "sig"), run, "node binary, keys array<bigint>")
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = map_rows(nodes.select("node", "sig").repartition(tasks), run, "node bigint, keys array<bigint>")
     return keys.select(F.explode("keys").alias("key"), "node")
 
 
@@ -156,16 +163,14 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, settings: Set
 
     def run(parts: Iterator[dict]) -> Iterator[list]:
         shingles = Shingles(settings)
-        memo: dict[bytes, np.ndarray | None] = {}
+        memo: dict[int, np.ndarray] = {}
 
-        def of(node: bytes, text: str) -> np.ndarray | None:
+        def of(node: int, text: str) -> np.ndarray | None:
             if node not in memo:
                 if len(memo) > 200:
                     memo.clear()
                 found = shingles(text)
-                # Another document with the same id has another set: not the text of this node.
-                same = hashlib.blake2b(found.tobytes(), digest_size=16).digest() == node
-                if not same:
+                if node_of(found) != node:  # the text of another document with the same id
                     return None
                 memo[node] = found
             return memo[node]
@@ -180,7 +185,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, settings: Set
 
     both = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
     both = both.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-    return durable(map_rows(both.select("a", "b", "ta", "tb"), run, "a binary, b binary"))
+    return durable(map_rows(both.select("a", "b", "ta", "tb"), run, "a bigint, b bigint"))
 
 
 def near(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
@@ -196,7 +201,7 @@ def near(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
     sigs = nodes.select("node", "sig")
     both = pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a")
     both = both.join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
-    return map_rows(both.select("a", "b", "sa", "sb"), run, "a binary, b binary")
+    return map_rows(both.select("a", "b", "sa", "sb"), run, "a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -244,7 +249,7 @@ def across(keys: DataFrame, sizes: DataFrame, nodes: DataFrame, roots: DataFrame
     def pairs_of(group: list[tuple]) -> tuple[list, list]:
         sig = np.frombuffer(b"".join(g[5] for g in group), np.uint16).reshape(len(group), -1)
         mine = np.array([g[2] for g in group])
-        _, root = np.unique(np.array([g[4] for g in group], dtype=object).astype("S16"), return_inverse=True)
+        root = np.array([g[4] for g in group])
         a, b = [], []
         one_block = group[0][0][1] == group[0][0][2]
         for at in range(len(group)):
@@ -270,7 +275,7 @@ def across(keys: DataFrame, sizes: DataFrame, nodes: DataFrame, roots: DataFrame
         if len(group) > 1:
             yield list(pairs_of(group))
 
-    return map_rows(grouped, run, "a binary, b binary").distinct()
+    return map_rows(grouped, run, "a bigint, b bigint").distinct()
 
 
 def classes(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
