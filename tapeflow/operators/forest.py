@@ -5,7 +5,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -82,42 +82,34 @@ def fit_forest(
 ) -> Forest:
     """Grow the forest.
 
-    A pool of at most ``trees * sample`` rows is drawn by the smallest hash of (symbol, window,
-    seed), each task sending no more than that many; its size is bounded by the parameters, not
-    by the table, and the draw does not depend on partitioning. Trees take ``sample`` rows each
-    out of the pool and are grown in parallel.
+    Every tree draws ``sample`` rows from all rows by hashes of (symbol, window, seed), so the draw
+    does not depend on partitioning. Only rows below a hash threshold that is expected to give
+    a few more than needed are shuffled, by tree; the threshold widens if a tree comes out short.
+    Trees grow in parallel where their rows meet; the driver gets the grown trees.
     """
     scaler = fit_scaler(features, columns)
     scaled = [
         ((F.coalesce(F.col(c), F.lit(0.0)) - F.lit(m)) / F.lit(s)).alias(c)
         for c, (m, s) in scaler.items()
     ]
-    row_key = (F.col("symbol"), F.unix_micros("window_start"))
-    pool = (
-        features.select(F.xxhash64(*row_key, F.lit(seed)).alias("_draw"), *scaled)
-        .orderBy("_draw", *columns)
-        .limit(trees * sample)
-        .select(*columns)
+    stored = durable(
+        features.select(
+            F.struct("symbol", F.unix_micros("window_start")).alias("_row"),
+            F.array(*[c.cast("double") for c in scaled]).alias("_point"),
+        )
     )
-    points = pool.toPandas().to_numpy(dtype=float)
-    taken = min(sample, len(points))
+    rows = stored.count()
+    taken = min(sample, rows)
     depth = int(np.ceil(np.log2(max(taken, 2))))
-    spark = features.sparkSession
-    shared = spark.sparkContext.broadcast(points)
-
-    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        points = shared.value
-        for batch in batches:
-            for tree in batch["id"]:
-                rng = np.random.default_rng([seed, tree])
-                chosen = rng.choice(len(points), taken, replace=False)
-                grown = grow_tree(points[chosen], rng, depth)
-                yield pd.DataFrame([{"tree": tree, **{c: grown[c].tolist() for c in grown}}])
+    drawn = _draw(stored, rows, trees, taken, seed)
+
+    def grow(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
+        points = np.array(batch.sort_values("_draw")["_point"].tolist(), dtype=float)
+        grown = grow_tree(points, np.random.default_rng([seed, key[0]]), depth)
+        return pd.DataFrame([{"tree": key[0], **{c: grown[c].tolist() for c in grown}}])
 
     # At most `trees` rows of fewer than 2 * sample nodes each.
-    tasks = min(trees, spark.sparkContext.defaultParallelism)
-    forest = spark.range(0, trees, 1, tasks).mapInPandas(grow, _TREE)
-    grown = forest.toPandas().sort_values("tree")
+    grown = drawn.groupBy("tree").applyInPandas(grow, _TREE).toPandas().sort_values("tree")
     nodes = 2 ** (depth + 1) - 1
     feature = np.full((len(grown), nodes), -1, dtype=np.int64)
     threshold = np.zeros((len(grown), nodes))
@@ -129,6 +121,38 @@ def fit_forest(
     return Forest(feature, threshold, length, scaler, taken, depth)
 
 
+def _draw(stored: DataFrame, rows: int, trees: int, taken: int, seed: int) -> DataFrame:
+    """(tree, _draw, _point): ``taken`` rows for each tree, those of the smallest hashes.
+
+    The trees are dealt over slots. In every slot a row stands for one tree, chosen by a hash, and a
+    second hash orders the rows of a tree. The fewer rows there are, the more slots: with few
+    rows every tree has a slot of its own and draws from all of them.
+    """
+    spare = 1.5
+    while True:
+        slots = int(min(trees, max(1, np.ceil(spare * trees * taken / max(rows, 1)))))
+        share = min(1.0, spare * trees * taken / max(rows * slots, 1))
+        each = stored.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+        count = F.floor((F.lit(trees - 1) - F.col("_slot")) / slots) + 1
+        chosen = F.pmod(F.xxhash64("_row", "_slot", F.lit(seed)), count)
+        each = each.withColumns(
+            {
+                "tree": (F.col("_slot") + slots * chosen).cast("bigint"),
+                "_draw": F.shiftright(F.xxhash64(F.lit(seed), "_slot", "_row"), 1) + F.lit(1 << 62),
+            }
+        )
+        each = each.where(F.col("_draw") <= F.lit(min(int(share * (1 << 63)), (1 << 63) - 1)))
+        order = Window.partitionBy("tree").orderBy("_draw", "_point")
+        ranked = durable(
+            each.withColumn("_rank", F.row_number().over(order))
+            .where(F.col("_rank") <= taken)
+            .select("tree", "_draw", "_point")
+        )
+        if ranked.count() == trees * taken or (slots == trees and share == 1.0):
+            return ranked
+        spare *= 2
+
+
 def score_rows(features: DataFrame, forest: Forest) -> DataFrame:
     """Add ``_raw``, the raw score of each row."""
     columns = [F.col(c).cast("double") for c in forest.scaler]
@@ -153,17 +177,17 @@ def detect_anomalies(
     sample: int = C.FOREST_SAMPLE,
     seed: int = C.FOREST_SEED,
     block: str | None = "1 day",
+    least: int = C.ANOMALY_MIN_ROWS,
 ) -> DataFrame:
     """Add ``anomaly`` and ``anomaly_score`` (lower is more anomalous, negative is flagged) and
-    the feature columns. The scaler and the forest are fitted over all symbols together. Under 5
-    rows nothing is flagged.
+    the feature columns. The scaler and the forest are fitted over all symbols together. Under
+    ``least`` rows nothing is flagged; the columns are the same.
     """
-    few = df.limit(C.ANOMALY_MIN_ROWS).count() < C.ANOMALY_MIN_ROWS
-    if few:
-        return df.withColumns({"anomaly": F.lit(False), "anomaly_score": F.lit(0.0)})
     features = durable(window_features(df, block))
     columns = [c for c in C.ANOMALY_FEATURES if c in features.columns]
     rows = features.count()
+    if rows < least:
+        return features.withColumns({"anomaly": F.lit(False), "anomaly_score": F.lit(0.0)})
     forest = fit_forest(features, columns, trees, sample, seed)
     scored = durable(score_rows(features, forest))
     offset = exact_quantile(scored, "_raw", contamination, rows)

@@ -57,16 +57,18 @@ def fit_prices(features: DataFrame) -> DataFrame:
     return moments.mapInPandas(solve, "symbol string, intercept double, weights array<double>")
 
 
-def predict_prices(df: DataFrame, block: str | None = "1 day") -> DataFrame:
+def predict_prices(
+    df: DataFrame, block: str | None = "1 day", least: int = C.PREDICT_MIN_ROWS
+) -> DataFrame:
     """Add ``predicted_price``, the expected price of the next window, and the feature columns.
 
-    Under 15 rows in all, or under 10 training rows in a symbol, the price itself is given.
+    Under ``least`` rows in all, or under 10 training rows in a symbol, the price itself is given;
+    the columns are the same.
     """
     price = F.col("avg_price")
-    # Only the question "fewer than 15?" is asked.
-    if df.limit(C.PREDICT_MIN_ROWS).count() < C.PREDICT_MIN_ROWS:
-        return df.withColumn("predicted_price", price)
     features = durable(price_features(df, block))
+    if features.count() < least:
+        return features.withColumn("predicted_price", price).drop("next_price")
     # The models are written out, so that their size is known when the join is planned.
     models = durable(fit_prices(features))
     linear = F.col("intercept")

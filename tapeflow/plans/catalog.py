@@ -23,7 +23,7 @@ from ..schemas import SLIDING_TABLE
 from ..session import durable, durable_dir
 from ..settings import Settings
 from ..sources.adapters import events_as_trades, lineitem_as_trades
-from ..sources.tables import read_window_table
+from ..sources.tables import preview, read_window_table
 from ..sources.topics import read_trade_messages, read_trade_stream
 from ..streaming import jobs
 from . import pipelines
@@ -247,6 +247,19 @@ def read_window_table_files(spark, sf_dir):
     return read_window_table(spark, path)
 
 
+@query()
+def read_window_table_mixed(spark, sf_dir):
+    """A folder with partition folders, files that lack a column and files of other types."""
+    path = scratch(spark, "windows")
+    table = durable(W.aggregate_tumbling(W.valid_trades(events(spark, sf_dir))))
+    third = F.minute("window_start") % 3
+    table.filter(third == 0).write.partitionBy("event_date").parquet(f"{path}/by_date")
+    table.filter(third == 1).drop("spike_count").write.parquet(f"{path}/plain")
+    other = {"sum_qty": F.col("sum_qty").cast("int"), "window_start": F.col("window_start").cast("string")}
+    table.filter(third == 2).withColumns(other).write.mode("append").parquet(f"{path}/plain")
+    return read_window_table(spark, path).fillna(-1)
+
+
 @query()
 def concat_window_tables(spark, sf_dir):
     trades = durable(W.valid_trades(events(spark, sf_dir)))
@@ -261,7 +274,7 @@ def concat_window_tables(spark, sf_dir):
 def preview_window_table(spark, sf_dir):
     path = scratch(spark, "windows")
     W.aggregate_tumbling(W.valid_trades(events(spark, sf_dir))).write.parquet(path)
-    return read_window_table(spark, path).limit(10)
+    return preview(spark, path)
 
 
 # Features, models, reports ------------------------------------------------------------------

@@ -219,6 +219,9 @@ _CLOSED = """(SELECT epoch_ms(max(timestamp_ms)) - INTERVAL '2 minutes' FROM ev
 
 ORACLE["tumbling_1m"] = f"{_MINUTES} SELECT {_shown()} FROM w"
 ORACLE["read_window_table_files"] = ORACLE["tumbling_1m"]
+ORACLE["read_window_table_mixed"] = f"""
+{_MINUTES} SELECT * REPLACE (CASE WHEN minute(window_start::TIMESTAMP) % 3 = 1 THEN -1 ELSE spike_count END AS spike_count)
+FROM (SELECT {_shown()} FROM w)"""
 ORACLE["stream_tumbling_1m"] = f"{_MINUTES} SELECT {_shown()} FROM w WHERE window_end <= {_CLOSED}"
 ORACLE["preview_window_table"] = f"""
 {_MINUTES} SELECT {_shown()} FROM (SELECT * FROM w ORDER BY window_start, symbol LIMIT 10)"""

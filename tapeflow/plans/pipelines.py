@@ -71,9 +71,9 @@ def window_tables(clean: DataFrame, dedup: str | None = "unbounded") -> WindowTa
 def score_windows(
     windows: DataFrame, symbols: Sequence[str] | None = None, block: str | None = "1 day"
 ) -> DataFrame:
-    """The window table of the chosen symbols with anomaly flag and score, predicted price and
-    prediction error."""
-    chosen = durable(filter_symbols(windows, symbols))
+    """The window table with anomaly flag and score, predicted price and prediction error; of all
+    symbols, or of those given."""
+    chosen = durable(windows if symbols is None else filter_symbols(windows, symbols))
     scored = durable(detect_anomalies(chosen, block=block))
     predicted = durable(predict_prices(scored, block))
     return prediction_error(predicted, block)

@@ -78,6 +78,21 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
         paths = _written.get()
         _written.reset(token)
         for path in paths:
-            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            files, target = _files(spark, path)
             files.delete(target, True)
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def delete_siblings(spark: SparkSession, path: str) -> None:
+    """Delete the other folders of a partition column: ``.../name=1`` and so on, for a path ``.../name=2``."""
+    files, target = _files(spark, path)
+    prefix = target.getName().partition("=")[0] + "="
+    for status in files.listStatus(target.getParent()):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix) and name != target.getName():
+            files.delete(status.getPath(), True)

@@ -10,7 +10,7 @@ from . import constants as C
 @dataclass(frozen=True)
 class Settings:
     app_name: str = "clean-trades-streaming"
-    spark_master: str = "local[*]"
+    spark_master: str | None = None  # that of spark-submit
     bootstrap_servers: str = "localhost:9092"
     topic: str = C.CLEAN_TOPIC
     starting_offsets: str = "latest"

@@ -1,7 +1,10 @@
 """Window tables on storage."""
 
+from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
@@ -48,6 +51,31 @@ def _as_declared(field: StructField, target: StructField) -> Column:
     return column.try_cast(target.dataType)
 
 
+def _scans(spark: SparkSession, path: str) -> list[DataFrame]:
+    """One scan for each schema among the parquet files below a folder.
+
+    Files may lack columns, hold them in other types or lie under partition folders. Their
+    schemas are read in parallel tasks, through Spark's own file reader; the driver gets the
+    paths by schema, as it does for any scan.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    with _conf(spark, _IGNORE_LOG, "true"):
+        files = files.option("pathGlobFilter", "*.parquet").load(path).where("length > 0")
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch["path"].to_pylist(), batch["content"]):
+                schema = pq.read_schema(pa.BufferReader(content.as_buffer()))
+                kinds = ",".join(f"{f.name}:{f.type}" for f in schema)
+                folders = ",".join(p.partition("=")[0] for p in name.split("/")[:-1] if "=" in p)
+                yield pa.RecordBatch.from_pydict({"path": [name], "shape": [f"{folders}|{kinds}"]})
+
+    shapes = files.select("path", "content").mapInArrow(footers, "path string, shape string")
+    grouped = shapes.groupBy("shape").agg(F.array_sort(F.collect_list("path")).alias("paths")).orderBy("shape")
+    with _conf(spark, _IGNORE_LOG, "true"):
+        return [spark.read.option("basePath", path).parquet(*row["paths"]) for row in grouped.collect()]
+
+
 def read_window_table(
     spark: SparkSession,
     *paths: str,
@@ -59,33 +87,30 @@ def read_window_table(
     """Window table from one or more folders.
 
     All parquet files below a folder are read, whether or not the stream's sink log lists them;
-    ``use_log=True`` reads what the log lists. Columns are cast to the declared types, absent
-    ones stay absent in a single folder and are null where another folder has them. A folder
-    without files gives an empty table. Duplicates of (symbol, window_start) are dropped and rows
-    are sorted by time, unless told otherwise.
+    ``use_log=True`` reads what the log lists. Files are joined by column name: a column is null
+    for the files that lack it. Columns are cast to the declared types, those of ``schema`` first;
+    partition folders become columns. Folders without files give an empty table. Duplicates of
+    (symbol, window_start) are dropped and rows are sorted by time, unless told otherwise.
     """
-    frames = []
+    declared = _DECLARED | {f.name: f for f in schema.fields}
+    table = None
     for path in paths:
         if not use_log and not _exists(spark, path):
             continue
-        reader = spark.read
-        if not use_log:
-            reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-        with _conf(spark, _IGNORE_LOG, "false" if use_log else "true"):
-            table = reader.parquet(path)
-        frames.append(
-            table.select(
-                *[
-                    _as_declared(f, _DECLARED[f.name]).alias(f.name) if f.name in _DECLARED else f.name
-                    for f in table.schema.fields
-                ]
-            )
-        )
-    if not frames:
+        if use_log:
+            with _conf(spark, _IGNORE_LOG, "false"):
+                scans = [spark.read.parquet(path)]
+        else:
+            scans = _scans(spark, path)
+        for scan in scans:
+            columns = [
+                _as_declared(f, declared[f.name]).alias(f.name) if f.name in declared else f.name
+                for f in scan.schema.fields
+            ]
+            frame = scan.select(*columns)
+            table = frame if table is None else table.unionByName(frame, allowMissingColumns=True)
+    if table is None:
         return spark.createDataFrame([], schema)
-    table = frames[0]
-    for frame in frames[1:]:
-        table = table.unionByName(frame, allowMissingColumns=True)
     if dedup:
         table = dedup_windows(table)
     order = [c for c in ("window_start", "symbol") if c in table.columns]
@@ -93,11 +118,12 @@ def read_window_table(
 
 
 def preview(spark: SparkSession, path: str, rows: int = 10) -> DataFrame | None:
-    """Print schema and the first rows of a table; a message where there is none yet."""
+    """Print schema and the first rows of a table, whether or not its sink log is complete; a
+    message where there is none yet."""
     if not _exists(spark, path):
         print(f"No parquet files in {path} yet.")
         return None
-    table = spark.read.parquet(path)
+    table = read_window_table(spark, path)
     head = table.limit(rows)
     table.printSchema()
     head.show(truncate=False)

@@ -1,10 +1,11 @@
 """Streaming queries: sources to layers, clean trades to window tables, tables to scores."""
 
+from collections import Counter
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from .. import constants as C
 from ..operators.ingest import enrich_trades, split_rejects, to_records, unwrap_messages, validate_trades
@@ -17,7 +18,7 @@ from ..operators.windows import (
 )
 from ..plans.pipelines import score_windows
 from ..schemas import TUMBLING_TABLE
-from ..session import temporary_tables
+from ..session import delete_siblings, temporary_tables
 from ..settings import Settings
 from ..sources.tables import read_window_table
 from ..sources.topics import read_trade_stream, topic_sink_options
@@ -147,14 +148,29 @@ def start_pipeline(
     ]
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that the stateful operators of a query dropped behind the watermark, over its recent
-    progress reports."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that stateful operators drop behind the watermark, over the whole life of every query
+    that runs while the listener is attached (``spark.streams.addListener``)."""
+
+    def __init__(self) -> None:
+        self._totals: Counter[str] = Counter()
+
+    def total(self, query: StreamingQuery) -> int:
+        """Progress is reported in the background: of a query that ended, shortly after its end."""
+        return self._totals[str(query.id)]
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        self._totals[str(event.progress.id)] += late
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def refresh_scores(
@@ -166,7 +182,8 @@ def refresh_scores(
     trigger: Trigger | None = None,
 ) -> StreamingQuery:
     """Fit both models again over all windows so far whenever the window table has grown, and
-    write the scored table into one folder per refresh."""
+    write the scored table. All symbols are scored unless some are given. A refresh has a folder
+    of its own; those of earlier refreshes go when it is written."""
     source = settings.output_path(table)
 
     def refresh(_: DataFrame, batch_id: int) -> None:
@@ -175,6 +192,7 @@ def refresh_scores(
             scored = score_windows(windows, symbols)
             target = f"{settings.output_path(name)}/refresh={batch_id}"
             scored.write.mode("overwrite").parquet(target)
+        delete_siblings(spark, target)
 
     grown = spark.readStream.schema(TUMBLING_TABLE).parquet(source).select("window_start")
     writer = grown.writeStream.queryName(name).foreachBatch(refresh)

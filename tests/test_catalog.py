@@ -6,7 +6,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tapeflow.plans.catalog import QUERIES
+from tapeflow.plans.oracle import ORACLE
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -26,21 +28,21 @@ def rows_of(frame):
     return sorted(map(repr, frame.astype(object).where(frame.notna(), None).values.tolist()))
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
-    table = queries()[name](spark, SF_DIR)
+    table = QUERIES[name](spark, SF_DIR)
     plan = table._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     got = table.toPandas()
     assert len(got)
-    if name in oracle_sql():
-        want = database.execute(oracle_sql()[name]).df()
+    if name in ORACLE:
+        want = database.execute(ORACLE[name]).df()
         assert sorted(got.columns) == sorted(want.columns)
         assert rows_of(got) == rows_of(want)
 
 
 def test_every_sql_has_its_query():
-    assert set(oracle_sql()) <= set(queries())
+    assert set(ORACLE) <= set(QUERIES)
 
 
 def test_entry(spark):

@@ -10,6 +10,7 @@ from tapeflow import constants as C
 from tapeflow.operators import features as FE
 from tapeflow.operators import forest as FO
 from tapeflow.operators.quantile import exact_quantile
+from tapeflow.plans.pipelines import score_windows
 from tapeflow.operators.regression import predict_prices, prediction_error
 
 START = dt.datetime(2024, 1, 1)
@@ -131,6 +132,28 @@ def test_too_few_rows_for_a_prediction(windows):
     assert all(r.predicted_price == r.avg_price for r in rows)
 
 
+def test_columns_do_not_depend_on_the_number_of_rows(windows):
+    few, many = windows(A=4), windows(A=40)
+    assert predict_prices(few).columns == predict_prices(many).columns
+    assert FO.detect_anomalies(few).columns == FO.detect_anomalies(many, trees=5).columns
+
+
+def test_all_symbols_are_scored(windows):
+    table = windows(A=20, B=20, C=20, D=20, E=20)
+    assert {r.symbol for r in score_windows(table).collect()} == set("ABCDE")
+
+
+@pytest.mark.parametrize("rows", [3, 100, 30_000])
+def test_every_tree_draws_from_all_rows(spark, rows):
+    stored = spark.range(rows).select(F.struct("id").alias("_row"), F.array(F.col("id").cast("double")).alias("_point"))
+    taken = min(64, rows)
+    drawn = FO._draw(stored, rows, 20, taken, 1).collect()
+    by_tree = {t: {r._point[0] for r in drawn if r.tree == t} for t in range(20)}
+    assert all(len(points) == taken for points in by_tree.values())
+    if rows == 30_000:
+        assert all(max(points) > rows / 2 > min(points) for points in by_tree.values())
+
+
 def test_prediction_error(windows):
     table = windows(A=20).withColumn("predicted_price", F.lit(3000.0))
     rows = prediction_error(table, "10 minutes").orderBy("window_start").collect()

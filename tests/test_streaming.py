@@ -1,6 +1,7 @@
 import json
 import os
 import random
+import time
 from datetime import datetime
 
 import pytest
@@ -12,7 +13,7 @@ from tapeflow.operators.ingest import split_rejects, unwrap_messages, validate_t
 from tapeflow.plans.pipelines import ingest_messages, mark_trades
 from tapeflow.session import durable_dir
 from tapeflow.settings import Settings
-from tapeflow.sources.synthetic import synth_window_tables
+from tapeflow.sources.synthetic import BASE_PRICES, synth_window_tables
 from tapeflow.sources.tables import read_window_table
 from tapeflow.sources.topics import read_trade_messages, read_trade_stream
 from tapeflow.schemas import SLIDING_TABLE
@@ -94,10 +95,16 @@ def test_late_row_is_dropped_and_counted(spark, feed, settings):
     feed.add(record("A", 1.0, NOON + 600_000, 2))
     feed.add(record("A", 1.0, NOON + 601_000, 3))
     feed.add(record("A", 9.0, NOON + 1_000, 4), record("A", 1.0, NOON + 900_000, 5))
+    late = jobs.LateRows()
+    spark.streams.addListener(late)
     started = run(spark, settings, feed)
     first = table(spark, settings, C.TUMBLING_NAME).first()
     assert (first.trade_count, first.avg_price) == (1, 1.0)
-    assert all(jobs.late_rows(query) == 1 for query in started)
+    until = time.time() + 20
+    while time.time() < until and not all(late.total(query) for query in started):
+        time.sleep(0.1)
+    assert all(late.total(query) == 1 for query in started)
+    spark.streams.removeListener(late)
 
 
 def test_restart_keeps_the_seen_ids(spark, feed, settings):
@@ -230,7 +237,8 @@ def test_scores_are_refreshed(spark, settings):
     jobs.refresh_scores(spark, settings, trigger=NOW).awaitTermination()
     scores = spark.read.parquet(settings.output_path("scores"))
     counts = {r.refresh: r["count"] for r in scores.groupBy("refresh").count().collect()}
-    assert counts == {0: 80, 1: 120}
+    # Every symbol is scored, and the earlier refresh is gone.
+    assert counts == {1: 180} and {r.symbol for r in scores.collect()} == set(BASE_PRICES)
     assert {"anomaly", "anomaly_score", "predicted_price", "pred_error"} <= set(scores.columns)
     # Intermediate tables of a refresh are gone.
     assert set(os.listdir(stored)) == before
