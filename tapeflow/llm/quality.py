@@ -28,8 +28,9 @@ GOOD, BAD, ABSTAIN = 1, -1, 0
 class Settings:
     least_words: int = 50  # hard limits: fewer words fail
     most_repeated: float = 0.5  # a larger share of repeated words fails
-    prior: float = 0.8  # first guesses of the share of good documents and of the rules' accuracy
-    accuracy: float = 0.8
+    prior: float = 0.8  # first guesses: share of good documents; how often a vote is right on good and on bad ones
+    on_good: float = 0.95
+    on_bad: float = 0.5
     rounds: int = 50
     smoothing: float = 5.0  # pseudo-votes for the first guess of an accuracy
 
@@ -164,7 +165,7 @@ def fit(votes: DataFrame, settings: Settings = Settings()) -> Reliability:
     names = [name for name, *_ in RULES]
     patterns = votes.where(~F.col("base_failed")).groupBy(*[f"vote_{n}" for n in names]).count().collect()
     rows = [([row[f"vote_{n}"] for n in names], row["count"]) for row in patterns]
-    found = Reliability(settings.prior, dict.fromkeys(names, settings.accuracy), dict.fromkeys(names, settings.accuracy))
+    found = Reliability(settings.prior, dict.fromkeys(names, settings.on_good), dict.fromkeys(names, settings.on_bad))
     for _ in range(settings.rounds if rows else 0):
         weighed = []
         for vote, n in rows:
@@ -174,13 +175,13 @@ def fit(votes: DataFrame, settings: Settings = Settings()) -> Reliability:
         share = (good + settings.smoothing * settings.prior) / (total + settings.smoothing)
         on_good, on_bad = {}, {}
         for at, name in enumerate(names):
-            first, extra = settings.accuracy * settings.smoothing, settings.smoothing
+            extra = settings.smoothing
             yes = sum(g for vote, g, _ in weighed if vote[at] == GOOD)
             cast = sum(g for vote, g, _ in weighed if vote[at] != ABSTAIN)
             no = sum(n - g for vote, g, n in weighed if vote[at] == BAD)
             against = sum(n - g for vote, g, n in weighed if vote[at] != ABSTAIN)
-            on_good[name] = min(0.999, (yes + first) / (cast + extra))
-            on_bad[name] = min(0.999, (no + first) / (against + extra))
+            on_good[name] = min(0.999, (yes + settings.on_good * extra) / (cast + extra))
+            on_bad[name] = min(0.999, (no + settings.on_bad * extra) / (against + extra))
         found = Reliability(min(0.999, max(0.001, share)), on_good, on_bad)
     return found
 
