@@ -196,7 +196,9 @@ def repeated(docs: DataFrame, settings: Settings = Settings(), id_col: str = "do
     every = durable(all_runs(docs, settings, id_col, text_col))
     place = ["id", "text_key", "start", "windows"]
     keys = every.where("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"))
-    shared = durable(every.join(keys.where("n > 1").select("key", (F.col("low") == F.col("high")).alias("alike")), "key"))
+    # Written first: a join whose sides come straight from a shuffle can be split where a key is hot.
+    keys = durable(keys.where("n > 1").select("key", (F.col("low") == F.col("high")).alias("alike")))
+    shared = durable(every.join(keys, "key"))
     different = shared.where(~F.col("alike"))
     kinds = durable(different.groupBy("key", "digest").agg(F.count("*").alias("n"), F.min(F.struct(*place)).alias("one")))
     copied = different.join(kinds.where("n > 1").select("key", "digest"), ["key", "digest"], "left_semi")
