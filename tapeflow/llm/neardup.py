@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import durable, map_rows, text_of
 
-BLOCK = 512
+BLOCK, LARGE = 512, 32
 
 
 @dataclass(frozen=True)
@@ -133,6 +133,15 @@ def sketches(docs: DataFrame, settings: Settings, id_col: str, text_col: str) ->
     return map_rows(narrow, run, f"id {kind}, n_shingles bigint, node bigint, sig binary")
 
 
+def key_of(sigs: np.ndarray, number: int, chunk: range, left_out: int) -> np.ndarray:
+    """The key of a chunk without one component, for each signature."""
+    key = np.full(len(sigs), number * 1000 + left_out + 1, np.uint64)
+    for at in chunk:
+        if at != left_out:
+            key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + sigs[:, at])
+    return key.view(np.int64)
+
+
 def chunk_keys(nodes: DataFrame, settings: Settings) -> DataFrame:
     """(key, node): for every chunk one key for each component left out."""
     chunks = settings.chunks
@@ -143,11 +152,7 @@ def chunk_keys(nodes: DataFrame, settings: Settings) -> DataFrame:
             out = []
             for number, chunk in enumerate(chunks):
                 for left_out in chunk:
-                    key = np.full(len(sigs), number * 1000 + left_out + 1, np.uint64)
-                    for at in chunk:
-                        if at != left_out:
-                            key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + sigs[:, at])
-                    out.append(key.view(np.int64))
+                    out.append(key_of(sigs, number, chunk, left_out))
             yield [part["node"], np.array(out).T.tolist()]
 
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -228,10 +233,14 @@ def components(links: DataFrame) -> DataFrame:
     return roots
 
 
-def across(keys: DataFrame, sizes: DataFrame, nodes: DataFrame, roots: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs (a, b) within the bound that share a bucket but not a component.
+def across(
+    keys: DataFrame, sizes: DataFrame, nodes: DataFrame, roots: DataFrame, settings: Settings, nearest: bool = False
+) -> DataFrame:
+    """Pairs (a, b) within the bound that share a bucket but not a component, each pair once; with ``nearest`` for
+    each node of a block only the closest of them.
 
-    Buckets are cut into blocks of nodes; every two blocks of a bucket are one small group.
+    Buckets are cut into blocks of nodes; every two blocks of a bucket are one small group. Of all the keys
+    that two nodes share, the first one gives the pair.
     """
     rooted = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
@@ -240,42 +249,81 @@ def across(keys: DataFrame, sizes: DataFrame, nodes: DataFrame, roots: DataFrame
     mine = F.pmod(F.xxhash64("node"), parts).cast("int")
     rows = rows.withColumns({"parts": parts, "mine": mine}).join(nodes.select("node", "sig"), "node")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select(
-        "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root", "sig"
-    )
+    columns = ("key", "i", "j", "mine", "node", "root", "sig")
+    rows = rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), *columns[3:])
     n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grouped = rows.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-
-    def pairs_of(group: list[tuple]) -> tuple[list, list]:
-        sig = np.frombuffer(b"".join(g[5] for g in group), np.uint16).reshape(len(group), -1)
-        mine = np.array([g[2] for g in group])
-        root = np.array([g[4] for g in group])
-        a, b = [], []
-        one_block = group[0][0][1] == group[0][0][2]
+    chunks = settings.chunks
+    chunk_starts = np.array([c.start for c in chunks])
+
+    def first_keys(differ: np.ndarray) -> np.ndarray:
+        """The component left out in the first key that two signatures share, by the components that differ."""
+        errors = np.add.reduceat(differ.astype(np.int16), chunk_starts, axis=1)
+        chunk = (errors <= 1).argmax(1)
+        out = chunk_starts[chunk].copy()
+        for row in np.flatnonzero(errors[np.arange(len(chunk)), chunk] == 1):
+            part = chunks[chunk[row]]
+            out[row] = part.start + int(differ[row, part.start : part.stop].argmax())
+        return out
+
+    def left_out(sig: np.ndarray, key: int) -> int:
+        """The component that a key leaves out, found again from a signature in its bucket."""
+        for number, chunk in enumerate(chunks):
+            for at in chunk:
+                if key_of(sig[None, :].astype(np.uint64), number, chunk, at)[0] == key:
+                    return at
+        return -1
+
+    def pairs_of(group: list[tuple], out: list[list]) -> None:
+        sig = np.frombuffer(b"".join(g[6] for g in group), np.uint16).reshape(len(group), -1)
+        mine = np.array([g[3] for g in group])
+        root = np.array([g[5] for g in group])
+        if (root == root[0]).all():
+            return
+        key, one_block = None, group[0][1] == group[0][2]
         for at in range(len(group)):
-            rest = slice(at + 1, None) if one_block else np.flatnonzero(mine > mine[at])
-            differ = (sig[rest] != sig[at]).sum(1)
-            hits = np.flatnonzero((differ <= settings.bound) & (root[rest] != root[at]))
-            hits = hits + at + 1 if one_block else rest[hits]
+            rest = np.arange(at + 1, len(group)) if one_block and not nearest else np.flatnonzero((mine != mine[at]) | one_block)
+            if not one_block and not nearest:
+                rest = rest[mine[rest] > mine[at]]
+            rest = rest[root[rest] != root[at]]
+            if not len(rest):
+                continue
+            differ = sig[rest] != sig[at]
+            count = differ.sum(1)
+            if nearest:
+                best = int(count.argmin())
+                hits = rest[[best]] if count[best] <= settings.bound else ()
+            else:
+                close = np.flatnonzero(count <= settings.bound)
+                if not len(close):
+                    continue
+                key = left_out(sig[at], group[0][0]) if key is None else key
+                hits = rest[close[first_keys(differ[close]) == key]]
             for other in hits:
-                x, y = sorted((group[at][3], group[other][3]))
-                a.append(x)
-                b.append(y)
-        return a, b
+                x, y = sorted((group[at][4], group[other][4]))
+                out[0].append(x)
+                out[1].append(y)
 
     def run(parts: Iterator[dict]) -> Iterator[list]:
         group: list[tuple] = []
+        out: list[list] = [[], []]
         for part in parts:
-            for row in zip(zip(part["key"], part["i"], part["j"]), part["i"], part["mine"], part["node"], part["root"], part["sig"]):
-                if group and group[0][0] != row[0]:
+            for row in zip(*(part[c] for c in columns)):
+                if group and group[0][:3] != row[:3]:
                     if len(group) > 1:
-                        yield list(pairs_of(group))
+                        pairs_of(group, out)
                     group = []
+                    if len(out[0]) >= 4096:
+                        yield out
+                        out = [[], []]
                 group.append(row)
         if len(group) > 1:
-            yield list(pairs_of(group))
+            pairs_of(group, out)
+        if out[0]:
+            yield out
 
-    return map_rows(grouped, run, "a bigint, b bigint").distinct()
+    pairs = map_rows(grouped.select(*columns), run, "a bigint, b bigint")
+    return pairs.distinct() if nearest else pairs
 
 
 def classes(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -293,11 +341,17 @@ def classes(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc
     every = chunk_keys(nodes, settings)
     sizes = durable(every.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1"))
     keys = durable(every.join(sizes.select("key"), "key", "left_semi"))
-    stars = keys.join(sizes.select("key", "first"), "key").where("node != first")
+    stars = keys.join(sizes.select("key", "first"), "key").where("node != first")  # first is the smaller
     pairs = durable(near(stars.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), nodes, settings))
     links = confirmed(pairs, docs, nodes, settings, id_col, text_col)
-    more = durable(across(keys, sizes.select("key", "n"), nodes, components(links), settings).join(pairs, ["a", "b"], "left_anti"))
-    roots = components(links.union(confirmed(more, docs, nodes, settings, id_col, text_col)))
+    # In large buckets the closest nodes of other components first: that joins most of a group of copies.
+    large = sizes.where(F.col("n") > LARGE).select("key", "n")
+    nearest = across(keys.join(large.select("key"), "key", "left_semi"), large, nodes, components(links), settings, nearest=True)
+    nearest = durable(nearest.join(pairs, ["a", "b"], "left_anti"))
+    links = links.union(confirmed(nearest, docs, nodes, settings, id_col, text_col))
+    rest = across(keys, sizes.select("key", "n"), nodes, components(links), settings)
+    rest = durable(rest.join(pairs.union(nearest), ["a", "b"], "left_anti"))
+    roots = components(links.union(confirmed(rest, docs, nodes, settings, id_col, text_col)))
     placed = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
     of_node = durable(placed.join(lowest, "root").select("node", "component_id"))

@@ -238,6 +238,7 @@ def classes_by_brute_force(rows, n):
 @pytest.mark.parametrize("block", [512, 3])
 def test_near_duplicates_by_brute_force(spark, docs, empty, texts, block, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "LARGE", 2 if block == 3 else 32)
     chain = texts[3].split()[:200]  # a chain of copies: the ends are linked only through the middle
     versions = [" ".join(chain[4 * i : 4 * i + 160]) for i in range(8)]
     rows = docs.union(table(spark, versions, first=500))
