@@ -8,26 +8,30 @@ errors are enumerated: a chunk gives one key for every component left out. Signa
 thus share a key; nothing within the bound is lost. Links are confirmed on the full shingle sets.
 
 Groups of copies are never expanded into pairs. Equal shingle sets are one node. In every bucket
-of a key all nodes are first compared with one of them; what that leaves unconnected is compared pair
-by pair, in blocks, and only pairs within the bound from different components go on to the confirmation.
+of a key all nodes are first compared with one of them. Then those outside the bucket's largest component are
+compared with all nodes of other components, in blocks. Only pairs within the bound go on to the confirmation, and of
+these only such as a bitmap of the shingles, a strict bound on the size of their difference, lets pass.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import durable, map_rows, text_of
 
-BLOCK, LARGE = 512, 32
+BLOCK, LARGE, BITS = 2048, 32, 1024
+BASE = 0x9E3779B97F4A7C15  # odd
+SPACES = [9, 10, 11, 12, 13, 32]
+GAP = re.compile(rb"[\x20\x09-\x0D]")
 
 
 @dataclass(frozen=True)
@@ -65,35 +69,61 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def pieces(raw: bytes, least: int = 1 << 20) -> Iterator[bytes]:
+    """The text in pieces of about ``least`` bytes that end at white space."""
+    start = 0
+    while start < len(raw):
+        gap = GAP.search(raw, start + least)
+        end = gap.start() if gap else len(raw)
+        yield raw[start:end]
+        start = end
+
+
 class Shingles:
-    """Sorted distinct 64-bit digests of the word shingles of a text. ``memory`` bounds the memo of words."""
+    """Sorted distinct 64-bit digests of the word shingles of a text.
 
-    def __init__(self, settings: Settings, memory: int = 300_000):
-        self.size, self.memory = settings.shingle, memory
-        self.places = multipliers(settings.shingle, settings.seed + 1)
-        self.known: dict[bytes, int] = {}
+    A word's digest is a polynomial in a random number for each byte (one for both cases of an ASCII letter), read
+    off the running sums of its piece of text, so that no word becomes an object.
+    """
 
-    def digest(self, word: bytes) -> int:
-        if len(self.known) >= self.memory:
-            self.known.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self.known[word] = value
-        return value
+    def __init__(self, settings: Settings):
+        self.size = settings.shingle
+        self.places = multipliers(settings.shingle, settings.seed + 1)
+        self.codes = multipliers(256, settings.seed + 2).copy()
+        self.codes[65:91] = self.codes[97:123]
+        self.gaps = np.isin(np.arange(256), SPACES)
+        self.powers = self.inverses = np.ones(0, np.uint64)
+
+    def grow(self, n: int) -> None:
+        if n > len(self.powers):
+            for name, base in (("powers", BASE), ("inverses", pow(BASE, -1, 1 << 64))):
+                steps = np.full(1 << max(n.bit_length(), 14), base, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.multiply.accumulate(steps))
+
+    def words(self, piece: bytes) -> np.ndarray:
+        raw = np.frombuffer(piece, np.uint8)
+        self.grow(len(raw))
+        gap = np.ones(len(raw) + 2, np.int8)
+        gap[1:-1] = self.gaps[raw]
+        edges = np.flatnonzero(np.diff(gap))
+        starts, ends = edges[0::2], edges[1::2]
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(self.codes[raw] * self.powers[: len(raw)], out=sums[1:])
+        return mixed((sums[ends] - sums[starts]) * self.inverses[starts])
 
     def __call__(self, text: str) -> np.ndarray:
-        words = text.encode("utf-8", "replace").lower().split()  # ASCII letters and ASCII white space only
-        if not words:
-            return np.zeros(0, np.uint64)
-        if len(words) < self.size:
-            return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-        known, digest = self.known, self.digest
-        h = np.array([known.get(w) or digest(w) for w in words], np.uint64)
-        n = len(h) - self.size + 1
-        total = np.zeros(n, np.uint64)
-        for i, a in enumerate(self.places):
-            total += mixed(h[i : i + n] ^ a) * a
-        return np.unique(mixed(total))
+        parts = [self.words(piece) for piece in pieces(text.encode("utf-8", "replace"))]
+        h = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        if not len(h):
+            return h
+        short = len(h) < self.size
+        n = 1 if short else len(h) - self.size + 1
+        total = np.full(n, len(h) if short else 0, np.uint64)
+        for i, a in enumerate(self.places[: len(h)]):
+            total += h[i : i + n] * a
+        total = np.sort(mixed(total))
+        return total[np.append(True, total[1:] != total[:-1])]
 
 
 def signature(shingles: np.ndarray, settings: Settings) -> bytes:
@@ -104,6 +134,48 @@ def signature(shingles: np.ndarray, settings: Settings) -> bytes:
     return mixed(low).astype(np.uint16).tobytes()
 
 
+def bitmap(shingles: np.ndarray) -> bytes:
+    """A bit for each value that the top bits of a shingle take."""
+    marks = np.zeros(BITS, bool)
+    marks[(shingles >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)] = True
+    return np.packbits(marks).tobytes()
+
+
+@dataclass
+class Sketches:
+    """Signatures, bitmaps and sizes of some nodes as arrays."""
+
+    sig: np.ndarray
+    bits: np.ndarray
+    size: np.ndarray
+
+    @classmethod
+    def of(cls, sig: list[bytes], bits: list[bytes], size: list[int]) -> Sketches:
+        n = len(sig)
+        return cls(
+            np.frombuffer(b"".join(sig), np.uint16).reshape(n, -1),
+            np.frombuffer(b"".join(bits), np.uint64).reshape(n, -1),
+            np.array(size, np.int64),
+        )
+
+    def __getitem__(self, at: np.ndarray) -> Sketches:
+        return Sketches(self.sig[at], self.bits[at], self.size[at])
+
+
+def close(x: Sketches, y: Sketches, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of x and y (or the one row of y) can be linked, and which components differ in each of those.
+
+    Sets of similarity t differ in (1 - t) / (1 + t) of the sum of their sizes at most, and in no
+    fewer shingles than their bitmaps in bits; so the bitmaps leave out no linked pair.
+    """
+    percent = round(100 * settings.similarity)
+    apart = np.bitwise_count(x.bits ^ y.bits).sum(1, dtype=np.int64)
+    may = np.flatnonzero((100 + percent) * apart <= (100 - percent) * (x.size + y.size))
+    differ = x.sig[may] != (y.sig[may] if len(y.sig) == len(x.sig) else y.sig)
+    good = np.flatnonzero(differ.sum(1) <= settings.bound)
+    return may[good], differ[good]
+
+
 def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     """Jaccard similarity in whole per cent, without rounding."""
     if not len(a) or not len(b):
@@ -118,8 +190,8 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def sketches(docs: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_shingles, node, sig) per document; node is a 64-bit digest of the shingle
-    set, null for an empty one."""
+    """(id, n_shingles, node, sig, bits) per document; node is a 64-bit digest of the shingle
+    set; the last three are null for an empty one."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(parts: Iterator[dict]) -> Iterator[list]:
@@ -127,37 +199,23 @@ def sketches(docs: DataFrame, settings: Settings, id_col: str, text_col: str) ->
         for part in parts:
             sets = [shingles(text) for text in part["text"]]
             nodes = [node_of(s) if len(s) else None for s in sets]
-            yield [part["id"], [len(s) for s in sets], nodes, [signature(s, settings) if len(s) else None for s in sets]]
+            sigs = [signature(s, settings) if len(s) else None for s in sets]
+            yield [part["id"], [len(s) for s in sets], nodes, sigs, [bitmap(s) if len(s) else None for s in sets]]
 
     narrow = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
-    return map_rows(narrow, run, f"id {kind}, n_shingles bigint, node bigint, sig binary")
-
-
-def key_of(sigs: np.ndarray, number: int, chunk: range, left_out: int) -> np.ndarray:
-    """The key of a chunk without one component, for each signature."""
-    key = np.full(len(sigs), number * 1000 + left_out + 1, np.uint64)
-    for at in chunk:
-        if at != left_out:
-            key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + sigs[:, at])
-    return key.view(np.int64)
+    return map_rows(narrow, run, f"id {kind}, n_shingles bigint, node bigint, sig binary, bits binary")
 
 
 def chunk_keys(nodes: DataFrame, settings: Settings) -> DataFrame:
-    """(key, node): for every chunk one key for each component left out."""
-    chunks = settings.chunks
+    """(slot, key, node): for every chunk one key for each component left out; slot is that component."""
 
-    def run(parts: Iterator[dict]) -> Iterator[list]:
-        for part in parts:
-            sigs = np.frombuffer(b"".join(part["sig"]), np.uint16).reshape(-1, settings.components).astype(np.uint64)
-            out = []
-            for number, chunk in enumerate(chunks):
-                for left_out in chunk:
-                    out.append(key_of(sigs, number, chunk, left_out))
-            yield [part["node"], np.array(out).T.tolist()]
+    def part(start: int, stop: int) -> Column:
+        return F.substring("sig", 2 * start + 1, 2 * (stop - start))
 
-    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = map_rows(nodes.select("node", "sig").repartition(tasks), run, "node bigint, keys array<bigint>")
-    return keys.select(F.explode("keys").alias("key"), "node")
+    keys = [
+        F.xxhash64(F.lit(at), part(chunk.start, at), part(at + 1, chunk.stop)) for chunk in settings.chunks for at in chunk
+    ]
+    return nodes.select(F.posexplode(F.array(*keys)).alias("slot", "key"), "node")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:
@@ -194,19 +252,18 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, settings: Set
 
 
 def near(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) whose signatures are within the bound."""
+    """The pairs (a, b) whose signatures are within the bound and whose bitmaps allow a link."""
 
     def run(parts: Iterator[dict]) -> Iterator[list]:
         for part in parts:
-            x = np.frombuffer(b"".join(part["sa"]), np.uint16).reshape(-1, settings.components)
-            y = np.frombuffer(b"".join(part["sb"]), np.uint16).reshape(-1, settings.components)
-            at = np.flatnonzero((x != y).sum(1) <= settings.bound)
+            x, y = (Sketches.of(part["sig_" + s], part["bits_" + s], part["size_" + s]) for s in "ab")
+            at, _ = close(x, y, settings)
             yield [[part["a"][i] for i in at], [part["b"][i] for i in at]]
 
-    sigs = nodes.select("node", "sig")
-    both = pairs.join(sigs.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a")
-    both = both.join(sigs.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
-    return map_rows(both.select("a", "b", "sa", "sb"), run, "a bigint, b bigint")
+    both = pairs
+    for s in "ab":
+        both = both.join(nodes.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("sig", "bits", "size")]), s)
+    return map_rows(both, run, "a bigint, b bigint")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -233,30 +290,31 @@ def components(links: DataFrame) -> DataFrame:
     return roots
 
 
-def across(
-    keys: DataFrame, sizes: DataFrame, nodes: DataFrame, roots: DataFrame, settings: Settings, nearest: bool = False
-) -> DataFrame:
-    """Pairs (a, b) within the bound that share a bucket but not a component, each pair once; with ``nearest`` for
-    each node of a block only the closest of them.
+def across(keys: DataFrame, nodes: DataFrame, roots: DataFrame, settings: Settings, nearest: bool = False) -> DataFrame:
+    """Pairs (a, b) that can be linked and share a bucket but not a component, each pair once; with ``nearest`` for
+    each node outside a bucket's largest component only the closest one of each block.
 
-    Buckets are cut into blocks of nodes; every two blocks of a bucket are one small group. Of all the keys
-    that two nodes share, the first one gives the pair.
+    The nodes of a bucket live in blocks. Those outside its largest component also visit every block and meet there
+    whoever lives in it; two nodes of the largest component need not meet. A block is held in memory, its visitors
+    come one by one. Of all the keys that two nodes share, the first one gives the pair.
     """
     rooted = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-    rows = rooted.join(split, "key", "left_semi").join(sizes, "key")
-    parts = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node"), parts).cast("int")
-    rows = rows.withColumns({"parts": parts, "mine": mine}).join(nodes.select("node", "sig"), "node")
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    columns = ("key", "i", "j", "mine", "node", "root", "sig")
-    rows = rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), *columns[3:])
+    counted = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
+    largest = counted.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("roots"))
+    split = largest.where("roots > 1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.col("top.root").alias("main"))
+    rows = rooted.join(split, "key").withColumn("visits", F.col("root") != F.col("main"))
+    rows = rows.join(nodes.select("node", "sig", "bits", "size"), "node")
+    home = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    visited = F.when(F.col("visits"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array().cast("array<int>"))
+    rows = rows.withColumn("places", F.concat(home, visited))
+    rows = rows.select("*", F.posexplode("places").alias("guest", "block")).withColumn("guest", F.col("guest") > 0)
+    columns = ("key", "block", "guest", "visits", "slot", "node", "root", "sig", "bits", "size")
     n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = rows.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    grouped = rows.select(*columns).repartition(n, "key", "block").sortWithinPartitions("key", "block", "guest")
     chunks = settings.chunks
     chunk_starts = np.array([c.start for c in chunks])
 
-    def first_keys(differ: np.ndarray) -> np.ndarray:
+    def first_slots(differ: np.ndarray) -> np.ndarray:
         """The component left out in the first key that two signatures share, by the components that differ."""
         errors = np.add.reduceat(differ.astype(np.int16), chunk_starts, axis=1)
         chunk = (errors <= 1).argmax(1)
@@ -266,63 +324,41 @@ def across(
             out[row] = part.start + int(differ[row, part.start : part.stop].argmax())
         return out
 
-    def left_out(sig: np.ndarray, key: int) -> int:
-        """The component that a key leaves out, found again from a signature in its bucket."""
-        for number, chunk in enumerate(chunks):
-            for at in chunk:
-                if key_of(sig[None, :].astype(np.uint64), number, chunk, at)[0] == key:
-                    return at
-        return -1
-
-    def pairs_of(group: list[tuple], out: list[list]) -> None:
-        sig = np.frombuffer(b"".join(g[6] for g in group), np.uint16).reshape(len(group), -1)
-        mine = np.array([g[3] for g in group])
-        root = np.array([g[5] for g in group])
-        if (root == root[0]).all():
-            return
-        key, one_block = None, group[0][1] == group[0][2]
-        for at in range(len(group)):
-            rest = np.arange(at + 1, len(group)) if one_block and not nearest else np.flatnonzero((mine != mine[at]) | one_block)
-            if not one_block and not nearest:
-                rest = rest[mine[rest] > mine[at]]
-            rest = rest[root[rest] != root[at]]
-            if not len(rest):
-                continue
-            differ = sig[rest] != sig[at]
-            count = differ.sum(1)
-            if nearest:
-                best = int(count.argmin())
-                hits = rest[[best]] if count[best] <= settings.bound else ()
-            else:
-                close = np.flatnonzero(count <= settings.bound)
-                if not len(close):
-                    continue
-                key = left_out(sig[at], group[0][0]) if key is None else key
-                hits = rest[close[first_keys(differ[close]) == key]]
-            for other in hits:
-                x, y = sorted((group[at][4], group[other][4]))
-                out[0].append(x)
-                out[1].append(y)
+    class Block:
+        def __init__(self, rows: list[tuple]):
+            self.visits, self.node, self.root = (np.array([r[i] for r in rows]) for i in (0, 1, 2))
+            self.sketches = Sketches.of(*([r[i] for r in rows] for i in (3, 4, 5)))
+
+        def meet(self, slot: int, node: int, root: int, guest: Sketches) -> np.ndarray:
+            """The nodes of the block that give a pair with the guest."""
+            others = self.root != root
+            if not nearest:  # two guests meet in the home of either
+                others &= ~self.visits | (self.node > node)
+            others = np.flatnonzero(others)
+            hits, differ = close(self.sketches[others], guest, settings)
+            if not len(hits):
+                return self.node[:0]
+            found = differ.sum(1).argmin(keepdims=True) if nearest else first_slots(differ) == slot
+            return self.node[others[hits[found]]]
 
     def run(parts: Iterator[dict]) -> Iterator[list]:
-        group: list[tuple] = []
-        out: list[list] = [[], []]
+        at, living, block = None, [], None
         for part in parts:
-            for row in zip(*(part[c] for c in columns)):
-                if group and group[0][:3] != row[:3]:
-                    if len(group) > 1:
-                        pairs_of(group, out)
-                    group = []
-                    if len(out[0]) >= 4096:
-                        yield out
-                        out = [[], []]
-                group.append(row)
-        if len(group) > 1:
-            pairs_of(group, out)
-        if out[0]:
-            yield out
-
-    pairs = map_rows(grouped.select(*columns), run, "a bigint, b bigint")
+            a, b = [], []
+            for key, number, guest, visits, slot, node, root, sig, bits, size in zip(*(part[c] for c in columns)):
+                if at != (key, number):
+                    at, living, block = (key, number), [], None
+                if not guest:
+                    living.append((visits, node, root, sig, bits, size))
+                    continue
+                block = block or (Block(living) if living else None)
+                if block:
+                    for other in block.meet(slot, node, root, Sketches.of([sig], [bits], [size])).tolist():
+                        a.append(min(node, other))
+                        b.append(max(node, other))
+            yield [a, b]
+
+    pairs = map_rows(grouped, run, "a bigint, b bigint")
     return pairs.distinct() if nearest else pairs
 
 
@@ -335,9 +371,8 @@ def classes(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc
     an empty result.
     """
     found = durable(sketches(docs, settings, id_col, text_col))
-    nodes = durable(
-        found.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"))
-    )
+    firsts = [F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("sig", "bits")], F.first("n_shingles").alias("size")]
+    nodes = durable(found.where("node IS NOT NULL").groupBy("node").agg(*firsts))
     every = chunk_keys(nodes, settings)
     sizes = durable(every.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1"))
     keys = durable(every.join(sizes.select("key"), "key", "left_semi"))
@@ -345,11 +380,11 @@ def classes(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc
     pairs = durable(near(stars.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), nodes, settings))
     links = confirmed(pairs, docs, nodes, settings, id_col, text_col)
     # In large buckets the closest nodes of other components first: that joins most of a group of copies.
-    large = sizes.where(F.col("n") > LARGE).select("key", "n")
-    nearest = across(keys.join(large.select("key"), "key", "left_semi"), large, nodes, components(links), settings, nearest=True)
+    large = sizes.where(F.col("n") > LARGE).select("key")
+    nearest = across(keys.join(large, "key", "left_semi"), nodes, components(links), settings, nearest=True)
     nearest = durable(nearest.join(pairs, ["a", "b"], "left_anti"))
     links = links.union(confirmed(nearest, docs, nodes, settings, id_col, text_col))
-    rest = across(keys, sizes.select("key", "n"), nodes, components(links), settings)
+    rest = across(keys, nodes, components(links), settings)
     rest = durable(rest.join(pairs.union(nearest), ["a", "b"], "left_anti"))
     roots = components(links.union(confirmed(rest, docs, nodes, settings, id_col, text_col)))
     placed = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

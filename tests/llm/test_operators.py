@@ -259,6 +259,29 @@ def test_signature_bound_loses_no_link():
     assert settings.bound < settings.components // 2
 
 
+def test_shingles_of_a_long_text(texts):
+    settings = neardup.Settings(shingle=4)
+    words = [f"W{i % 70001}\u00e9" for i in range(300_000)]
+    assert len(neardup.Shingles(settings)("\t \n".join(words))) == len(shingles(" ".join(words), 4)) > 70_000
+    one = "x" * (3 << 20)  # a word longer than a piece
+    assert len(neardup.Shingles(settings)(f"a b {one} c d")) == 2
+    for text in filter(None, texts):
+        digests = neardup.Shingles(settings)
+        assert len(digests(text)) == len(shingles(text, 4))
+        assert (digests(text.swapcase()) == digests(text.swapcase().lower())).all() or not text.isascii()
+
+
+def test_bitmaps_leave_out_no_link():
+    settings, rng = neardup.Settings(shingle=4), np.random.default_rng(1)
+    for size in (1, 5, 30, 150, 900, 5000):
+        for _ in range(30):
+            both, left, right = (rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) for n in (size, rng.integers(0, size // 4 + 1), rng.integers(0, size // 8 + 1)))
+            x, y = np.unique(np.append(both, left)), np.unique(np.append(both, right))
+            pair = [neardup.Sketches.of([neardup.signature(s, settings)], [neardup.bitmap(s)], [len(s)]) for s in (x, y)]
+            pair[1].sig = pair[0].sig  # only the bitmaps decide
+            assert len(neardup.close(*pair, settings)[0]) or not neardup.similar(x, y, settings.similarity)
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
