@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import durable, durable_dir  # noqa: F401  (re-exported)
@@ -75,3 +75,38 @@ def bounded_sample(df: DataFrame, class_col: str, per_class: int, seed: int = 7)
         share = min(1.0, per_class / row["count"])
         kept = kept | (F.col(class_col).eqNullSafe(F.lit(row[class_col])) & (digest < F.lit(int(share * (1 << 20)))))
     return df.where(kept)
+
+
+def shuffle_parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def numbered(df: DataFrame, order_by: list[str], keep: list[str], rows_per_part: int = 1_000_000) -> DataFrame:
+    """The columns ``keep`` of all rows and ``index``, the place of a row in the order over all rows, from 0.
+
+    Rows are sorted over ranges and numbered in place; the ranges meet in one row of offsets each. Rows that are
+    equal in ``order_by`` are cut as well, by a hash of their place in ``df``, so a hot key makes no large range.
+    ``df`` is read to count, to sample and to sort.
+    """
+    salted = df.withColumn("__salt", F.xxhash64(F.monotonically_increasing_id()))
+    parts = max(shuffle_parts(df), -(-df.count() // rows_per_part))
+    order = [*order_by, "__salt"]
+    row = F.monotonically_increasing_id()  # the partition in the upper 31 bits, the row in the lower 33
+    stored = durable(
+        salted.repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("__row", row)
+        .select(*keep, F.shiftright("__row", 33).alias("__part"), F.expr("__row & 8589934591").alias("__at"))
+    )
+    ahead = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = stored.groupBy("__part").agg(F.count("*").alias("__n"))
+    offsets = durable(sizes.select("__part", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__before")))
+    return stored.join(offsets, "__part").select(*keep, (F.col("__before") + F.col("__at")).alias("index"))
+
+
+def crc32_sql(number: str) -> str:
+    """SQL for the unsigned CRC-32 of a number in decimal, bit by bit."""
+    step = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))"
+    text = f"({number})::VARCHAR"
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda c, b: {step}), 4294967295)"

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, mixing, neardup, pii, quality, repeats, tokencount, toxicity
+from . import ann, bpe, langid, merkle, mixing, neardup, pii, quality, repeats, simhash, tokencount, toxicity, trie
 from .common import held_out, read_table
 
 BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -66,6 +66,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "quality")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = merkle.manifest(docs, merkle.tampered(docs))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.rebuilt_nodes(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_toxicity": op1_toxicity,
@@ -78,5 +93,8 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
+    "op11_merkle": op11_merkle,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_simhash": op13_simhash,
 }
-ORACLE = {"op4_mixing": mixing.SQL}
+ORACLE = {"op4_mixing": mixing.SQL, "op11_merkle": merkle.SQL, "op12_prefix_trie": trie.SQL}
