@@ -73,3 +73,4 @@ EMPTY_SYMBOL = "empty_symbol"
 NON_FINITE = "non_finite"
 NON_POSITIVE = "non_positive"
 DUPLICATE = "duplicate"
+REJECT_REASONS = (BAD_JSON, MISSING_FIELD, BAD_TYPE, EMPTY_SYMBOL, NON_FINITE, NON_POSITIVE, DUPLICATE)

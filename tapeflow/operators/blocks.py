@@ -64,6 +64,31 @@ def range_parts(
     )
 
 
+def part_offsets(parts: DataFrame, rows: Column | None = None) -> DataFrame:
+    """(``_part``, ``_offset``): how many rows, or how much of ``rows``, the parts before hold. One row per part, the only
+    place where all parts meet."""
+    sizes = parts.groupBy(PART).agg((F.count("*") if rows is None else F.sum(rows)).alias("_n"))
+    ahead = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    return durable(sizes.select(PART, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_offset")))
+
+
+def with_previous(parts: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """Rows of :func:`range_parts` ordered by ``key`` first, with the ``value`` of the row before it in the key.
+
+    A part looks at itself; only its last row is carried to the part behind it.
+    """
+    inside = Window.partitionBy(PART).orderBy(POS)
+    last = F.max_by(F.struct(F.col(key).alias("_key"), F.col(value).alias("_value")), POS)
+    edges = parts.groupBy(PART).agg(last.alias("_edge"))
+    edges = edges.select(PART, F.lag("_edge").over(Window.orderBy(PART)).alias("_edge"))
+    near = F.struct(F.lag(key).over(inside).alias("_key"), F.lag(value).over(inside).alias("_value"))
+    rows = parts.withColumn("_near", near).join(durable(edges), PART, "left")
+    before = F.when(F.col(POS) == 0, F.col("_edge")).otherwise(F.col("_near"))
+    rows = rows.withColumn("_near", before)
+    same = F.col("_near._key").eqNullSafe(F.col(key)) & F.col("_near").isNotNull()
+    return rows.withColumn(name, F.when(same, F.col("_near._value"))).drop("_near", "_edge")
+
+
 def with_halo(
     df: DataFrame,
     key: Sequence[str],

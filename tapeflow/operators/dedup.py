@@ -1,9 +1,7 @@
 """De-duplication of trades and of window rows."""
 
-from collections import deque
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +11,7 @@ from .spikes import ARRIVAL
 
 # The number first: Spark sorts by the bits of a leading number, but compares texts row by row.
 KEY = ("trade_id", "symbol")
+_COPIES = 1024  # an id with more copies is cut into spans
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order_by: Sequence) -> DataFrame:
@@ -54,76 +53,74 @@ def mark_duplicates(
     )
 
 
-def flag_recent(
-    ids: Iterable[int], recent: Sequence[int], horizon: int
-) -> tuple[list[bool], list[int]]:
-    """Duplicate flags of ``ids`` in order, given the last accepted ids, and the ids to carry on."""
-    memory = deque(recent, maxlen=horizon)
-    known = set(memory)
-    flags = []
-    for trade_id in ids:
-        duplicate = trade_id in known
-        flags.append(duplicate)
-        if not duplicate:
-            if len(memory) == horizon:
-                known.discard(memory[0])
-            memory.append(trade_id)
-            known.add(trade_id)
-    return flags, list(memory)
-
-
 def _mark_within_horizon(df: DataFrame, horizon: int, order: Sequence[str]) -> DataFrame:
-    """Acceptance depends on what was accepted before, so blocks of a symbol are run in parallel
-    on an assumed memory and again while the memory handed over by the block before differs.
+    """Only copies of repeated ids are in question. A copy is dropped if fewer than ``horizon`` trades were
+    accepted since the last accepted copy: its place less the duplicates before it says how many were.
+
+    So the duplicates are a fixpoint: from the duplicates before each place follow those of each id,
+    copy by copy, and from these the duplicates before each place. The decision on a row rests on earlier
+    rows alone, so there is one fixpoint, and each round settles more rows from the front; two or three
+    rounds do where ids return seldom.
 
-    The first block of a symbol is right at once, so each round settles at least one more block;
-    in practice the memory stops depending on the past after ``horizon`` accepted trades and two
-    rounds do. A task holds one block's ids and ``horizon`` carried ids.
+    An id with many copies is cut into spans of places. A span takes what the spans before it accepted from
+    the round before, so an id that is accepted again and again takes a round for each span at worst.
     """
-    spark = df.sparkSession
-    key, pos = ["symbol", B.PART], B.POS
     parts = B.range_parts(df, ["symbol", *[c for c in order if c != "symbol"]])
-    rows = parts.select(*key, pos, "trade_id")
-    key_types = ", ".join(f"`{c}` {parts.schema[c].dataType.simpleString()}" for c in key)
-    # A block's result: the memory it hands on, and the places of its duplicates.
-    result_type = f"{key_types}, recent array<bigint>, copies array<bigint>"
-
-    def run_block(block: pd.DataFrame, memory: pd.DataFrame) -> pd.DataFrame:
-        if block.empty:
-            return pd.DataFrame({c: [] for c in [*key, "recent", "copies"]})
-        block = block.sort_values(pos)
-        known = memory["recent"].iloc[0] if len(memory) else ()
-        flags, recent = flag_recent(block["trade_id"].tolist(), known, horizon)
-        copies = block[pos].to_numpy()[flags]
-        first = {c: [block[c].iloc[0]] for c in key}
-        return pd.DataFrame({**first, "recent": [recent], "copies": [copies.tolist()]})
-
-    def run(rows: DataFrame, memory: DataFrame) -> DataFrame:
-        pairs = rows.groupBy(*key).cogroup(memory.groupBy(*key))
-        return pairs.applyInPandas(run_block, result_type)
-
-    following = F.lead(B.PART).over(Window.partitionBy("symbol").orderBy(B.PART))
-    links = durable(rows.select(*key).distinct().withColumn("_next", following))
-    incoming = spark.createDataFrame([], f"{key_types}, recent array<bigint>")
-    results = durable(run(rows, incoming))
+    places = parts.select(*KEY, B.PART, B.POS).join(B.part_offsets(parts), B.PART)
+    places = places.select(*KEY, B.PART, B.POS, (F.col("_offset") + F.col(B.POS)).alias("_place"))
+    counts = places.groupBy(*[F.col(c).alias(f"_{c}") for c in KEY]).agg(F.count("*").alias("_copies"))
+    again = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in KEY]
+    span = max(_COPIES, min(16 * horizon, 64 * _COPIES))
+    number = F.when(F.col("_copies") > _COPIES, F.floor(F.col("_place") / span)).otherwise(0)
+    rows = places.join(counts.filter("_copies > 1"), again).select(
+        *KEY, B.PART, B.POS, "_place", number.alias("_span"), F.lit(False).alias("_copy")
+    )
+    rows = durable(rows)
     while True:
-        handed = results.join(links.filter("_next is not null"), key).select(
-            "symbol", F.col("_next").alias(B.PART), "recent"
-        )
-        before = incoming.withColumnRenamed("recent", "_before")
-        handed = durable(handed.join(before, key, "left"))
-        stale = handed.filter(~F.col("recent").eqNullSafe(F.col("_before"))).drop("_before")
-        incoming = handed.drop("_before")
-        if stale.isEmpty():
+        rows = durable(_decide(_with_duplicates_before(rows), horizon))
+        if rows.filter(F.col("_copy") != F.col("_was")).isEmpty():
             break
-        again = run(rows.join(stale.select(*key), key, "left_semi"), stale)
-        results = durable(results.join(stale, key, "left_anti").unionByName(again))
-
-    copies = results.select(B.PART, F.explode("copies").alias(pos), F.lit(True).alias("_copy"))
+        rows = rows.drop("_was")
+    copies = rows.filter("_copy").select(B.PART, B.POS, "_copy")
     return (
-        parts.join(copies, [B.PART, pos], "left")
+        parts.join(copies, [B.PART, B.POS], "left")
         .withColumn("is_duplicate", F.coalesce("_copy", F.lit(False)))
-        .drop(B.PART, pos, "_copy")
+        .drop(B.PART, B.POS, "_copy")
+    )
+
+
+def _with_duplicates_before(rows: DataFrame) -> DataFrame:
+    """``_free``: the place of a row less the duplicates among the rows before it."""
+    copy = F.col("_copy").cast("bigint")
+    inside = Window.partitionBy(B.PART).orderBy(B.POS).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_offset") + F.coalesce(F.sum(copy).over(inside), F.lit(0))
+    counted = rows.join(B.part_offsets(rows, copy), B.PART)
+    return counted.withColumn("_free", F.col("_place") - before).drop("_offset")
+
+
+def _decide(rows: DataFrame, horizon: int) -> DataFrame:
+    """``_copy`` anew for each row, copy by copy of an id, and the old one as ``_was``."""
+    key = [*KEY, "_span"]
+    row = F.struct("_place", "_free", B.PART, B.POS, "_copy")
+    spans = rows.groupBy(*key).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+    last = F.try_element_at(F.filter("_rows", lambda r: ~r["_copy"]), F.lit(-1))["_free"]
+    earlier = Window.partitionBy(*KEY).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.last(last, ignorenulls=True)
+    spans = spans.withColumn("_last", carried.over(earlier))
+
+    def step(done, r):
+        # Accepted places only are gathered: few, as a span is some horizons long.
+        kept = done["last"].isNull() | (r["_free"] - done["last"] > horizon)
+        return F.struct(
+            F.when(kept, r["_free"]).otherwise(done["last"]).alias("last"),
+            F.when(kept, F.array_append(done["kept"], r["_place"])).otherwise(done["kept"]).alias("kept"),
+        )
+
+    start = F.struct(F.col("_last").alias("last"), F.array().cast("array<bigint>").alias("kept"))
+    decided = spans.withColumn("_kept", F.aggregate("_rows", start, step)["kept"])
+    each = decided.select(*key, "_kept", F.inline("_rows"))
+    return each.select(
+        *KEY, B.PART, B.POS, "_place", "_span", (~F.array_contains("_kept", F.col("_place"))).alias("_copy"), F.col("_copy").alias("_was")
     )
 
 

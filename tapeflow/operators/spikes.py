@@ -16,32 +16,23 @@ def flag_spikes(
     df: DataFrame,
     threshold_pct: float = C.SPIKE_THRESHOLD_PCT,
     order_by: Sequence[str] = ARRIVAL,
-    block: str | None = "10 minutes",
+    split: bool = True,
 ) -> DataFrame:
     """Add ``is_price_spike``: price more than ``threshold_pct`` percent off the previous trade.
 
-    ``block`` cuts each symbol by time, so that a hot symbol is spread over many tasks; it
-    needs ``order_by`` to start with ``timestamp_ms``. ``block="range"`` cuts by row count
-    whatever the order, at the price of one sort and one write of the rows. ``None`` is the
-    plain window, for data with small symbols. Blocks read ``df`` twice or more: hand over a
-    stored table.
+    All rows are put in order once, cut by row count; each part hands the price of its last row to
+    the next, so neither a hot symbol nor a hot moment makes a long task. Ties in ``order_by``
+    are broken by the other columns. The order reads ``df`` three times: hand over a stored
+    table. ``split=False`` is the plain window, for data with small symbols.
     """
-    order_by = list(order_by)
-    columns = df.columns
-    key = ["symbol"]
-    if block == "range":
-        df = B.range_parts(df, [*key, *order_by]).withColumnRenamed(B.PART, B.BLOCK).drop(B.POS)
-    elif block:
-        if order_by[0] != "timestamp_ms":
-            raise ValueError("time blocks need an order that starts with timestamp_ms")
-        df = df.withColumn(B.BLOCK, B.millis_block(F.col("timestamp_ms"), block))
-    if block:
-        df = B.with_halo(df, key, order_by, ["price"], before=1)
-        # The block number first: Spark sorts by the bits of a leading number.
-        key.insert(0, B.BLOCK)
-    arrival = Window.partitionBy(*key).orderBy(*order_by)
-    previous = F.lag("price").over(arrival)
-    flagged = df.withColumn("is_price_spike", X.is_spike(F.col("price"), previous, threshold_pct))
-    if block:
-        flagged = flagged.filter(~F.col(B.HALO))
-    return flagged.select(*[c for c in columns if c != "is_price_spike"], "is_price_spike")
+    columns = [c for c in df.columns if c != "is_price_spike"]
+    df = df.select(*columns)
+    order = B.total_order(df, list(order_by))
+    if split:
+        parts = B.range_parts(df, ["symbol", *[c for c in order if c != "symbol"]])
+        rows = B.with_previous(parts, "symbol", "price", "_previous")
+    else:
+        before = F.lag("price").over(Window.partitionBy("symbol").orderBy(*order))
+        rows = df.withColumn("_previous", before)
+    spike = X.is_spike(F.col("price"), F.col("_previous"), threshold_pct)
+    return rows.select(*columns, spike.alias("is_price_spike"))

@@ -1,6 +1,7 @@
 """Running statistics per symbol."""
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,11 +15,10 @@ from .spikes import ARRIVAL
 _SUMS = ("trades", "_price_sum", "total_value", "duplicates", "spikes")
 
 
-def _running(frame) -> list:
+def _running(frame) -> dict:
     """Totals over a window frame."""
-    sums = [F.sum(c).over(frame).alias(c) for c in _SUMS]
     least, greatest = F.min("min_price").over(frame), F.max("max_price").over(frame)
-    return [*sums, least.alias("min_price"), greatest.alias("max_price")]
+    return {c: F.sum(c).over(frame) for c in _SUMS} | {"min_price": least, "max_price": greatest}
 
 
 def symbol_stats(clean: DataFrame, rejects: DataFrame | None = None) -> DataFrame:
@@ -40,19 +40,10 @@ def symbol_stats(clean: DataFrame, rejects: DataFrame | None = None) -> DataFram
     return _stats(rows)
 
 
-def marked_stats(marked: DataFrame) -> DataFrame:
-    """The same over valid trades with ``is_duplicate`` and ``is_price_spike``; on a stream, the
-    running statistics."""
-    kept = ~F.col("is_duplicate")
-    return _stats(
-        marked.select(
-            "symbol",
-            F.when(kept, F.col("price")).alias("price"),
-            F.when(kept, X.trade_value(F.col("price"), F.col("quantity"))).alias("trade_value_usdt"),
-            (kept & F.col("is_price_spike")).alias("is_price_spike"),
-            F.when(~kept, C.DUPLICATE).alias("reason"),
-        )
-    )
+def totals_stats(carried: DataFrame) -> DataFrame:
+    """The same from the totals that :func:`running_totals` carries."""
+    mean = F.coalesce(F.try_divide("_price_sum", "trades"), F.lit(0.0)).alias("avg_price")
+    return carried.select("symbol", "trades", mean, "min_price", "max_price", "total_value", "duplicates", "spikes")
 
 
 def _stats(rows: DataFrame) -> DataFrame:
@@ -69,43 +60,46 @@ def _stats(rows: DataFrame) -> DataFrame:
     )
 
 
-def stats_snapshots(
+class Totals(NamedTuple):
+    """Statistics of a batch of trades: the intervals in which they hold, and what the next batch goes on from."""
+
+    intervals: DataFrame
+    carried: DataFrame
+
+
+def running_totals(
     marked: DataFrame,
     interval: int = C.STATS_INTERVAL,
     order_by: Sequence[str] = ARRIVAL,
     span: int = 10_000,
-) -> DataFrame:
-    """Statistics of every symbol seen so far after each ``interval``-th accepted trade, counted
-    over all symbols in ``order_by``.
+    carried: DataFrame | None = None,
+) -> Totals:
+    """Statistics of every symbol after each ``interval``-th accepted trade, counted over all symbols in ``order_by``.
+
+    ``marked`` holds the valid trades with ``is_duplicate`` and ``is_price_spike``; hand over a stored table. A
+    symbol has one row for each snapshot that found it changed, valid ``from_trades`` to ``to_trades`` (null while
+    nothing newer is known). ``carried`` is what an earlier batch left: the count goes on from there.
 
-    ``marked`` holds the valid trades with ``is_duplicate`` and ``is_price_spike``. The global
-    count comes from range parts and their offsets, and running totals are carried over spans of
-    ``span`` snapshots, so no task sees more than a part or a span.
+    The count comes from range parts and their offsets, and totals are carried over spans of ``span`` snapshots, so no
+    task sees more than a part or a span.
     """
     # Only what the statistics use; rows that tie in all of it are interchangeable.
     order = list(dict.fromkeys([*order_by, "symbol", "is_duplicate", "price", "quantity", "is_price_spike"]))
-    parts = B.range_parts(durable(marked.select(*order)), order)
+    parts = B.range_parts(marked.select(*order), order)
     accepted = (~F.col("is_duplicate")).cast("bigint")
-    per_part = parts.groupBy(B.PART).agg(F.sum(accepted).alias("_accepted"))
-    # One row per part: the only place where all parts meet.
-    ahead = Window.orderBy(B.PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = durable(
-        per_part.withColumn("_offset", F.coalesce(F.sum("_accepted").over(ahead), F.lit(0)))
-    )
-    total = offsets.agg(F.sum("_accepted")).first()[0] or 0
+    offsets = B.part_offsets(parts, accepted)
+    before = 0 if carried is None else carried.agg(F.sum("trades")).first()[0] or 0
+    total = before + (parts.agg(F.sum(accepted)).first()[0] or 0)
     snapshots = total // interval
 
     inside = Window.partitionBy(B.PART).orderBy(B.POS).rowsBetween(Window.unboundedPreceding, 0)
-    counted = parts.join(offsets.select(B.PART, "_offset"), B.PART).withColumn(
-        "_count", F.col("_offset") + F.sum(accepted).over(inside)
-    )
+    counted = parts.join(offsets, B.PART).withColumn("_count", F.lit(before) + F.col("_offset") + F.sum(accepted).over(inside))
     # A duplicate that follows the last trade of a snapshot belongs to the next one.
     number = F.floor((F.col("_count") - F.when(F.col("is_duplicate"), 0).otherwise(1)) / interval)
     price = F.when(~F.col("is_duplicate"), F.col("price"))
     value = F.when(~F.col("is_duplicate"), X.trade_value(F.col("price"), F.col("quantity")))
     steps = (
         counted.withColumn("_step", number)
-        .filter(F.col("_step") < snapshots)
         .groupBy("symbol", "_step")
         .agg(
             F.sum(accepted).alias("trades"),
@@ -116,44 +110,41 @@ def stats_snapshots(
             F.min(price).alias("min_price"),
             F.max(price).alias("max_price"),
         )
-        .withColumn("_span", F.floor(F.col("_step") / span))
     )
-    steps = durable(steps)
-
     merged = [F.sum(c).alias(c) for c in _SUMS]
     merged += [F.min("min_price").alias("min_price"), F.max("max_price").alias("max_price")]
-    # What a symbol brings into each span, for every span from its first one on.
-    last_span = max(snapshots - 1, 0) // span
+    if carried is not None:
+        # A symbol that changed behind the last snapshot is due for the next one.
+        due = F.when(F.col("pending"), F.lit(before // interval)).otherwise(-1)
+        steps = steps.unionByName(carried.withColumn("_step", due).drop("pending")).groupBy("symbol", "_step").agg(*merged)
+    steps = durable(steps.withColumn("_span", F.floor(F.col("_step") / span)))
+    pending = (F.max("_step") >= snapshots).alias("pending")
+    left = steps.groupBy("symbol").agg(*merged, pending)
+
+    # What a symbol brings into a span, and where it changes after it.
     spans = Window.partitionBy("symbol").orderBy("_span")
-    so_far = spans.rowsBetween(Window.unboundedPreceding, 0)
-    carried = (
-        steps.groupBy("symbol", "_span")
-        .agg(*merged)
-        .withColumn("_until", F.coalesce(F.lead("_span").over(spans), F.lit(last_span)))
-        .select("symbol", "_span", "_until", *_running(so_far))
-        .filter(F.col("_until") > F.col("_span"))
-        .withColumn("_span", F.explode(F.sequence(F.col("_span") + 1, F.col("_until"))))
-        .withColumn("_step", F.col("_span") * span)
-        .drop("_until")
+    ahead = spans.rowsBetween(Window.unboundedPreceding, -1)
+    brought = steps.groupBy("symbol", "_span").agg(*merged, F.min("_step").alias("_first")).select(
+        "symbol",
+        "_span",
+        F.lead("_first").over(spans).alias("_next"),
+        F.struct(*[c.alias(n) for n, c in _running(ahead).items()]).alias("_ahead"),
     )
     step = Window.partitionBy("symbol", "_span").orderBy("_step")
-    end = F.least((F.col("_span") + 1) * span, F.lit(snapshots)) - 1
-    filled = (
-        steps.unionByName(carried)
-        .groupBy("symbol", "_span", "_step")
-        .agg(*merged)
-        .withColumn("_until", F.coalesce(F.lead("_step").over(step) - 1, end))
-        .select(
-            "symbol",
-            "_step",
-            "_until",
-            *_running(step.rowsBetween(Window.unboundedPreceding, 0)),
-        )
-        .withColumn("_step", F.explode(F.sequence("_step", "_until")))
+    so_far = _running(step.rowsBetween(Window.unboundedPreceding, 0))
+    until = F.coalesce(F.lead("_step").over(step), F.col("_next")) - 1
+    rows = steps.join(durable(brought), ["symbol", "_span"]).select(
+        "symbol",
+        "_step",
+        until.alias("_until"),
+        *[(F.coalesce(F.col("_ahead")[n], F.lit(0)) + so_far[n]).alias(n) for n in _SUMS],
+        F.least(F.col("_ahead.min_price"), so_far["min_price"]).alias("min_price"),
+        F.greatest(F.col("_ahead.max_price"), so_far["max_price"]).alias("max_price"),
     )
-    return filled.select(
-        ((F.col("_step") + 1) * interval).alias("after_trades"),
+    intervals = rows.filter((F.col("_step") >= 0) & (F.col("_step") < snapshots)).select(
         "symbol",
+        ((F.col("_step") + 1) * interval).alias("from_trades"),
+        ((F.col("_until") + 1) * interval).alias("to_trades"),
         "trades",
         F.coalesce(F.try_divide("_price_sum", "trades"), F.lit(0.0)).alias("avg_price"),
         "min_price",
@@ -162,3 +153,35 @@ def stats_snapshots(
         "duplicates",
         "spikes",
     )
+    return Totals(intervals, left)
+
+
+def stats_at(intervals: DataFrame, after_trades: int) -> DataFrame:
+    """The statistics of every symbol as of a number of accepted trades: the newest interval that had begun."""
+    begun = intervals.filter(F.col("from_trades") <= after_trades)
+    names = [c for c in intervals.columns if c not in ("symbol", "from_trades", "to_trades")]
+    newest = begun.groupBy("symbol").agg(F.max_by(F.struct(*names), "from_trades").alias("_row"))
+    return newest.select(F.lit(after_trades).cast("bigint").alias("after_trades"), "symbol", "_row.*")
+
+
+def stats_snapshots(
+    marked: DataFrame,
+    interval: int = C.STATS_INTERVAL,
+    order_by: Sequence[str] = ARRIVAL,
+    span: int = 10_000,
+) -> DataFrame:
+    """The intervals of :func:`running_totals` written out: a row for every symbol seen so far at every snapshot. That is
+    symbols times snapshots rows; to look something up, use the intervals."""
+    intervals = durable(running_totals(marked, interval, order_by, span).intervals)
+    return every_snapshot(intervals, interval)
+
+
+def every_snapshot(intervals: DataFrame, interval: int = C.STATS_INTERVAL) -> DataFrame:
+    """A row for each symbol and snapshot that the intervals cover, up to the last one."""
+    last = intervals.agg(F.max(F.greatest("from_trades", F.coalesce("to_trades", F.lit(0))))).first()[0] or 0
+    newest = F.lead("from_trades").over(Window.partitionBy("symbol").orderBy("from_trades"))
+    until = F.coalesce("to_trades", newest - interval, F.lit(last))
+    rows = intervals.withColumn("to_trades", until)
+    moments = F.sequence("from_trades", "to_trades", F.lit(interval).cast("bigint"))
+    columns = [c for c in rows.columns if c not in ("symbol", "from_trades", "to_trades")]
+    return rows.select(F.explode(moments).alias("after_trades"), "symbol", *columns)

@@ -175,13 +175,13 @@ def dedup_recent_2000(spark, sf_dir):
 
 @query()
 def flag_spikes_by_time(spark, sf_dir):
-    return flag_spikes(events(spark, sf_dir).filter("price > 0")).drop("event_time", "trade_time")
+    return flag_spikes(durable(events(spark, sf_dir).filter("price > 0"))).drop("event_time", "trade_time")
 
 
 @query()
 def flag_spikes_by_range(spark, sf_dir):
     trades = durable(D.dedup_recent(lineitem(spark, sf_dir)))
-    return flag_spikes(trades, threshold_pct=50.0, block="range").drop("event_time", "trade_time")
+    return flag_spikes(trades, threshold_pct=50.0).drop("event_time", "trade_time")
 
 
 @query(digits=2)

@@ -27,12 +27,11 @@ def mark_trades(
     horizon: int | None = None,
     threshold_pct: float = C.SPIKE_THRESHOLD_PCT,
     order_by: Sequence[str] = ARRIVAL,
-    block: str | None = "10 minutes",
 ) -> DataFrame:
     """Valid trades with ``is_duplicate`` and ``is_price_spike``, the batch form of the keyed
     stream state: a spike is measured against the previous trade that is not a duplicate."""
     marked = durable(mark_duplicates(valid, horizon, order_by))
-    kept = flag_spikes(marked.filter(~F.col("is_duplicate")), threshold_pct, order_by, block)
+    kept = flag_spikes(marked.filter(~F.col("is_duplicate")), threshold_pct, order_by)
     copies = marked.filter("is_duplicate").withColumn("is_price_spike", F.lit(False))
     return kept.unionByName(copies)
 

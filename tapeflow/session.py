@@ -88,11 +88,24 @@ def _files(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
-def delete_siblings(spark: SparkSession, path: str) -> None:
-    """Delete the other folders of a partition column: ``.../name=1`` and so on, for a path ``.../name=2``."""
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files of a folder; none where there is no folder."""
+    files, target = _files(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(target)] if files.exists(target) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Leave an empty file."""
+    files, target = _files(spark, path)
+    files.create(target, True).close()
+
+
+def delete_siblings(spark: SparkSession, path: str, but: tuple[str, ...] = ()) -> None:
+    """Delete the other folders of a partition column, ``.../name=1`` and so on for a path ``.../name=2``, but those
+    with the given names."""
     files, target = _files(spark, path)
     prefix = target.getName().partition("=")[0] + "="
     for status in files.listStatus(target.getParent()):
         name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(prefix) and name != target.getName():
+        if status.isDirectory() and name.startswith(prefix) and name not in (target.getName(), *but):
             files.delete(status.getPath(), True)

@@ -34,10 +34,11 @@ def read_trade_stream(
     json_dir: str | None = None,
     max_per_trigger: int | None = None,
     options: Mapping[str, str] | None = None,
+    arrival: bool = False,
 ) -> DataFrame:
     """Stream of messages as text in ``json_str``: the topic of ``settings``, or new files of
     ``json_dir`` with one message per line. ``max_per_trigger`` bounds a micro-batch (offsets or
-    files)."""
+    files). ``arrival`` adds where a message came from, see :func:`in_arrival_order`."""
     reader = spark.readStream
     if json_dir is None:
         reader = reader.format("kafka").options(**topic_options(settings or Settings()))
@@ -49,16 +50,39 @@ def read_trade_stream(
         reader = reader.option(limit, max_per_trigger)
     reader = reader.options(**(options or {}))
     messages = reader.load() if json_dir is None else reader.load(json_dir)
-    return messages.select(F.col("value").cast("string").alias("json_str"))
+    return _select(messages, json_dir, arrival)
 
 
 def read_trade_messages(
-    spark: SparkSession, settings: Settings | None = None, json_dir: str | None = None
+    spark: SparkSession, settings: Settings | None = None, json_dir: str | None = None, arrival: bool = False
 ) -> DataFrame:
-    """The same as a table, for backfills: the whole topic up to now, or all files."""
+    """The same as a table, for backfills: the whole topic up to now, or all files. With ``arrival``, in the order
+    of ``arrival`` of :func:`in_arrival_order`."""
     if json_dir is not None:
         messages = spark.read.text(json_dir)
     else:
         options = topic_options(settings or Settings()) | {"startingOffsets": "earliest"}
         messages = spark.read.format("kafka").options(**options).load()
-    return messages.select(F.col("value").cast("string").alias("json_str"))
+    found = _select(messages, json_dir, arrival)
+    return in_arrival_order(found) if arrival else found
+
+
+def _select(messages: DataFrame, json_dir: str | None, arrival: bool) -> DataFrame:
+    columns = [F.col("value").cast("string").alias("json_str")]
+    if arrival:
+        place = ["partition", "offset"]
+        if json_dir is not None:
+            place = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")]
+        columns.append(F.struct(*place).alias("arrival"))
+    return messages.select(*columns)
+
+
+def in_arrival_order(messages: DataFrame) -> DataFrame:
+    """Complete ``arrival``, by which rows can be ordered as they came: for files the path, the start of the block
+    and the row in the block; for a topic the partition and the offset.
+
+    Rows of a block are read by one task in their order and numbered there, so this must directly follow the
+    source, and the result must be stored before it is used twice. A stream numbers its rows inside a micro-batch.
+    """
+    row = F.monotonically_increasing_id().alias("row")
+    return messages.withColumn("arrival", F.struct("arrival.*", row))

@@ -1,15 +1,15 @@
 """Streaming queries: sources to layers, clean trades to window tables, tables to scores."""
 
-from collections import Counter
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from .. import constants as C
 from ..operators.ingest import enrich_trades, split_rejects, to_records, unwrap_messages, validate_trades
-from ..operators.stats import marked_stats
+from ..operators.spikes import ARRIVAL
+from ..operators.stats import running_totals, totals_stats
 from ..operators.windows import (
     aggregate_sliding,
     aggregate_tumbling,
@@ -18,11 +18,11 @@ from ..operators.windows import (
 )
 from ..plans.pipelines import score_windows
 from ..schemas import TUMBLING_TABLE
-from ..session import delete_siblings, temporary_tables
+from ..session import delete_siblings, durable, list_names, temporary_tables, touch
 from ..settings import Settings
 from ..sources.tables import read_window_table
-from ..sources.topics import read_trade_stream, topic_sink_options
-from .state import mark_stream
+from ..sources.topics import in_arrival_order, read_trade_stream, topic_sink_options
+from .state import mark_batch, no_memory
 
 Trigger = Mapping[str, object]
 _CONSOLE_ROWS = 50
@@ -63,36 +63,73 @@ def write_raw(
     return _layer(raw, C.RAW_TOPIC, settings, to_topic, trigger)
 
 
-def ingest_stream(messages: DataFrame, value: str = "json_str", **marking) -> DataFrame:
-    """Valid trades of a message stream with ``is_duplicate`` and ``is_price_spike``."""
-    accepted, _ = split_rejects(validate_trades(unwrap_messages(messages, value)))
-    return mark_stream(accepted.drop(value, "raw", "parse_ok"), **marking)
-
-
-def write_clean(
-    marked: DataFrame,
+def start_ingest(
+    messages: DataFrame,
     settings: Settings,
+    value: str = "json_str",
+    horizon: int = C.DEDUP_HORIZON,
+    threshold_pct: float = C.SPIKE_THRESHOLD_PCT,
+    interval: int = C.STATS_INTERVAL,
+    order_by: Sequence[str] | None = None,
     source: str = C.SOURCE_NAME,
     to_topic: bool = False,
     trigger: Trigger | None = None,
 ) -> StreamingQuery:
-    """Store the accepted trades as JSON records."""
-    clean = enrich_trades(marked.filter(~F.col("is_duplicate")), source)
-    return _layer(to_records(clean), C.CLEAN_TOPIC, settings, to_topic, trigger)
+    """Messages to accepted and rejected trades with their statistics, in one query.
 
+    Each micro-batch writes a folder ``batch=N`` of every table: the accepted trades as JSON records (to the topic, if
+    asked), ``rejects`` with their messages and reasons, duplicates included, ``reject_counts``, ``symbol_stats`` (all
+    trades so far) and ``stats_intervals``. Rows are taken in ``order_by``: as they arrived if ``messages`` have
+    ``arrival``, else by time and id.
 
-def write_stats(
-    marked: DataFrame, settings: Settings, name: str = "symbol_stats", trigger: Trigger | None = None
-) -> StreamingQuery:
-    """Statistics of every symbol after each micro-batch, one folder per batch. A batch that is
-    run again after a failure replaces its own folder."""
-    path = settings.output_path(name)
+    The memory of ids and prices and the totals are tables beside the checkpoint, one for each micro-batch, read by the
+    next one. A micro-batch that is run again after a failure starts from the same tables and replaces its own
+    folders, so nothing counts twice; only a topic may get records twice.
+    """
+    spark = messages.sparkSession
+    arrival = "arrival" in messages.columns
+    order = list(order_by or (["arrival"] if arrival else ARRIVAL))
+    state = settings.checkpoint_path(C.CLEAN_TOPIC) + "/carried"
 
-    def write(stats: DataFrame, batch_id: int) -> None:
-        stats.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    def carried(name: str, batch_id: int) -> DataFrame | None:
+        return spark.read.parquet(f"{state}/{name}/batch={batch_id - 1}") if batch_id else None
 
-    writer = marked_stats(marked).writeStream.outputMode("complete").queryName(name)
-    return _start(writer.foreachBatch(write), settings.checkpoint_path(name), trigger)
+    def keep(table: DataFrame, path: str, batch_id: int) -> DataFrame:
+        table.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        return spark.read.schema(table.schema).parquet(f"{path}/batch={batch_id}")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with temporary_tables(spark):
+            placed = in_arrival_order(batch) if arrival else batch
+            checked = durable(validate_trades(unwrap_messages(placed, value)).drop("raw", "parse_ok"))
+            accepted, refused = split_rejects(checked)
+            memory = carried("memory", batch_id)
+            marked, memory = mark_batch(accepted, no_memory(spark) if memory is None else memory, horizon, threshold_pct, order)
+            marked = durable(marked)
+            clean = to_records(enrich_trades(marked.filter("not is_duplicate"), source))
+            if to_topic:
+                clean.write.format("kafka").options(**topic_sink_options(settings, C.CLEAN_TOPIC)).save()
+            else:
+                keep(clean, settings.output_path(C.CLEAN_TOPIC), batch_id)
+            copies = marked.filter("is_duplicate").withColumn("reject_reason", F.lit(C.DUPLICATE))
+            rejects = refused.unionByName(copies, allowMissingColumns=True)
+            seen = Observation("rejects")
+            counted = rejects.observe(seen, *[F.count_if(F.col("reject_reason") == r).alias(r) for r in C.REJECT_REASONS])
+            names = [value, "symbol", "trade_id", "timestamp_ms", "missing_keys", "reject_reason"]
+            keep(counted.select(*names), settings.output_path("rejects"), batch_id)
+            counts = [(reason, n) for reason, n in seen.get.items() if n]
+            counts = spark.createDataFrame(counts, "reject_reason string, rejected bigint")
+            keep(counts.coalesce(1), settings.output_path("reject_counts"), batch_id)
+            totals = running_totals(marked, interval, order, carried=carried("totals", batch_id))
+            keep(totals.intervals, settings.output_path("stats_intervals"), batch_id)
+            left = keep(totals.carried, f"{state}/totals", batch_id)
+            keep(totals_stats(left), settings.output_path("symbol_stats"), batch_id)
+            keep(memory, f"{state}/memory", batch_id)
+        for name in ("totals", "memory"):  # the batch before stays, in case this one has to run again
+            delete_siblings(spark, f"{state}/{name}/batch={batch_id}", (f"batch={batch_id - 1}",))
+
+    writer = messages.writeStream.queryName("ingest").foreachBatch(run)
+    return _start(writer, settings.checkpoint_path(C.CLEAN_TOPIC), trigger)
 
 
 def start_window_query(
@@ -149,19 +186,30 @@ def start_pipeline(
 
 
 class LateRows(StreamingQueryListener):
-    """Counts the rows that stateful operators drop behind the watermark, over the whole life of every query
-    that runs while the listener is attached (``spark.streams.addListener``)."""
+    """Counts the rows that stateful operators drop behind the watermark, over the whole life of a query.
+
+    Each micro-batch that drops rows leaves a file named after it in ``late_rows`` beside the query's checkpoint, so the
+    count outlives the driver, and a micro-batch that is run again counts once. Attach the listener
+    (``spark.streams.addListener``) before the queries of :func:`start_pipeline` start, and after a restart again.
+    """
+
+    def __init__(self, spark: SparkSession, settings: Settings) -> None:
+        self._spark, self._settings = spark, settings
 
-    def __init__(self) -> None:
-        self._totals: Counter[str] = Counter()
+    def _folder(self, table: str) -> str:
+        return f"{self._settings.checkpoint_path(table)}/late_rows"
 
-    def total(self, query: StreamingQuery) -> int:
-        """Progress is reported in the background: of a query that ended, shortly after its end."""
-        return self._totals[str(query.id)]
+    def total(self, table: str) -> int:
+        """Rows dropped so far from a window table. Progress is reported in the background: of a query that ended,
+        shortly after its end."""
+        names = list_names(self._spark, self._folder(table))
+        return sum(int(name.partition("-")[2]) for name in names if name[0] != ".")
 
     def onQueryProgress(self, event) -> None:
         late = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
-        self._totals[str(event.progress.id)] += late
+        table = next((t for t in (C.TUMBLING_NAME, C.SLIDING_NAME) if (event.progress.name or "").startswith(t)), None)
+        if late and table:
+            touch(self._spark, f"{self._folder(table)}/{event.progress.batchId}-{late}")
 
     def onQueryStarted(self, event) -> None:
         pass

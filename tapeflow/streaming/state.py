@@ -1,57 +1,53 @@
-"""Per-symbol memory on a stream: recent trade ids and the last price."""
+"""Memory per symbol, carried as a table from one micro-batch to the next: recent trade ids and the last price."""
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from typing import NamedTuple
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import BooleanType, StructType
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..operators.dedup import flag_recent
-from ..operators.spikes import ARRIVAL
+from ..operators.blocks import total_order
+from ..operators.dedup import mark_duplicates
+from ..operators.spikes import ARRIVAL, flag_spikes
+from ..session import durable
 
+#: The last accepted trades of each symbol; ``_seq`` ascends with their order.
+MEMORY = "symbol string, _seq bigint, trade_id bigint, price double"
 
-def mark_stream(
+
+class Marked(NamedTuple):
+    trades: DataFrame
+    memory: DataFrame
+
+
+def no_memory(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], MEMORY)
+
+
+def mark_batch(
     valid: DataFrame,
+    memory: DataFrame,
     horizon: int = C.DEDUP_HORIZON,
     threshold_pct: float = C.SPIKE_THRESHOLD_PCT,
     order_by: Sequence[str] = ARRIVAL,
-) -> DataFrame:
-    """Add ``is_duplicate`` (id among the last ``horizon`` accepted ids of the symbol) and
-    ``is_price_spike`` (against the previous accepted trade) to a stream of valid trades.
+) -> Marked:
+    """Add ``is_duplicate`` (id among the last ``horizon`` accepted ids of the symbol) and ``is_price_spike`` (against the
+    previous accepted trade) to a batch of valid trades, and give the memory to carry on.
 
-    Both live in one state of fixed size per symbol, so they see the same order: micro-batches
-    in turn, and ``order_by`` inside one. A task holds the rows of a symbol in one micro-batch;
-    bound them with ``max_per_trigger`` of the source. The state outlives a restart.
+    The remembered trades go ahead of the batch as if they were part of it; batch operators do the rest, so a hot symbol is
+    cut into parts like any table. The memory holds ``horizon`` rows a symbol at most.
     """
-    order = list(order_by)
-    marks = ("is_duplicate", "is_price_spike")
-    schema = StructType([f for f in valid.schema.fields if f.name not in marks])
-    for name in marks:
-        schema = schema.add(name, BooleanType())
-
-    def mark(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        recent, last_price = state.get if state.exists else ([], None)
-        rows = pd.concat(list(batches)).sort_values(order, kind="stable")
-        duplicate, recent = flag_recent(rows["trade_id"].tolist(), recent, horizon)
-        kept = ~np.array(duplicate, dtype=bool)
-        prices = rows["price"].to_numpy(dtype=float)
-        accepted = prices[kept]
-        spike = np.zeros(len(rows), dtype=bool)
-        if len(accepted):
-            first = np.nan if last_price is None else last_price
-            previous = np.concatenate([[first], accepted[:-1]])
-            spike[kept] = np.abs(accepted - previous) / previous * 100 > threshold_pct
-            last_price = float(accepted[-1])
-        state.update((recent, last_price))
-        yield rows.assign(is_duplicate=~kept, is_price_spike=spike)[schema.names]
-
-    return valid.groupBy("symbol").applyInPandasWithState(
-        mark,
-        schema,
-        "recent array<bigint>, last_price double",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+    past = memory.withColumn("_new", F.lit(False))
+    rows = valid.withColumn("_new", F.lit(True)).unionByName(past, allowMissingColumns=True)
+    order = ["_new", "_seq", *order_by]
+    marked = durable(mark_duplicates(durable(rows), horizon, order))
+    accepted = marked.filter("not is_duplicate")
+    spikes = durable(flag_spikes(accepted, threshold_pct, order))
+    copies = marked.filter("is_duplicate").withColumn("is_price_spike", F.lit(False))
+    result = spikes.unionByName(copies).filter("_new").drop("_new", "_seq")
+    # Spark keeps so many rows of a symbol in each task before they meet.
+    newest = Window.partitionBy("symbol").orderBy(*[F.col(c).desc() for c in total_order(accepted, order)])
+    kept = accepted.withColumn("_age", F.row_number().over(newest)).filter(F.col("_age") <= horizon)
+    kept = kept.select("symbol", (-F.col("_age")).cast("bigint").alias("_seq"), "trade_id", "price")
+    return Marked(result, kept)

@@ -44,6 +44,20 @@ def test_blocks_that_depend_on_all_earlier_blocks(trades):
     assert marked(trades(*rows), horizon=1) == expected
 
 
+def test_an_id_with_more_copies_than_a_span(trades, monkeypatch):
+    monkeypatch.setattr(D, "_COPIES", 8)
+    rows = [("A", 1.0, ts, 0 if ts % 3 == 0 else ts) for ts in range(1, 900)]
+    for horizon in (1, 2, 5, 40):
+        expected = {(r[0], r[2], r[3]): duplicate for r, duplicate in brute_force(rows, horizon)}
+        assert marked(trades(*rows), horizon=horizon) == expected
+
+
+def test_copies_that_tie_in_all_columns(trades):
+    rows = [("A", 1.0, 5, 7)] * 4 + [("A", 1.0, 6, 8)]
+    flags = [r.is_duplicate for r in D.mark_duplicates(trades(*rows), horizon=3).collect()]
+    assert sorted(flags) == [False, False, True, True, True]
+
+
 def test_id_returns_after_the_horizon(trades):
     rows = [("A", 1.0, ts, ts) for ts in range(1, 2003)] + [("A", 1.0, 9000, 1), ("A", 1.0, 9001, 2002)]
     flags = marked(trades(*rows), horizon=2000)

@@ -3,8 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tapeflow.operators import windows as W
+from tapeflow.operators.blocks import range_parts
+from tapeflow.operators.dedup import mark_duplicates
 from tapeflow.operators.spikes import flag_spikes
 from tapeflow.operators.windows import clean_trades
 from tapeflow.session import durable
@@ -52,16 +55,25 @@ def test_hot_paths_stay_out_of_python(stored):
     for table in (
         W.aggregate_sliding(clean_trades(stored)),
         flag_spikes(stored),
-        flag_spikes(stored, block=None),
+        flag_spikes(stored, split=False),
     ):
         plan = plan_of(table)
         assert "Python" not in plan and "InPandas" not in plan and "InArrow" not in plan
 
 
-def test_spikes_shuffle_trades_by_block_and_symbol(stored):
-    plan = plan_of(flag_spikes(stored))
+def test_spikes_carry_one_row_of_each_part(spark, stored):
+    # All trades of one symbol in one millisecond: neither the symbol nor the time can split them.
+    columns = {"symbol": F.lit("A"), "timestamp_ms": F.lit(1704110400000).cast("bigint")}
+    same = durable(stored.withColumns(columns))
+    flagged = flag_spikes(same)
+    plan = plan_of(flagged)
     shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    assert shuffles[0].startswith("_block")
-    # The shuffle by symbol alone carries one row per block.
-    alone = [k for k, keys in enumerate(shuffles) if keys.startswith("symbol")]
-    assert len(alone) == 1 and "collect_list" in plan[plan.index("hashpartitioning(symbol"):]
+    assert shuffles and all(keys.startswith("_part") for keys in shuffles)
+    assert "Union" not in plan
+    parts = range_parts(same, ["symbol", "timestamp_ms", "trade_id"])
+    assert max(r["count"] for r in parts.groupBy("_part").count().collect()) < 500
+
+
+def test_bounded_dedup_stays_out_of_python(stored):
+    plan = plan_of(mark_duplicates(stored, horizon=10))
+    assert "Python" not in plan and "InPandas" not in plan and "InArrow" not in plan

@@ -12,10 +12,10 @@ from tapeflow.plans.pipelines import mark_trades
 NOON = 1704110400000  # 2024-01-01 12:00 UTC
 
 
-@pytest.mark.parametrize("block", [None, "1 second", "10 minutes", "range"])
-def test_threshold_is_strict(trades, block):
+@pytest.mark.parametrize("split", [True, False])
+def test_threshold_is_strict(trades, split):
     table = trades(("A", 100.0, NOON, 1), ("A", 102.0, NOON + 1, 2), ("A", 104.05, NOON + 2000, 3))
-    flags = {r.trade_id: r.is_price_spike for r in flag_spikes(table, block=block).collect()}
+    flags = {r.trade_id: r.is_price_spike for r in flag_spikes(table, split=split).collect()}
     assert flags == {1: False, 2: False, 3: True}
 
 
@@ -25,24 +25,22 @@ def test_spike_is_measured_against_the_last_accepted_trade(trades):
     assert flags == {(1, False): False, (1, True): False, (2, False): False}
 
 
-@pytest.mark.parametrize("block", ["1 second", "1 minute", "range"])
-def test_blocks_equal_the_plain_window(trades, block):
+@pytest.mark.parametrize("parts", ["1", "4", "37", "400"])
+def test_parts_equal_the_plain_window(spark, trades, parts):
     draw = random.Random(1)
     rows = [
         ("A" if draw.random() < 0.8 else "B", draw.uniform(98, 102), NOON + draw.randrange(300_000), i)
         for i in range(400)
     ]
     table = trades(*rows)
-    plain = {r.trade_id: r.is_price_spike for r in flag_spikes(table, block=None).collect()}
-    assert {r.trade_id: r.is_price_spike for r in flag_spikes(table, block=block).collect()} == plain
+    plain = {r.trade_id: r.is_price_spike for r in flag_spikes(table, split=False).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    split = {r.trade_id: r.is_price_spike for r in flag_spikes(table).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert split == plain
     assert any(plain.values()) and not all(plain.values())
 
 
-def test_time_blocks_need_a_time_order(trades):
-    with pytest.raises(ValueError):
-        flag_spikes(trades(("A", 1.0, 1, 1)), order_by=["trade_id"])
-
-
 def test_halo_reaches_over_thin_blocks(trades):
     # One row per block, so nine rows back means nine blocks back.
     table = trades(*[("A", float(i), i, i) for i in range(20)]).select("symbol", "price", "trade_id")

@@ -11,7 +11,8 @@ from tapeflow import constants as C
 from tapeflow.operators import windows as W
 from tapeflow.operators.ingest import split_rejects, unwrap_messages, validate_trades
 from tapeflow.plans.pipelines import ingest_messages, mark_trades
-from tapeflow.session import durable_dir
+from tapeflow.operators.stats import every_snapshot, running_totals, stats_at
+from tapeflow.session import durable, durable_dir
 from tapeflow.settings import Settings
 from tapeflow.sources.synthetic import BASE_PRICES, synth_window_tables
 from tapeflow.sources.tables import read_window_table
@@ -95,16 +96,25 @@ def test_late_row_is_dropped_and_counted(spark, feed, settings):
     feed.add(record("A", 1.0, NOON + 600_000, 2))
     feed.add(record("A", 1.0, NOON + 601_000, 3))
     feed.add(record("A", 9.0, NOON + 1_000, 4), record("A", 1.0, NOON + 900_000, 5))
-    late = jobs.LateRows()
-    spark.streams.addListener(late)
-    started = run(spark, settings, feed)
+
+    def run_and_count(least):
+        late = jobs.LateRows(spark, settings)
+        spark.streams.addListener(late)
+        run(spark, settings, feed)
+        until = time.time() + 20
+        while time.time() < until and any(late.total(t) < least for t in (C.TUMBLING_NAME, C.SLIDING_NAME)):
+            time.sleep(0.1)
+        spark.streams.removeListener(late)
+        return [late.total(t) for t in (C.TUMBLING_NAME, C.SLIDING_NAME)]
+
+    assert run_and_count(1) == [1, 1]
     first = table(spark, settings, C.TUMBLING_NAME).first()
     assert (first.trade_count, first.avg_price) == (1, 1.0)
-    until = time.time() + 20
-    while time.time() < until and not all(late.total(query) for query in started):
-        time.sleep(0.1)
-    assert all(late.total(query) == 1 for query in started)
-    spark.streams.removeListener(late)
+    # Counted on after a restart.
+    feed.add(record("A", 1.0, NOON + 1_200_000, 6))
+    feed.add(record("A", 9.0, NOON + 2_000, 7), record("A", 9.0, NOON + 3_000, 8), record("A", 1.0, NOON + 1_300_000, 9))
+    feed.add(record("A", 9.0, NOON + 4_000, 10))
+    assert run_and_count(4) == [4, 4]
 
 
 def test_restart_keeps_the_seen_ids(spark, feed, settings):
@@ -175,27 +185,75 @@ def test_keyed_state_equals_the_batch_form(spark, feed, settings, horizon):
         feed.add(*batch)
         messages += batch
     stream = read_trade_stream(spark, json_dir=str(feed.path), max_per_trigger=1)
-    out = settings.output_path("marked")
 
     def start():
-        writer = jobs.ingest_stream(stream, horizon=horizon).writeStream.format("parquet")
-        writer = writer.option("path", out).option("checkpointLocation", settings.checkpoint_path("m"))
-        writer.trigger(**NOW).start().awaitTermination()
+        jobs.start_ingest(stream, settings, horizon=horizon, interval=2, trigger=NOW).awaitTermination()
+        records = spark.read.parquet(settings.output_path(C.CLEAN_TOPIC))
+        return W.parse_clean_trades(records, "value")
 
-    start()
-    columns = ["symbol", "timestamp_ms", "trade_id", "price", "is_duplicate", "is_price_spike"]
+    clean = start()
+    columns = ["symbol", "timestamp_ms", "trade_id", "price", "is_price_spike"]
     table = spark.createDataFrame([(json.dumps(m),) for m in messages], "value string")
     accepted, _ = split_rejects(validate_trades(unwrap_messages(table)))
-    expected = mark_trades(accepted.drop("value", "raw", "parse_ok"), horizon)
-    assert rows(spark.read.parquet(out).select(columns)) == rows(expected.select(columns))
+    expected = durable(mark_trades(accepted.drop("value", "raw", "parse_ok"), horizon))
+    kept = expected.filter("not is_duplicate").select(columns)
+    assert rows(clean.select(columns)) == rows(kept)
+    rejects = spark.read.parquet(settings.output_path("rejects"))
+    duplicates = expected.filter("is_duplicate").count()
+    counts = {r.reject_reason: r.n for r in rejects.groupBy("reject_reason").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"non_positive": 6, "duplicate": duplicates}
+    observed = spark.read.parquet(settings.output_path("reject_counts")).groupBy("reject_reason").agg(F.sum("rejected").alias("n"))
+    assert {r.reject_reason: r.n for r in observed.collect()} == counts
+
+    # Statistics count over all micro-batches, as over one table.
+    def shown(intervals):
+        moments = every_snapshot(intervals, 2)
+        return [
+            (r.after_trades, r.symbol, r.trades, r.duplicates, r.spikes, r.min_price, r.max_price, pytest.approx(r.total_value))
+            for r in moments.orderBy("after_trades", "symbol").collect()
+        ]
+
+    whole = running_totals(expected, 2).intervals
+    stored = spark.read.parquet(settings.output_path("stats_intervals")).drop("batch")
+    assert shown(stored) == shown(whole) and stored.count() < len(shown(whole))
+    assert rows(stats_at(stored, 42).select("symbol", "trades")) == rows(stats_at(whole, 42).select("symbol", "trades"))
+    carried = os.listdir(settings.checkpoint_path(C.CLEAN_TOPIC) + "/carried/memory")
+    assert sorted(carried) == ["batch=4", "batch=5"]
 
     # The memory outlives a restart.
-    last = spark.read.parquet(out).filter("symbol = 'A' and not is_duplicate")
-    last = last.orderBy(F.desc("timestamp_ms")).first()
+    last = expected.filter("symbol = 'A' and not is_duplicate").orderBy(F.desc("timestamp_ms")).first()
     feed.add(raw("A", last.price * 2, ts + 1, last.trade_id), raw("A", last.price * 1.03, ts + 2, 999))
-    start()
-    again = spark.read.parquet(out).filter(F.col("timestamp_ms") > ts).orderBy("timestamp_ms").collect()
-    assert [(r.is_duplicate, r.is_price_spike) for r in again] == [(True, False), (False, True)]
+    again = start().filter(F.col("timestamp_ms") > ts).collect()
+    assert [(r.trade_id, r.is_price_spike) for r in again] == [(999, True)]
+
+
+def test_ingest_follows_the_order_of_arrival(spark, feed, settings):
+    # Times run backwards inside a file; the third line repeats an id, and the fourth is measured against the second.
+    feed.add(raw("A", 100, NOON + 9, 1), raw("A", 110, NOON + 8, 2), raw("A", 50, NOON + 7, 1), raw("A", 111, NOON + 6, 3))
+    feed.add(raw("A", 50, NOON + 5, 2), raw("A", 120, NOON + 4, 4))
+    stream = read_trade_stream(spark, json_dir=str(feed.path), max_per_trigger=1, arrival=True)
+    jobs.start_ingest(stream, settings, trigger=NOW).awaitTermination()
+    clean = W.parse_clean_trades(spark.read.parquet(settings.output_path(C.CLEAN_TOPIC)), "value")
+    expected = [(1, 100.0, False), (2, 110.0, True), (3, 111.0, False), (4, 120.0, True)]
+    assert rows(clean.select("trade_id", "price", "is_price_spike")) == expected
+    table = durable(read_trade_messages(spark, json_dir=str(feed.path), arrival=True))
+    batch = ingest_messages(table, value="json_str", order_by=["arrival"]).clean
+    assert rows(batch.select("trade_id", "price", "is_price_spike")) == expected
+
+
+def test_a_batch_that_is_run_again_counts_once(spark, feed, settings):
+    feed.add(raw("A", 100, NOON, 1), raw("A", 110, NOON + 1, 2))
+    stream = read_trade_stream(spark, json_dir=str(feed.path), max_per_trigger=1)
+    jobs.start_ingest(stream, settings, interval=1, trigger=NOW).awaitTermination()
+    feed.add(raw("A", 120, NOON + 2, 3), raw("A", 120, NOON + 3, 1))
+    jobs.start_ingest(stream, settings, interval=1, trigger=NOW).awaitTermination()
+    # As after a failure behind the writes of the second batch: it was not committed.
+    for name in ("1", ".1.crc"):
+        os.remove(settings.checkpoint_path(C.CLEAN_TOPIC) + f"/commits/{name}")
+    jobs.start_ingest(stream, settings, interval=1, trigger=NOW).awaitTermination()
+    stats = spark.read.parquet(settings.output_path("symbol_stats")).filter("batch = 1").collect()
+    assert [(r.trades, r.duplicates, r.spikes) for r in stats] == [(3, 1, 2)]
+    assert spark.read.parquet(settings.output_path(C.CLEAN_TOPIC)).count() == 3
 
 
 def test_layers_and_statistics(spark, feed, settings):
@@ -203,12 +261,7 @@ def test_layers_and_statistics(spark, feed, settings):
     feed.add({}, raw("eth", -1, NOON, 1), raw("eth", 5, NOON, 1))
     (feed.path / "9999.json").write_text("not json\n")
     stream = read_trade_stream(spark, json_dir=str(feed.path), max_per_trigger=1)
-    marked = jobs.ingest_stream(stream)
-    for query in (
-        jobs.write_raw(stream, settings, trigger=NOW),
-        jobs.write_clean(marked, settings, trigger=NOW),
-        jobs.write_stats(marked, settings, trigger=NOW),
-    ):
+    for query in (jobs.write_raw(stream, settings, trigger=NOW), jobs.start_ingest(stream, settings, trigger=NOW)):
         query.awaitTermination()
     layer = spark.read.parquet(settings.output_path(C.RAW_TOPIC))
     assert layer.count() == 7 and layer.filter("not parse_ok").count() == 1
