@@ -26,6 +26,7 @@ from ..sources.adapters import events_as_trades, lineitem_as_trades
 from ..sources.tables import preview, read_window_table
 from ..sources.topics import read_trade_messages, read_trade_stream
 from ..streaming import jobs
+from ..streaming.backfill import close_windows, whole_table
 from . import pipelines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,7 +194,19 @@ def symbol_stats(spark, sf_dir):
 
 @query(digits=2)
 def stats_snapshots(spark, sf_dir):
-    return S.stats_snapshots(pipelines.mark_trades(lineitem(spark, sf_dir)))
+    return S.stats_snapshots(durable(pipelines.mark_trades(lineitem(spark, sf_dir))))
+
+
+@query(digits=2)
+def stats_intervals(spark, sf_dir):
+    marked = durable(pipelines.mark_trades(lineitem(spark, sf_dir)))
+    return S.running_totals(marked).intervals.fillna(-1, ["to_trades"])
+
+
+@query(digits=2)
+def stats_as_of(spark, sf_dir):
+    marked = durable(pipelines.mark_trades(lineitem(spark, sf_dir)))
+    return S.stats_at(durable(S.running_totals(marked).intervals), 3_750)
 
 
 # Window tables ------------------------------------------------------------------------------
@@ -378,8 +391,8 @@ def quality_report(spark, sf_dir):
 # Streams ------------------------------------------------------------------------------------
 
 
-def run_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """The window pipeline over all events as JSON lines, then its parquet table."""
+def run_stream(spark: SparkSession, sf_dir: str, table: str, closed: bool = True) -> DataFrame:
+    """The window pipeline over all events as JSON lines, then its parquet table: the closed windows, or all."""
     source = scratch(spark, "records")
     I.to_records(events(spark, sf_dir)).select("value").write.text(source)
     settings = Settings(
@@ -390,6 +403,9 @@ def run_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     trades = W.clean_trades(W.parse_clean_trades(read_trade_stream(spark, json_dir=source)))
     build = W.aggregate_tumbling if table == C.TUMBLING_NAME else W.aggregate_sliding
     jobs.start_window_query(build(trades), table, settings, {"availableNow": True}).awaitTermination()
+    if not closed:
+        close_windows(spark, settings, table)
+        return whole_table(spark, settings, table)
     schema = {} if table == C.TUMBLING_NAME else {"schema": SLIDING_TABLE}
     return read_window_table(spark, settings.output_path(table), use_log=True, sort=False, **schema)
 
@@ -404,29 +420,122 @@ def stream_sliding_5m_1m(spark, sf_dir):
     return run_stream(spark, sf_dir, C.SLIDING_NAME)
 
 
+@query()
+def backfill_tumbling_1m(spark, sf_dir):
+    return run_stream(spark, sf_dir, C.TUMBLING_NAME, closed=False)
+
+
+@query()
+def backfill_sliding_5m_1m(spark, sf_dir):
+    return run_stream(spark, sf_dir, C.SLIDING_NAME, closed=False)
+
+
+def run_pipeline(spark: SparkSession, sf_dir: str, sink: str) -> Settings:
+    """Both window queries through `start_pipeline` over all events in four waves by time, each a micro-batch, restarted from
+    their checkpoints. Every 13th id comes again one wave later, and with the last wave come rows of the first day."""
+    source = scratch(spark, "records")
+    settings = Settings(sink=sink, output_dir=scratch(spark, "tables"), checkpoint_dir=scratch(spark, "progress"))
+    trades = durable(events(spark, sf_dir).filter("price > 0"))
+    last = trades.agg(F.max("trade_id")).first()[0]
+    wave = F.floor(F.col("trade_id") * 4 / F.lit(last + 1))
+    every = trades.withColumn("wave", wave)
+    copies = every.filter("trade_id % 13 = 0 AND wave < 3").withColumn("wave", F.col("wave") + 1)
+    # A copy is of its own wave's time, so only its id gives it away.
+    starts = every.groupBy("wave").agg(F.max("timestamp_ms").alias("at"))
+    copies = copies.join(starts, "wave").withColumn("timestamp_ms", F.col("at")).select(*every.columns)
+    late = every.filter("wave = 0 AND trade_id % 17 = 0")
+    late = late.withColumns({"trade_id": F.col("trade_id") + 1_000_000_000, "wave": F.lit(3).cast("bigint")})
+    rows = durable(every.unionByName(copies).unionByName(late))
+    for number in range(4):
+        wave_rows = I.to_records(rows.filter(F.col("wave") == number))
+        wave_rows.select("value").write.text(f"{source}/wave{number}")
+        started = jobs.start_pipeline(spark, settings, json_dir=f"{source}/*", trigger={"availableNow": True})
+        for running in started:
+            running.awaitTermination()
+    return settings
+
+
+@query()
+def stream_pipeline_tumbling(spark, sf_dir):
+    settings = run_pipeline(spark, sf_dir, "parquet")
+    return read_window_table(spark, settings.output_path(C.TUMBLING_NAME), use_log=True, sort=False)
+
+
+@query()
+def stream_pipeline_updates(spark, sf_dir):
+    settings = run_pipeline(spark, sf_dir, "updates")
+    return jobs.latest_updates(spark, settings, C.SLIDING_NAME)
+
+
+# Messages that arrive in an order of their own.
+HORIZON = 600
+
+
+def arriving(spark: SparkSession, sf_dir: str, number: int, path: str) -> None:
+    """One of three waves of the raw messages as files of lines, in an order that has nothing to do with time. Copies of a
+    message come in another wave than the message."""
+    wave = messages(spark, sf_dir).filter((F.col("event_id") + F.col("copy")) % 3 == number)
+    order = [(F.col("event_id") * 31 % 1009).alias("k"), "event_id", "copy"]
+    rows = durable(wave.select(*order, "value"))
+    rows.repartitionByRange(4, "k", "event_id", "copy").sortWithinPartitions("k", "event_id", "copy").select(
+        "value"
+    ).write.text(f"{path}/wave{number}")
+
+
+@query()
+def ingest_by_arrival(spark, sf_dir):
+    source = scratch(spark, "messages")
+    for number in range(3):
+        arriving(spark, sf_dir, number, source)
+    found = durable(read_trade_messages(spark, json_dir=f"{source}/*", arrival=True))
+    return pipelines.ingest_messages(found, "json_str", HORIZON, order_by=["arrival"]).clean
+
+
 def run_ingest(spark: SparkSession, sf_dir: str) -> Settings:
-    """Raw and clean layers from a stream of all messages."""
+    """The ingest query over three waves, each a micro-batch, restarted from its checkpoint."""
     source = scratch(spark, "messages")
-    messages(spark, sf_dir).select("value").write.text(source)
     settings = Settings(
-        sink="parquet",
-        output_dir=scratch(spark, "layers"),
-        checkpoint_dir=scratch(spark, "progress"),
+        sink="parquet", output_dir=scratch(spark, "layers"), checkpoint_dir=scratch(spark, "progress")
     )
-    stream = read_trade_stream(spark, json_dir=source)
-    trigger = {"availableNow": True}
-    running = [
-        jobs.write_raw(stream, settings, trigger=trigger),
-        jobs.write_clean(jobs.ingest_stream(stream), settings, trigger=trigger),
-    ]
-    for started in running:
-        started.awaitTermination()
+    for number in range(3):
+        arriving(spark, sf_dir, number, source)
+        stream = read_trade_stream(spark, json_dir=f"{source}/*", arrival=True)
+        jobs.start_ingest(stream, settings, horizon=HORIZON, trigger={"availableNow": True}).awaitTermination()
     return settings
 
 
+@query()
+def stream_clean_layer(spark, sf_dir):
+    records = spark.read.parquet(run_ingest(spark, sf_dir).output_path(C.CLEAN_TOPIC))
+    return W.parse_clean_trades(records, "value").drop("event_time")
+
+
+@query()
+def stream_rejects(spark, sf_dir):
+    rejects = spark.read.parquet(run_ingest(spark, sf_dir).output_path("rejects"))
+    return rejects.select("reject_reason", F.coalesce("trade_id", F.lit(-1)).alias("trade_id"))
+
+
+@query()
+def stream_reject_counts(spark, sf_dir):
+    counts = spark.read.parquet(run_ingest(spark, sf_dir).output_path("reject_counts"))
+    return counts.groupBy("reject_reason").agg(F.sum("rejected").alias("rejected"))
+
+
+@query(digits=2)
+def stream_stats_snapshots(spark, sf_dir):
+    intervals = spark.read.parquet(run_ingest(spark, sf_dir).output_path("stats_intervals")).drop("batch")
+    return S.every_snapshot(intervals)
+
+
 @query()
 def stream_raw_layer(spark, sf_dir):
-    settings = run_ingest(spark, sf_dir)
+    source = scratch(spark, "messages")
+    messages(spark, sf_dir).select("value").write.text(source)
+    settings = Settings(
+        sink="parquet", output_dir=scratch(spark, "layers"), checkpoint_dir=scratch(spark, "progress")
+    )
+    jobs.write_raw(read_trade_stream(spark, json_dir=source), settings, trigger={"availableNow": True}).awaitTermination()
     raw = spark.read.parquet(settings.output_path(C.RAW_TOPIC))
     return raw.select(
         "parse_ok",
@@ -435,13 +544,6 @@ def stream_raw_layer(spark, sf_dir):
     )
 
 
-@query()
-def stream_clean_layer(spark, sf_dir):
-    settings = run_ingest(spark, sf_dir)
-    records = spark.read.parquet(settings.output_path(C.CLEAN_TOPIC))
-    return W.parse_clean_trades(records, "value").drop("event_time")
-
-
 @query()
 def read_messages(spark, sf_dir):
     source = scratch(spark, "records")

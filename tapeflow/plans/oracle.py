@@ -79,7 +79,6 @@ SELECT symbol, price, quantity, round(price * quantity, 6) AS trade_value_usdt,
        'binance' AS source
 FROM once"""
 ORACLE["ingest_messages"] = _CLEAN_FROM_MESSAGES
-ORACLE["stream_clean_layer"] = _CLEAN_FROM_MESSAGES
 
 ORACLE["stream_raw_layer"] = f"""
 SELECT parse_ok, is_empty, time_text FROM ({ORACLE["unwrap_messages"]})"""
@@ -145,15 +144,13 @@ FROM flagged JOIN (SELECT symbol, count(*) FILTER (WHERE is_duplicate) AS duplic
                    GROUP BY symbol) d USING (symbol)
 GROUP BY symbol"""
 
-ORACLE["stats_snapshots"] = f"""
-WITH {FLAGGED},
-counted AS (
+_COUNTED = """counted AS (
   SELECT m.*, coalesce(f.is_price_spike, false) AS spike, sum(CASE WHEN m.is_duplicate THEN 0 ELSE 1 END)
          OVER (ORDER BY m.timestamp_ms, m.trade_id, m.symbol, m.is_duplicate, m.price, m.quantity,
                m.trade_value_usdt, m.is_buyer_maker ROWS UNBOUNDED PRECEDING) AS n
   FROM marked m LEFT JOIN flagged f
-    ON NOT m.is_duplicate AND f.symbol = m.symbol AND f.trade_id = m.trade_id),
-numbered AS (
+    ON NOT m.is_duplicate AND f.symbol = m.symbol AND f.trade_id = m.trade_id)"""
+_STEPS = """numbered AS (
   SELECT *, CAST((n - CASE WHEN is_duplicate THEN 0 ELSE 1 END) // 100 AS BIGINT) AS step FROM counted),
 steps AS (
   SELECT symbol, step, count(*) FILTER (WHERE NOT is_duplicate) AS trades,
@@ -162,7 +159,16 @@ steps AS (
          sum(round(price * quantity, 6)) FILTER (WHERE NOT is_duplicate) AS total_value,
          min(price) FILTER (WHERE NOT is_duplicate) AS min_price,
          max(price) FILTER (WHERE NOT is_duplicate) AS max_price
-  FROM numbered GROUP BY symbol, step),
+  FROM numbered GROUP BY symbol, step)"""
+_SHOWN_STATS = """trades, round(CASE WHEN trades = 0 THEN 0.0 ELSE price_sum / trades END + 1e-5, 2) AS avg_price,
+       round(min_price + 1e-5, 2) AS min_price, round(max_price + 1e-5, 2) AS max_price,
+       round(total_value + 1e-5, 2) AS total_value, duplicates, spikes"""
+
+
+def _snapshots(counted: str) -> str:
+    """All symbols after every 100th accepted trade; ``counted`` has the trades with the number n accepted so far."""
+    return f"""
+WITH {counted}, {_STEPS},
 grid AS (
   SELECT s.symbol, g.step FROM (SELECT DISTINCT symbol FROM steps) s,
   (SELECT unnest(range(CAST((SELECT max(n) FROM counted) // 100 AS BIGINT))) AS step) g),
@@ -176,12 +182,65 @@ running AS (
          min(min_price) OVER w AS min_price, max(max_price) OVER w AS max_price
   FROM grid g LEFT JOIN steps s ON s.symbol = g.symbol AND s.step = g.step
   WINDOW w AS (PARTITION BY g.symbol ORDER BY g.step ROWS UNBOUNDED PRECEDING))
-SELECT (step + 1) * 100 AS after_trades, symbol, trades,
-       round(CASE WHEN trades = 0 THEN 0.0 ELSE price_sum / trades END + 1e-5, 2) AS avg_price,
-       round(min_price + 1e-5, 2) AS min_price, round(max_price + 1e-5, 2) AS max_price,
-       round(total_value + 1e-5, 2) AS total_value, duplicates, spikes
+SELECT (step + 1) * 100 AS after_trades, symbol, {_SHOWN_STATS}
 FROM running WHERE trades + duplicates > 0"""
 
+
+ORACLE["stats_snapshots"] = _snapshots(f"{FLAGGED}, {_COUNTED}")
+ORACLE["stats_as_of"] = f"""
+SELECT 3750 AS after_trades, * EXCLUDE (after_trades) FROM ({ORACLE["stats_snapshots"]}) WHERE after_trades = 3700"""
+
+ORACLE["stats_intervals"] = f"""
+WITH {FLAGGED}, {_COUNTED}, {_STEPS},
+running AS (
+  SELECT symbol, step, coalesce(lead(step) OVER (PARTITION BY symbol ORDER BY step) * 100, -1) AS to_trades,
+         CAST(sum(trades) OVER w AS BIGINT) AS trades, CAST(sum(duplicates) OVER w AS BIGINT) AS duplicates,
+         CAST(sum(spikes) OVER w AS BIGINT) AS spikes, sum(coalesce(price_sum, 0)) OVER w AS price_sum,
+         sum(coalesce(total_value, 0)) OVER w AS total_value, min(min_price) OVER w AS min_price,
+         max(max_price) OVER w AS max_price
+  FROM steps WINDOW w AS (PARTITION BY symbol ORDER BY step ROWS UNBOUNDED PRECEDING))
+SELECT symbol, (step + 1) * 100 AS from_trades, to_trades, {_SHOWN_STATS}
+FROM running WHERE step < (SELECT max(n) FROM counted) // 100"""
+
+# Messages in their order of arrival, with a memory of 600 ids.
+_ARRIVED = MESSAGES + """,
+placed AS (SELECT *, (event_id + copy) % 3 AS wave, event_id * 31 % 1009 AS k FROM accepted),
+ordered AS (SELECT list(placed ORDER BY wave, k, event_id, copy) AS trades FROM placed GROUP BY symbol),
+folded AS (
+  SELECT trades, list_reduce(
+      list_transform(trades, lambda t: {'memory': [t.trade_id], 'flags': [false]}),
+      lambda a, x: CASE WHEN list_contains(a.memory, x.memory[1])
+        THEN {'memory': a.memory, 'flags': list_append(a.flags, true)}
+        ELSE {'memory': list_append(a.memory[-599:], x.memory[1]),
+              'flags': list_append(a.flags, false)} END).flags AS flags
+  FROM ordered),
+arrived AS (SELECT t.*, is_duplicate FROM (SELECT unnest(trades) AS t, unnest(flags) AS is_duplicate FROM folded)),
+arrived_kept AS (
+  SELECT *, coalesce(abs(price - previous) / previous * 100 > 2.0, false) AS is_price_spike
+  FROM (SELECT *, lag(price) OVER (PARTITION BY symbol ORDER BY wave, k, event_id, copy) AS previous
+        FROM arrived WHERE NOT is_duplicate))"""
+
+ORACLE["ingest_by_arrival"] = f"""
+WITH {_ARRIVED}
+SELECT symbol, price, quantity, round(price * quantity, 6) AS trade_value_usdt, {_ISO} AS trade_time,
+       timestamp_ms, is_buyer_maker, is_price_spike, trade_id, 'binance' AS source
+FROM arrived_kept"""
+ORACLE["stream_clean_layer"] = ORACLE["ingest_by_arrival"]
+
+ORACLE["stream_rejects"] = f"""
+WITH {_ARRIVED}
+SELECT reject_reason, CASE WHEN event_id % 67 = 0 OR event_id % 103 = 0 THEN -1 ELSE event_id END AS trade_id
+FROM msgs WHERE reject_reason IS NOT NULL
+UNION ALL SELECT 'duplicate', trade_id FROM arrived WHERE is_duplicate"""
+ORACLE["stream_reject_counts"] = f"""
+SELECT reject_reason, count(*) AS rejected FROM ({ORACLE["stream_rejects"]}) GROUP BY reject_reason"""
+
+ORACLE["stream_stats_snapshots"] = _snapshots(_ARRIVED + """,
+counted AS (
+  SELECT a.*, coalesce(f.is_price_spike, false) AS spike, sum(CASE WHEN a.is_duplicate THEN 0 ELSE 1 END)
+         OVER (ORDER BY a.wave, a.k, a.event_id, a.copy ROWS UNBOUNDED PRECEDING) AS n
+  FROM arrived a LEFT JOIN arrived_kept f ON f.event_id = a.event_id AND f.copy = a.copy)""")
+
 _CLEAN_EVENTS = """symbol, price, quantity, trade_value_usdt, {iso} AS trade_time, timestamp_ms,
        is_buyer_maker, false AS is_price_spike, trade_id, 'synthetic' AS source""".format(iso=_ISO)
 ORACLE["parse_clean_trades"] = f"""
@@ -223,6 +282,8 @@ ORACLE["read_window_table_mixed"] = f"""
 {_MINUTES} SELECT * REPLACE (CASE WHEN minute(window_start::TIMESTAMP) % 3 = 1 THEN -1 ELSE spike_count END AS spike_count)
 FROM (SELECT {_shown()} FROM w)"""
 ORACLE["stream_tumbling_1m"] = f"{_MINUTES} SELECT {_shown()} FROM w WHERE window_end <= {_CLOSED}"
+ORACLE["backfill_tumbling_1m"] = ORACLE["tumbling_1m"]
+ORACLE["stream_pipeline_tumbling"] = ORACLE["stream_tumbling_1m"]
 ORACLE["preview_window_table"] = f"""
 {_MINUTES} SELECT {_shown()} FROM (SELECT * FROM w ORDER BY window_start, symbol LIMIT 10)"""
 ORACLE["dedup_windows"] = f"{_HOURS} SELECT {_shown()} FROM w"
@@ -246,6 +307,8 @@ _SLIDING_SHOWN = f"""{_times()}, symbol, trade_count, round(avg_price + 1e-9, 6)
 ORACLE["sliding_5m_1m"] = f"{_SLIDING} SELECT {_SLIDING_SHOWN} FROM w"
 ORACLE["sliding_5m_1m_expanded"] = ORACLE["sliding_5m_1m"]
 ORACLE["stream_sliding_5m_1m"] = f"{_SLIDING} SELECT {_SLIDING_SHOWN} FROM w WHERE window_end <= {_CLOSED}"
+ORACLE["backfill_sliding_5m_1m"] = ORACLE["sliding_5m_1m"]
+ORACLE["stream_pipeline_updates"] = ORACLE["sliding_5m_1m"]
 ORACLE["range_band"] = f"""
 {_SLIDING} SELECT symbol, strftime(window_start, {_TIME}) AS window_start, max_price, min_price,
        round(avg_price + 1e-9, 6) AS avg_price FROM w"""

@@ -25,6 +25,7 @@ from ..sources.topics import in_arrival_order, read_trade_stream, topic_sink_opt
 from .state import mark_batch, no_memory
 
 Trigger = Mapping[str, object]
+SINKS = ("console", "parquet", "updates")
 _CONSOLE_ROWS = 50
 
 
@@ -139,29 +140,48 @@ def start_window_query(
     trigger: Trigger | None = None,
     partition_by: str | None = None,
     files_per_batch: int | None = None,
+    files_per_date: int = 4,
 ) -> StreamingQuery:
-    """Start one window table into the sink of the settings: updates on the console, or finished
-    windows appended as parquet.
+    """Start one window table into the sink of the settings: updates on the console (``console``), finished
+    windows appended as parquet (``parquet``), or updates as parquet, a folder ``batch=N`` for each micro-batch, to be
+    read with :func:`latest_updates` (``updates``).
 
     Window rows are gathered by date before they are written, not one file per shuffle
-    partition: a backfill writes one file per day. ``files_per_batch=1`` suits a live stream,
-    whose micro-batches finish a few windows of each symbol.
+    partition. A date is dealt over ``files_per_date`` tasks, so that it is never one task however many windows it
+    has. ``files_per_batch=1`` suits a live stream, whose micro-batches finish a few windows of each symbol.
     """
+    share = F.pmod(F.xxhash64("symbol", "window_start"), F.lit(files_per_date))
     if settings.sink == "console":
         writer = windows.writeStream.format("console").outputMode("update")
         writer = writer.option("numRows", _CONSOLE_ROWS).option("truncate", "false")
     elif settings.sink == "parquet":
-        rows = windows.repartition(*([files_per_batch] if files_per_batch else []), "event_date")
+        rows = windows.repartition(*([files_per_batch] if files_per_batch else []), "event_date", share)
         writer = rows.writeStream.format("parquet").outputMode("append")
         writer = writer.option("path", settings.output_path(table))
         if partition_by:
             writer = writer.partitionBy(partition_by)
+    elif settings.sink == "updates":
+        path = settings.output_path(table)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.repartition("event_date", share).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+        writer = windows.writeStream.outputMode("update").foreachBatch(write)
     else:
-        raise ValueError(f"unknown sink {settings.sink!r}: expected console or parquet")
+        raise ValueError(f"unknown sink {settings.sink!r}: expected one of {', '.join(SINKS)}")
     writer = writer.queryName(f"{table}_{settings.sink}")
     return _start(writer, settings.checkpoint_path(table), trigger)
 
 
+def latest_updates(spark: SparkSession, settings: Settings, table: str) -> DataFrame:
+    """The newest values of every window of a table that a query with the sink ``updates`` writes, unfinished windows
+    included."""
+    rows = spark.read.parquet(settings.output_path(table))
+    values = F.struct(*[c for c in rows.columns if c not in ("window_start", "symbol", "batch")])
+    newest = rows.groupBy("window_start", "symbol").agg(F.max_by(values, "batch").alias("_row"))
+    return newest.select("window_start", "symbol", "_row.*").select(*[c for c in rows.columns if c != "batch"])
+
+
 def start_pipeline(
     spark: SparkSession,
     settings: Settings,
@@ -174,8 +194,8 @@ def start_pipeline(
 ) -> list[StreamingQuery]:
     """Both window tables from one stream of clean trades, each with its own checkpoint. Wait
     with ``spark.streams.awaitAnyTermination()``, which reports the first query that fails."""
-    if settings.sink not in ("console", "parquet"):
-        raise ValueError(f"unknown sink {settings.sink!r}: expected console or parquet")
+    if settings.sink not in SINKS:
+        raise ValueError(f"unknown sink {settings.sink!r}: expected one of {', '.join(SINKS)}")
     messages = read_trade_stream(spark, settings, json_dir, max_per_trigger)
     trades = clean_trades(parse_clean_trades(messages), settings.watermark, dedup)
     tables = {C.TUMBLING_NAME: aggregate_tumbling(trades), C.SLIDING_NAME: aggregate_sliding(trades)}
