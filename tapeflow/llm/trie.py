@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, crc32_sql, durable, map_rows, numbered, shuffle_parts
 
-LIMIT = 8192  # turns and members that a container may hold
+LIMIT = 512  # turns and members that a container may hold
 CHAIN_BITS = 12  # nodes of a chain that are summed in one place, as a power of two
 LIST = 256  # ids of a piece of a list of members
 NODE = (
@@ -213,8 +213,8 @@ def burst(members: DataFrame, rows: DataFrame, limit: int) -> tuple[list[Burst],
     """Burst containers until all are small: the rounds, and the rows of the small ones."""
     nothing = F.unhex(F.lit(""))
     at_root = {"box": nothing, "parent": F.lit(None).cast("binary"), "start": F.lit(0).cast("long")}
-    members = members.withColumns(at_root)
-    rows = rows.join(members.select("conv", "len"), "conv").withColumn("box", nothing)
+    members = durable(members.withColumns(at_root))
+    rows = durable(rows.join(members.select("conv", "len"), "conv").withColumn("box", nothing))
     rounds, small = [], []
     while True:
         held = F.sum(F.col("len") - F.col("start")) + F.count("*")
