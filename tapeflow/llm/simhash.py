@@ -189,6 +189,7 @@ def forest(place: np.ndarray, other: np.ndarray, labels: np.ndarray) -> np.ndarr
 def links(prints: DataFrame, distance: int, block: int = BLOCK) -> DataFrame:
     """(a, b): links between fingerprints (column ``print``, distinct) within the distance; all that are linked are
     connected by these, but links that only repeat a connection are left out."""
+    prints = prints.select("print").repartition(shuffle_parts(prints), "print")
     residents = durable(copies(prints, distance, guests=False))
     crowded = residents.groupBy("anchor").agg(F.ceil(F.count("*") / block).cast("int").alias("cuts")).where("cuts > 1")
     crowded = durable(crowded)
