@@ -1,19 +1,18 @@
 """Isolation forest (Liu, Ting and Zhou, ICDM 2008) over window tables."""
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..session import durable
-from .features import fit_scaler, window_features
+from .features import window_features
 from .quantile import exact_quantile
 
-_TREE = "tree bigint, node array<int>, feature array<int>, threshold array<double>, length array<double>"
+_BITS = 52  # of a drawn number: exact in a double
 
 
 def mean_path(count):
@@ -24,37 +23,15 @@ def mean_path(count):
     return np.where(count > 2, long, np.where(count == 2, 1.0, 0.0))
 
 
-def grow_tree(rows: np.ndarray, rng: np.random.Generator, max_depth: int) -> pd.DataFrame:
-    """One isolation tree in breadth-first numbering: node k has children 2k+1 and 2k+2. A leaf
-    has feature -1 and the path length of a row that ends there."""
-    nodes = []
-    open_nodes = [(0, 0, rows)]
-    while open_nodes:
-        node, depth, inside = open_nodes.pop()
-        low, high = inside.min(axis=0), inside.max(axis=0)
-        varying = np.flatnonzero(high > low)
-        if depth == max_depth or len(inside) < 2 or not len(varying):
-            nodes.append((node, -1, 0.0, depth + float(mean_path(len(inside)))))
-            continue
-        feature = int(rng.choice(varying))
-        # Strictly below the greatest value, so that both sides keep a row.
-        below = np.nextafter(high[feature], low[feature])
-        threshold = float(min(rng.uniform(low[feature], high[feature]), below))
-        left = inside[:, feature] <= threshold
-        nodes.append((node, feature, threshold, 0.0))
-        open_nodes.append((2 * node + 2, depth + 1, inside[~left]))
-        open_nodes.append((2 * node + 1, depth + 1, inside[left]))
-    return pd.DataFrame(nodes, columns=["node", "feature", "threshold", "length"])
-
-
 @dataclass(frozen=True)
 class Forest:
-    """Trees as dense arrays (tree, node), the scaler and the sample size."""
+    """Trees as dense arrays (tree, node) in breadth-first numbering, the features they cut and the sample size: node k has
+    children 2k+1 and 2k+2. A leaf has feature -1 and the path length of a row that ends there."""
 
     feature: np.ndarray
     threshold: np.ndarray
     length: np.ndarray
-    scaler: dict
+    columns: tuple[str, ...]
     sample: int
     depth: int
 
@@ -73,6 +50,17 @@ def raw_scores(rows: np.ndarray, feature, threshold, length, sample: int, depth:
     return -np.exp2(-total / len(feature) / float(mean_path(sample)))
 
 
+def drawn_number(*parts: Column) -> Column:
+    """A whole number below 2^52 from a digest of the parts, the same in every engine."""
+    text = F.concat_ws(":", *[p.cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, _BITS // 4), 16, 10).cast("bigint")
+
+
+def plain(name: str) -> Column:
+    """A feature; null and NaN count as 0."""
+    return F.coalesce(F.nanvl(F.col(name).cast("double"), F.lit(0.0)), F.lit(0.0))
+
+
 def fit_forest(
     features: DataFrame,
     columns: list[str],
@@ -80,94 +68,116 @@ def fit_forest(
     sample: int = C.FOREST_SAMPLE,
     seed: int = C.FOREST_SEED,
 ) -> Forest:
-    """Grow the forest.
+    """Grow the forest; the driver gets the grown trees, ``trees`` times fewer than two ``sample`` nodes.
 
-    Every tree draws ``sample`` rows from all rows by hashes of (symbol, window, seed), so the draw
-    does not depend on partitioning. Only rows below a hash threshold that is expected to give
-    a few more than needed are shuffled, by tree; the threshold widens if a tree comes out short.
-    Trees grow in parallel where their rows meet; the driver gets the grown trees.
+    All trees grow at once, level by level, the rows of a tree in one task. A cut is a drawn
+    fraction of a feature's range in the node, so scaling the features would not change a tree. Draws are
+    digests of seed, tree and node, and the rows of a tree follow from digests of (symbol, window), so
+    partitioning changes nothing and SQL can repeat it.
     """
-    scaler = fit_scaler(features, columns)
-    scaled = [
-        ((F.coalesce(F.col(c), F.lit(0.0)) - F.lit(m)) / F.lit(s)).alias(c)
-        for c, (m, s) in scaler.items()
-    ]
     stored = durable(
         features.select(
-            F.struct("symbol", F.unix_micros("window_start")).alias("_row"),
-            F.array(*[c.cast("double") for c in scaled]).alias("_point"),
+            "symbol",
+            F.unix_micros("window_start").alias("_micros"),
+            *[plain(c).alias(f"_x{k}") for k, c in enumerate(columns)],
         )
     )
     rows = stored.count()
     taken = min(sample, rows)
     depth = int(np.ceil(np.log2(max(taken, 2))))
-    drawn = _draw(stored, rows, trees, taken, seed)
+    drawn = draw_samples(stored, rows, trees, taken, seed)
+    grown = grow(drawn, len(columns), depth, seed).toPandas()
+    nodes = 2 ** (depth + 1) - 1
+    feature = np.full((trees, nodes), -1, dtype=np.int64)
+    threshold = np.zeros((trees, nodes))
+    length = np.zeros((trees, nodes))
+    at = (grown["tree"].to_numpy(), grown["node"].to_numpy())
+    feature[at], threshold[at], length[at] = grown["feature"], grown["threshold"], grown["length"]
+    return Forest(feature, threshold, length, tuple(columns), taken, depth)
 
-    def grow(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
-        points = np.array(batch.sort_values("_draw")["_point"].tolist(), dtype=float)
-        grown = grow_tree(points, np.random.default_rng([seed, key[0]]), depth)
-        return pd.DataFrame([{"tree": key[0], **{c: grown[c].tolist() for c in grown}}])
 
-    # At most `trees` rows of fewer than 2 * sample nodes each.
-    grown = drawn.groupBy("tree").applyInPandas(grow, _TREE).toPandas().sort_values("tree")
-    nodes = 2 ** (depth + 1) - 1
-    feature = np.full((len(grown), nodes), -1, dtype=np.int64)
-    threshold = np.zeros((len(grown), nodes))
-    length = np.zeros((len(grown), nodes))
-    for k, tree in enumerate(grown.itertuples()):
-        feature[k, tree.node] = tree.feature
-        threshold[k, tree.node] = tree.threshold
-        length[k, tree.node] = tree.length
-    return Forest(feature, threshold, length, scaler, taken, depth)
-
-
-def _draw(stored: DataFrame, rows: int, trees: int, taken: int, seed: int) -> DataFrame:
-    """(tree, _draw, _point): ``taken`` rows for each tree, those of the smallest hashes.
-
-    The trees are dealt over slots. In every slot a row stands for one tree, chosen by a hash, and a
-    second hash orders the rows of a tree. The fewer rows there are, the more slots: with few
-    rows every tree has a slot of its own and draws from all of them.
+def draw_samples(stored: DataFrame, rows: int, trees: int, taken: int, seed: int) -> DataFrame:
+    """``tree`` and the row: ``taken`` rows for each tree.
+
+    Rows stand on a ring by their digest, trees at equal distances; a tree takes the first rows behind its
+    place. So one digest a row gives every tree a random sample; the samples of neighbours overlap if the rows are
+    fewer than ``trees`` times ``taken``, and are apart if they are many more. Only rows in an arc that should hold a
+    few more than needed are shuffled; the arcs widen if a tree comes out short.
     """
+    whole = 1 << _BITS
+    ring = stored.withColumn("_u", drawn_number(F.lit(seed), F.col("symbol"), F.col("_micros")))
     spare = 1.5
     while True:
-        slots = int(min(trees, max(1, np.ceil(spare * trees * taken / max(rows, 1)))))
-        share = min(1.0, spare * trees * taken / max(rows * slots, 1))
-        each = stored.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-        count = F.floor((F.lit(trees - 1) - F.col("_slot")) / slots) + 1
-        chosen = F.pmod(F.xxhash64("_row", "_slot", F.lit(seed)), count)
-        each = each.withColumns(
-            {
-                "tree": (F.col("_slot") + slots * chosen).cast("bigint"),
-                "_draw": F.shiftright(F.xxhash64(F.lit(seed), "_slot", "_row"), 1) + F.lit(1 << 62),
-            }
-        )
-        each = each.where(F.col("_draw") <= F.lit(min(int(share * (1 << 63)), (1 << 63) - 1)))
-        order = Window.partitionBy("tree").orderBy("_draw", "_point")
-        ranked = durable(
-            each.withColumn("_rank", F.row_number().over(order))
-            .where(F.col("_rank") <= taken)
-            .select("tree", "_draw", "_point")
-        )
-        if ranked.count() == trees * taken or (slots == trees and share == 1.0):
+        arc = min(whole, int(whole * spare * taken / max(rows, 1)) + 1)
+        # The last tree at or before a row, and as many before it as an arc can span.
+        last = F.floor(F.col("_u") * trees / F.lit(whole))
+        reach = min(trees - 1, arc * trees // whole + 1)
+        each = ring.withColumn("tree", F.explode(F.sequence(last - reach, last)))
+        each = each.withColumn("tree", F.pmod("tree", F.lit(trees)))
+        place = F.floor(F.col("tree") * F.lit(whole) / trees)
+        each = each.withColumn("_behind", F.pmod(F.col("_u") - place, F.lit(whole))).filter(F.col("_behind") < arc)
+        order = Window.partitionBy("tree").orderBy("_behind", "symbol", "_micros", *[c for c in stored.columns if c[:2] == "_x"])
+        ranked = each.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= taken)
+        ranked = durable(ranked.drop("_u", "_behind", "_rank", "symbol", "_micros"))
+        if ranked.count() == trees * taken or arc == whole:
             return ranked
         spare *= 2
 
 
+def grow(drawn: DataFrame, features: int, depth: int, seed: int) -> DataFrame:
+    """(tree, node, feature, threshold, length) of all nodes. The windows of all levels work on one exchange by tree."""
+    names = [f"_x{k}" for k in range(features)]
+    rows = drawn.repartition("tree").withColumns({"node": F.lit(0).cast("bigint"), "_open": F.lit(True)})
+    path = F.array().cast("array<struct<node:bigint,feature:int,threshold:double,length:double>>")
+    rows = rows.withColumn("_path", path)
+    node = Window.partitionBy("tree", "node")
+    for level in range(depth + 1):
+        ranges = [F.struct(F.lit(k).alias("k"), F.min(c).over(node).alias("low"), F.max(c).over(node).alias("high")) for k, c in enumerate(names)]
+        rows = rows.withColumns({"_n": F.count("*").over(node), "_ranges": F.array(*ranges)})
+        varying = F.filter("_ranges", lambda r: r["high"] > r["low"])
+        draw = drawn_number(F.lit(seed), F.col("tree"), F.col("node"), F.lit("feature"))
+        chosen = F.try_element_at(varying, (F.pmod(draw, F.greatest(F.size(varying), F.lit(1))) + 1).cast("int"))
+        rows = rows.withColumn("_cut", chosen if level < depth else F.lit(None).cast("struct<k:int,low:double,high:double>"))
+        share = drawn_number(F.lit(seed), F.col("tree"), F.col("node"), F.lit("cut")) / F.lit(float(1 << _BITS))
+        low, high = F.col("_cut.low"), F.col("_cut.high")
+        cut = low + share * (high - low)
+        rows = rows.withColumn("_at", F.when(cut < high, cut).otherwise(low))  # both sides keep a row
+        splits = F.col("_open") & F.col("_cut").isNotNull()
+        leaf = F.lit(float(level)) + _mean_path(F.col("_n"))
+        entry = F.struct(
+            "node",
+            F.coalesce("_cut.k", F.lit(-1)).alias("feature"),
+            F.coalesce("_at", F.lit(0.0)).alias("threshold"),
+            F.when(splits, F.lit(0.0)).otherwise(leaf).alias("length"),
+        )
+        value = F.element_at(F.array(*names), F.coalesce(F.col("_cut.k") + 1, F.lit(1)))
+        child = 2 * F.col("node") + F.when(value <= F.col("_at"), 1).otherwise(2)
+        rows = rows.withColumns(
+            {
+                "_path": F.when(F.col("_open"), F.array_append("_path", entry)).otherwise(F.col("_path")),
+                "node": F.when(splits, child).otherwise(F.col("node")),
+                "_open": splits,
+            }
+        ).drop("_n", "_ranges", "_cut", "_at")
+    return rows.select("tree", F.inline("_path")).distinct()
+
+
+def _mean_path(count: Column) -> Column:
+    """:func:`mean_path` as a column."""
+    many = 2 * (F.ln(F.greatest(count - 1, F.lit(1))) + F.lit(float(np.euler_gamma))) - 2 * (count - 1) / count
+    return F.when(count > 2, many).when(count == 2, 1.0).otherwise(0.0)
+
+
 def score_rows(features: DataFrame, forest: Forest) -> DataFrame:
     """Add ``_raw``, the raw score of each row."""
-    columns = [F.col(c).cast("double") for c in forest.scaler]
-    means = np.array([mean for mean, _ in forest.scaler.values()])
-    stds = np.array([std for _, std in forest.scaler.values()])
     trees = (forest.feature, forest.threshold, forest.length, forest.sample, forest.depth)
-    shared = features.sparkSession.sparkContext.broadcast((means, stds, trees))
+    shared = features.sparkSession.sparkContext.broadcast(trees)
 
     @F.pandas_udf("double")
     def raw(x: pd.DataFrame) -> pd.Series:
-        means, stds, trees = shared.value
-        points = x.fillna(0.0).to_numpy(dtype=float)
-        return pd.Series(raw_scores((points - means) / stds, *trees))
+        return pd.Series(raw_scores(x.to_numpy(dtype=float), *shared.value))
 
-    return features.withColumn("_raw", raw(F.struct(*columns)))
+    return features.withColumn("_raw", raw(F.struct(*[plain(c).alias(c) for c in forest.columns])))
 
 
 def detect_anomalies(
@@ -180,7 +190,7 @@ def detect_anomalies(
     least: int = C.ANOMALY_MIN_ROWS,
 ) -> DataFrame:
     """Add ``anomaly`` and ``anomaly_score`` (lower is more anomalous, negative is flagged) and
-    the feature columns. The scaler and the forest are fitted over all symbols together. Under
+    the feature columns. The forest is fitted over all symbols together. Under
     ``least`` rows nothing is flagged; the columns are the same.
     """
     features = durable(window_features(df, block))

@@ -334,9 +334,9 @@ def anomaly_report(spark, sf_dir):
     return R.anomaly_table(detect_anomalies(hourly(spark, sf_dir)))
 
 
-@query()
+@query(digits=4)
 def score_windows(spark, sf_dir):
-    return pipelines.score_windows(hourly(spark, sf_dir))
+    return pipelines.score_windows(hourly(spark, sf_dir)).fillna(-1, ["pred_error_aligned"])
 
 
 @query()
@@ -359,6 +359,11 @@ def kpi_summary(spark, sf_dir):
     return R.kpi_summary(predict(hourly(spark, sf_dir)))
 
 
+@query(digits=2)
+def kpi_summary_scored(spark, sf_dir):
+    return R.kpi_summary(pipelines.score_windows(hourly(spark, sf_dir)))
+
+
 @query()
 def range_band(spark, sf_dir):
     return R.range_band(W.aggregate_sliding(W.clean_trades(events(spark, sf_dir))))
@@ -369,6 +374,11 @@ def series_long(spark, sf_dir):
     return R.series_long(hourly(spark, sf_dir))
 
 
+@query(digits=4)
+def series_long_scored(spark, sf_dir):
+    return R.series_long(pipelines.score_windows(hourly(spark, sf_dir)))
+
+
 @query()
 def peek_trades(spark, sf_dir):
     trades = events(spark, sf_dir)

@@ -443,3 +443,101 @@ FROM (
   UNION ALL SELECT 'trades_counted', CAST(sum(trade_count) AS BIGINT) FROM w
   UNION ALL SELECT 'windows_priced', count(*) FILTER (WHERE avg_price > 0) FROM w
   UNION ALL SELECT 'spikes_in_windows', CAST(sum(spike_count) AS BIGINT) FROM w)"""
+
+
+# The isolation forest: the same draws (digests as whole numbers below 2^52), cuts level by level, then a walk down every tree.
+_RING = 4503599627370496
+_FOREST_X = ("avg_price", "trade_count", "sum_value", "price_change_pct", "value_per_trade", "spike_rate")
+
+
+def _drawn(text: str) -> str:
+    return f"('0x' || substr(md5({text}), 1, 13))::BIGINT"
+
+
+def _path(n: str) -> str:
+    return f"""CASE WHEN {n} > 2 THEN 2 * (ln({n} - 1) + 0.5772156649015329) - 2 * ({n} - 1)::DOUBLE / {n}
+       WHEN {n} = 2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"""
+
+
+def _split(rows: str) -> str:
+    """Rows with the size, feature and cut of their node."""
+    numbers = range(1, len(_FOREST_X) + 1)
+    lows = ", ".join(f"min(x[{k}]) OVER node" for k in numbers)
+    highs = ", ".join(f"max(x[{k}]) OVER node" for k in numbers)
+    return f"""
+  SELECT tree, x, node, level, n, feature, CASE WHEN cut < high THEN cut ELSE low END AS place
+  FROM (SELECT *, low + {_drawn("'42:' || tree || ':' || node || ':cut'")} / {_RING}::DOUBLE * (high - low) AS cut
+    FROM (SELECT *, lows[feature] AS low, highs[feature] AS high
+      FROM (SELECT *, varying[1 + {_drawn("'42:' || tree || ':' || node || ':feature'")} % greatest(len(varying), 1)] AS feature
+        FROM (SELECT *, list_filter(range(1, {len(_FOREST_X) + 1}), lambda k: highs[k] > lows[k]) AS varying
+          FROM (SELECT tree, x, node, level, count(*) OVER node AS n, [{lows}] AS lows, [{highs}] AS highs
+                FROM {rows} WINDOW node AS (PARTITION BY tree, node))))))"""
+
+
+def _forest(base: str) -> str:
+    """``base`` continued to ``scored``: its rows ``f`` with anomaly_score and anomaly."""
+    return f"""{base.replace("WITH ", "WITH RECURSIVE ", 1)},
+pts AS (
+  SELECT symbol, window_start, [{", ".join(f"coalesce({c}, 0)::DOUBLE" for c in _FOREST_X)}] AS x,
+         {_drawn("'42:' || symbol || ':' || epoch_us(window_start)")} AS u FROM f),
+drawn AS (
+  SELECT tree, x FROM (
+    SELECT tree, x, row_number() OVER (PARTITION BY tree ORDER BY (u - s + {_RING}) % {_RING}, symbol, window_start) AS r
+    FROM pts, (SELECT t AS tree, t * {_RING} // 100 AS s FROM range(100) AS r(t))) WHERE r <= 256),
+grow AS (
+  SELECT tree, x, 0::BIGINT AS node, 0 AS level FROM drawn
+  UNION ALL
+  SELECT tree, x, 2 * node + CASE WHEN x[feature] <= place THEN 1 ELSE 2 END, level + 1
+  FROM ({_split("grow")}) WHERE level < 8 AND feature IS NOT NULL),
+nodes AS (
+  SELECT tree, node, any_value(n) AS n, any_value(level) AS level, any_value(CASE WHEN level < 8 THEN feature END) AS feature,
+         any_value(place) AS place FROM ({_split("grow")}) GROUP BY tree, node),
+walk AS (
+  SELECT symbol, window_start, x, t AS tree, 0::BIGINT AS node FROM pts, range(100) AS r(t)
+  UNION ALL
+  SELECT w.symbol, w.window_start, w.x, w.tree, 2 * w.node + CASE WHEN w.x[n.feature] <= n.place THEN 1 ELSE 2 END
+  FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node WHERE n.feature IS NOT NULL),
+raws AS (
+  SELECT w.symbol, w.window_start,
+         -pow(2.0::DOUBLE, -sum(n.level + {_path("n.n")}) / 100 / (SELECT {_path("least(256, count(*))")} FROM pts)) AS raw
+  FROM walk w JOIN nodes n ON n.tree = w.tree AND n.node = w.node WHERE n.feature IS NULL GROUP BY 1, 2),
+scored AS (
+  SELECT f.*, raw - (SELECT quantile_cont(raw, 0.05) FROM raws) AS anomaly_score FROM f JOIN raws USING (symbol, window_start))"""
+
+
+_AT = f"strftime(window_start, {_TIME}) AS window_start"
+ORACLE["isolation_forest"] = f"""
+{_forest(_FEATURES)}
+SELECT symbol, {_AT}, anomaly_score < 0 AS anomaly, round(anomaly_score + 1e-9, 6) + 0.0 AS anomaly_score FROM scored"""
+
+ORACLE["anomaly_report"] = f"""
+{_forest(_FEATURES)}
+SELECT symbol, {_AT}, round(avg_price + 1e-9, 6) AS avg_price, trade_count, round(sum_value + 1e-9, 6) AS sum_value, spike_count,
+       round(anomaly_score + 1e-9, 6) AS anomaly_score FROM scored WHERE anomaly_score < 0"""
+
+_ALL_SCORES = f"""{_forest(_regression())},
+every AS (SELECT p.*, s.anomaly_score FROM p JOIN scored s USING (symbol, window_start))"""
+_MODEL_COLUMNS = (*_X, "value_per_trade", "spike_rate", "anomaly_score")
+ORACLE["score_windows"] = f"""
+{_ALL_SCORES}
+SELECT {_shown(4)}, anomaly_score < 0 AS anomaly, {", ".join(f"round({c} + 1e-7, 4) + 0.0 AS {c}" for c in _MODEL_COLUMNS)},
+       round(predicted_price + 1e-7, 4) AS predicted_price, round(predicted_price - avg_price + 1e-7, 4) AS pred_error,
+       round(coalesce(predicted_price - next_price, -1) + 1e-7, 4) AS pred_error_aligned FROM every"""
+
+ORACLE["kpi_summary_scored"] = f"""
+{_ALL_SCORES}
+SELECT symbol AS latest_symbol, round(avg_price + 1e-5, 2) AS latest_price,
+       round(predicted_price + 1e-5, 2) AS predicted_price,
+       CASE WHEN predicted_price >= avg_price THEN 'up' ELSE 'down' END AS direction,
+       CAST((SELECT sum(trade_count) FROM every) AS BIGINT) AS total_trades,
+       round((SELECT sum(sum_value) FROM every) + 1e-5, 2) AS total_volume,
+       (SELECT count(*) FROM every WHERE anomaly_score < 0) AS anomaly_count, 'anomalies' AS status
+FROM every ORDER BY window_start DESC, symbol DESC LIMIT 1"""
+
+ORACLE["series_long_scored"] = f"""
+{_ALL_SCORES}
+SELECT symbol, {_AT}, measure, round(value + 1e-7, 4) + 0.0 AS value
+FROM (UNPIVOT (SELECT symbol, window_start, avg_price, CAST(trade_count AS DOUBLE) AS trade_count,
+                      sum_value, CAST(spike_count AS DOUBLE) AS spike_count, predicted_price - avg_price AS pred_error,
+                      anomaly_score FROM every)
+      ON avg_price, trade_count, sum_value, spike_count, pred_error, anomaly_score INTO NAME measure VALUE value)"""

@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import random
 
 import numpy as np
@@ -144,14 +145,16 @@ def test_all_symbols_are_scored(windows):
 
 
 @pytest.mark.parametrize("rows", [3, 100, 30_000])
-def test_every_tree_draws_from_all_rows(spark, rows):
-    stored = spark.range(rows).select(F.struct("id").alias("_row"), F.array(F.col("id").cast("double")).alias("_point"))
-    taken = min(64, rows)
-    drawn = FO._draw(stored, rows, 20, taken, 1).collect()
-    by_tree = {t: {r._point[0] for r in drawn if r.tree == t} for t in range(20)}
-    assert all(len(points) == taken for points in by_tree.values())
-    if rows == 30_000:
-        assert all(max(points) > rows / 2 > min(points) for points in by_tree.values())
+def test_every_tree_draws_a_ring_of_rows(spark, rows):
+    stored = spark.range(rows).select(F.lit("A").alias("symbol"), F.col("id").alias("_micros"), F.col("id").cast("double").alias("_x0"))
+    taken, trees = min(64, rows), 20
+    drawn = FO.draw_samples(stored, rows, trees, taken, 1).collect()
+    by_tree = {t: {int(r._x0) for r in drawn if r.tree == t} for t in range(trees)}
+    ring = 1 << 52
+    places = [int(hashlib.md5(f"1:A:{i}".encode()).hexdigest()[:13], 16) for i in range(rows)]
+    for t, found in by_tree.items():
+        start = t * ring // trees
+        assert found == set(sorted(range(rows), key=lambda i: (places[i] - start) % ring)[:taken])
 
 
 def test_prediction_error(windows):
@@ -187,22 +190,52 @@ def walk(tree, row):
         node = 2 * node + (1 if row[feature] <= threshold else 2)
 
 
-def test_scores_against_walking_the_trees():
+def grown_plainly(points, tree, seed, depth):
+    """One tree by a loop, node by node."""
+
+    def drawn(node, what):
+        return int(hashlib.md5(f"{seed}:{tree}:{node}:{what}".encode()).hexdigest()[:13], 16)
+
+    nodes, open_nodes = {}, [(0, 0, points)]
+    while open_nodes:
+        node, level, inside = open_nodes.pop()
+        low, high = inside.min(0), inside.max(0)
+        varying = np.flatnonzero(high > low)
+        if level == depth or not len(varying):
+            nodes[node] = (-1, 0.0, level + float(FO.mean_path(len(inside))))
+            continue
+        k = varying[drawn(node, "feature") % len(varying)]
+        cut = low[k] + drawn(node, "cut") / 2.0**52 * (high[k] - low[k])
+        cut = cut if cut < high[k] else low[k]
+        nodes[node] = (int(k), float(cut), 0.0)
+        left = inside[:, k] <= cut
+        open_nodes += [(2 * node + 1, level + 1, inside[left]), (2 * node + 2, level + 1, inside[~left])]
+    return nodes
+
+
+def test_trees_and_scores_against_a_loop(spark):
     rng = np.random.default_rng(7)
-    rows = rng.normal(size=(300, 3))
-    rows[:, 2] = 1.0
-    depth, sample, trees = 8, 256, 20
-    grown = [FO.grow_tree(rows[rng.choice(300, sample, replace=False)], rng, depth) for _ in range(trees)]
+    trees, depth, seed = 4, 6, 42
+    points = rng.normal(size=(trees, 64, 3)).round(2)
+    points[:, :, 2] = 1.0
+    points[1, :40] = points[1, 0]
+    rows = [(t, *map(float, x)) for t in range(trees) for x in points[t]]
+    drawn = spark.createDataFrame(rows, "tree bigint, _x0 double, _x1 double, _x2 double")
+    got = {(r.tree, r.node): (r.feature, r.threshold, pytest.approx(r.length)) for r in FO.grow(drawn, 3, depth, seed).collect()}
+    plain = [grown_plainly(points[t], t, seed, depth) for t in range(trees)]
+    assert got == {(t, n): v for t in range(trees) for n, v in plain[t].items()}
+
     shape = (trees, 2 ** (depth + 1) - 1)
     feature, threshold, length = np.full(shape, -1), np.zeros(shape), np.zeros(shape)
-    for k, tree in enumerate(grown):
-        feature[k, tree.node], threshold[k, tree.node] = tree.feature, tree.threshold
-        length[k, tree.node] = tree.length
-        assert set(tree.feature) <= {-1, 0, 1}
-    got = FO.raw_scores(rows, feature, threshold, length, sample, depth)
-    normal = 2 * (np.log(sample - 1) + np.euler_gamma) - 2 * (sample - 1) / sample
-    want = [-(2 ** (-np.mean([walk(t, row) for t in grown]) / normal)) for row in rows]
-    np.testing.assert_allclose(got, want)
+    for t, nodes in enumerate(plain):
+        for n, values in nodes.items():
+            feature[t, n], threshold[t, n], length[t, n] = values
+    every = points.reshape(-1, 3)
+    scores = FO.raw_scores(every, feature, threshold, length, 64, depth)
+    normal = float(FO.mean_path(64))
+    frames = [pd.DataFrame([(n, *v) for n, v in nodes.items()]) for nodes in plain]
+    want = [-(2 ** (-np.mean([walk(f, row) for f in frames]) / normal)) for row in every]
+    np.testing.assert_allclose(scores, want)
 
 
 def test_mean_path():
