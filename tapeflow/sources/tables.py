@@ -1,10 +1,7 @@
 """Window tables on storage."""
 
-from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pyarrow as pa
-import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
@@ -51,29 +48,43 @@ def _as_declared(field: StructField, target: StructField) -> Column:
     return column.try_cast(target.dataType)
 
 
-def _scans(spark: SparkSession, path: str) -> list[DataFrame]:
-    """One scan for each schema among the parquet files below a folder.
-
-    Files may lack columns, hold them in other types or lie under partition folders. Their
-    schemas are read in parallel tasks, through Spark's own file reader; the driver gets the
-    paths by schema, as it does for any scan.
-    """
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    """(path, folders, job) of the parquet files below a folder, none of them opened: the names of its partition folders,
+    and what the files of one write share, the folder and the writer's mark in the name."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     with _conf(spark, _IGNORE_LOG, "true"):
         files = files.option("pathGlobFilter", "*.parquet").load(path).where("length > 0")
+    folders = F.array_join(F.regexp_extract_all("path", F.lit("([^/=]+)=[^/]*/"), F.lit(1)), ",")
+    return files.select("path", folders.alias("folders"), F.regexp_replace("path", "/part-[0-9]+-", "/").alias("job"))
 
-    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch["path"].to_pylist(), batch["content"]):
-                schema = pq.read_schema(pa.BufferReader(content.as_buffer()))
-                kinds = ",".join(f"{f.name}:{f.type}" for f in schema)
-                folders = ",".join(p.partition("=")[0] for p in name.split("/")[:-1] if "=" in p)
-                yield pa.RecordBatch.from_pydict({"path": [name], "shape": [f"{folders}|{kinds}"]})
 
-    shapes = files.select("path", "content").mapInArrow(footers, "path string, shape string")
-    grouped = shapes.groupBy("shape").agg(F.array_sort(F.collect_list("path")).alias("paths")).orderBy("shape")
+def _scans(spark: SparkSession, path: str) -> list[DataFrame]:
+    """One scan for each kind of parquet files below a folder.
+
+    Files may lack columns, hold them in other types or lie under partition folders. Spark merges the
+    schemas of the files under like folders, reading footers in parallel tasks. Where the types of a column cannot be
+    merged, one footer of each write is read, since the files of one write are alike, and writes of one schema
+    share a scan. The driver gets the paths, as it does for any scan.
+    """
+    grouped = _listing(spark, path).groupBy("folders").agg(F.array_sort(F.collect_list(F.struct("path", "job"))).alias("files"))
+    scans = []
     with _conf(spark, _IGNORE_LOG, "true"):
-        return [spark.read.option("basePath", path).parquet(*row["paths"]) for row in grouped.collect()]
+        reader = spark.read.option("basePath", path)
+        for row in grouped.orderBy("folders").collect():
+            try:
+                scans.append(spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*[f.path for f in row.files]))
+                continue
+            except Exception as error:  # which exception it is depends on where Spark merges
+                if "CANNOT_MERGE" not in str(error) and "Failed merging schema" not in str(error):
+                    raise
+            jobs: dict[str, list[str]] = {}
+            for file in row.files:
+                jobs.setdefault(file.job, []).append(file.path)
+            alike: dict[str, list[str]] = {}
+            for paths in jobs.values():
+                alike.setdefault(reader.parquet(paths[0]).schema.json(), []).extend(paths)
+            scans += [reader.parquet(*paths) for _, paths in sorted(alike.items())]
+    return scans
 
 
 def read_window_table(
@@ -118,13 +129,14 @@ def read_window_table(
 
 
 def preview(spark: SparkSession, path: str, rows: int = 10) -> DataFrame | None:
-    """Print schema and the first rows of a table, whether or not its sink log is complete; a
-    message where there is none yet."""
+    """Print schema and the first rows of a table in time order, as they are stored, whether or not its sink log is
+    complete; a message where there is none yet."""
     if not _exists(spark, path):
         print(f"No parquet files in {path} yet.")
         return None
-    table = read_window_table(spark, path)
-    head = table.limit(rows)
+    table = read_window_table(spark, path, dedup=False, sort=False)
+    # Sorted for a few rows only: every task keeps its first ones.
+    head = table.orderBy(*[c for c in ("window_start", "symbol") if c in table.columns]).limit(rows)
     table.printSchema()
     head.show(truncate=False)
     return head

@@ -81,6 +81,31 @@ def test_reader_concatenates_unlike_tables(spark, synth, tmp_path):
     assert both.filter("min_price is null").count() == 180
 
 
+def test_listing_opens_no_file(spark, synth, tmp_path):
+    synth[0].repartition(3).write.partitionBy("event_date").parquet(str(tmp_path / "t"))
+    listed = tables._listing(spark, str(tmp_path / "t"))
+    scan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in scan
+    rows = listed.collect()
+    assert {r.folders for r in rows} == {"event_date"} and len({r.job for r in rows}) < len(rows)
+
+
+def test_writes_of_unlike_types_in_one_folder(spark, synth, tmp_path):
+    tumbling, path = synth[0], str(tmp_path / "t")
+    minute = F.minute("window_start") % 3
+    tumbling.filter(minute == 0).write.parquet(path)
+    texts = {"window_start": F.col("window_start").cast("string"), "trade_count": F.col("trade_count").cast("int")}
+    tumbling.filter(minute == 1).withColumns(texts).write.mode("append").parquet(path)
+    tumbling.filter(minute == 2).drop("spike_count").repartition(5).write.mode("append").parquet(path)
+    scans = tables._scans(spark, path)
+    assert len(scans) == 3
+    got = tables.read_window_table(spark, path)
+    assert got.schema["trade_count"].dataType.simpleString() == "bigint"
+    want = tumbling.withColumn("spike_count", F.when(minute != 2, F.col("spike_count")))
+    shown = [c for c in TUMBLING_TABLE.names]
+    assert sorted(map(str, got.select(shown).collect())) == sorted(map(str, want.select(shown).collect()))
+
+
 def test_incomplete_sink_log(spark, synth, tmp_path):
     path = tmp_path / "t"
     synth[0].coalesce(1).write.parquet(str(path))
