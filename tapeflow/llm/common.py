@@ -62,19 +62,44 @@ def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
+def with_row(df: DataFrame) -> DataFrame:
+    """A stored copy of ``df`` with its columns renamed to c0, c1, ... and ``row``, a number that no other row has. So
+    rows without an id, or with the same one, can be told apart, and no name clashes."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return durable(plain.withColumn("row", F.monotonically_increasing_id()))
+
+
 def bounded_sample(df: DataFrame, class_col: str, per_class: int, seed: int = 7) -> DataFrame:
-    """About ``per_class`` rows of each class at most, chosen by a hash of the whole row.
+    """``per_class`` distinct rows of each class, all where there are fewer, chosen by a hash of the whole row.
+
+    Copies of a row count once, so neither a row with many copies nor their absence changes the bound. A null class is a class. Reruns
+    give the same rows; an empty table gives none.
 
-    Reads the table once for the class sizes (one row per class comes to the driver) and gives
-    whole classes where they are small. Reruns give the same rows.
+    The smallest hashes are taken. Only hashes that should be enough are gathered, more of them if copies or chance
+    made them too few; the driver gets a size and the last hash for each class, and rows are read once more by their hash.
     """
-    sizes = df.groupBy(class_col).count().collect()
-    digest = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]), F.lit(1 << 20))
-    kept = F.lit(False)
-    for row in sizes:
-        share = min(1.0, per_class / row["count"])
-        kept = kept | (F.col(class_col).eqNullSafe(F.lit(row[class_col])) & (digest < F.lit(int(share * (1 << 20)))))
-    return df.where(kept)
+    key = F.col(class_col)
+    digest = F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
+    sizes = {row[0]: row[1] for row in df.groupBy(key).agg(F.count("*")).collect()}
+    spare, open_classes, kept = 2.0, list(sizes), F.lit(False)
+    while open_classes:
+        wanted, cuts = F.lit(False), {}
+        for name in open_classes:
+            cuts[name] = min((1 << 63) - 1, -(1 << 63) + int((1 << 64) * spare * per_class / sizes[name]))
+            wanted = wanted | (key.eqNullSafe(F.lit(name)) & (digest <= F.lit(cuts[name])))
+        near = df.where(wanted).select(key.alias("class"), digest.alias("digest")).distinct()
+        order = F.row_number().over(Window.partitionBy("class").orderBy("digest"))
+        near = near.withColumn("n", order).where(F.col("n") <= per_class)
+        found = {r["class"]: r for r in near.groupBy("class").agg(F.count("*").alias("n"), F.max("digest").alias("last")).collect()}
+        for name in list(open_classes):
+            enough = name in found and found[name]["n"] == per_class
+            if enough or cuts[name] == (1 << 63) - 1:
+                last = found[name]["last"] if name in found else -(1 << 63)
+                kept = kept | (key.eqNullSafe(F.lit(name)) & (digest <= F.lit(last)))
+                open_classes.remove(name)
+        spare *= 8
+    rows = df.where(kept).withColumn("__digest", digest)
+    return rows.groupBy(class_col, "__digest").agg(*[F.first(c).alias(c) for c in df.columns if c != class_col]).select(*df.columns)
 
 
 def shuffle_parts(df: DataFrame) -> int:

@@ -42,7 +42,8 @@ class Model:
 
 
 def letters_of(text: str) -> list[str]:
-    return [w for w in WORDS.findall(text.lower()) if not w.isnumeric()]
+    """Words with a letter, whatever else counts as a number (Han numerals are letters and numbers)."""
+    return [w for w in WORDS.findall(text.lower()) if not w.isnumeric() or any(map(str.isalpha, w))]
 
 
 def word_counts(labelled: DataFrame, settings: Settings) -> DataFrame:

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, durable, text_of
+from .common import WORD, durable, text_of, with_row
 
 HASH_BITS = 60
 
@@ -69,8 +69,10 @@ def source_targets(sizes: DataFrame, mix: Mix) -> DataFrame:
     )
 
 
-def mix_sources(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: id, source, size, source_size, target, takes.
+def mix_sources(
+    docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None
+) -> DataFrame:
+    """One row per document: id, source, size, source_size, target, takes, and ``row_col`` if there is one, a number that is each row's own.
 
     ``takes`` is how often the mix takes the document, 0 to ``passes``. A null text has size 0; documents
     of size 0 are never taken. Null is a source like any other. Rows with one id are separate documents, which
@@ -83,6 +85,7 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_
             docs[source_col].cast("string").alias("source"),
             F.regexp_count(text_of(docs, text_col), F.lit(WORD)).cast("long").alias("size"),
             shuffled(mix, docs[id_col]).alias("place"),
+            (docs[row_col].cast("long") if row_col else F.lit(0).cast("long")).alias("row"),
         )
     )
     rows = sizes.count()
@@ -98,13 +101,13 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_
         .withColumn("offset", F.sum("words").over(in_order) - F.col("words"))
         .select(F.col("source").alias("of"), F.col("bucket").alias("at"), "offset")
     )
-    inside = Window.partitionBy("source", "bucket").orderBy("place", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source", "bucket").orderBy("place", "id", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
     queues = sizes.withColumn("sent", F.sum("size").over(inside))
     queues = queues.join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("at")), "left")
     totals = targets.withColumnRenamed("source", "from")
     queues = durable(
         queues.join(totals, F.col("source").eqNullSafe(F.col("from")), "left").select(
-            "id", "source", "size", "place", "source_size", "target", (F.col("sent") + F.col("offset")).alias("sent")
+            "id", "source", "size", "place", "row", "source_size", "target", (F.col("sent") + F.col("offset")).alias("sent")
         )
     )
     finish = [(F.col("sent") + F.col("source_size") * p) / F.col("target") for p in range(mix.passes)]
@@ -112,6 +115,7 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_
     cut = _cut(queues, finish, budget or 0.0, bins=max(1024, rows // 1024))
     takes = sum((F.when(_not_after(f, cut), 1).otherwise(0) for f in finish), F.lit(0)) if cut else F.lit(0)
     return queues.select(
+        *([F.col("row").alias(row_col)] if row_col else []),
         F.col("id").alias(id_col),
         F.col("source").alias(source_col),
         "size",
@@ -121,6 +125,20 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_
     )
 
 
+def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """As many rows of each document as the mix takes, with all its columns.
+
+    Rows with a null id, or with one id, are documents of their own; among equal rows it does not matter which is taken. A
+    text without words is never taken. Columns may have any names. An empty table gives an empty result.
+    """
+    rows = with_row(docs)
+    names = dict(zip(docs.columns, rows.columns))
+    takes = mix_sources(rows, mix, names[id_col], names[text_col], names[source_col], "row").where("takes > 0")
+    taken = rows.join(durable(takes.select("row", "takes")), "row")
+    copies = F.explode(F.sequence(F.lit(1), F.col("takes"))).alias("take")
+    return taken.select(*names.values(), copies).drop("take").toDF(*docs.columns)
+
+
 def _cut(queues: DataFrame, finish: list[Column], budget: float, bins: int):
     """The last (finish, place, id) that the budget takes, or None."""
     sent = queues.where("size > 0").select("id", "place", "size", F.explode(F.array(*finish)).alias("finish"))

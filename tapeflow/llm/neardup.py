@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, map_rows, text_of
+from .common import durable, map_rows, text_of, with_row
 
 BLOCK, LARGE, BITS = 2048, 32, 1024
 BASE = 0x9E3779B97F4A7C15  # odd
@@ -395,3 +395,19 @@ def classes(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc
     return out.select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (component == F.col("id")).alias("kept")
     )
+
+
+def one_of_each(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each class of near-duplicates, with all its columns: that with the smallest id, null last, and among
+    rows of one id the first that is read.
+
+    Repeated rows are copies of each other. Texts without words are in no class and all stay. Columns may have any
+    names. An empty table gives an empty result.
+    """
+    rows = with_row(docs)
+    names = dict(zip(docs.columns, rows.columns))
+    found = classes(rows, settings, "row", names[text_col]).select("row", "component_id")
+    ids = rows.select("row", F.col(names[id_col]).alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "row")).alias("first")
+    kept = found.join(ids, "row").groupBy("component_id").agg(first).select(F.col("first.row").alias("row"))
+    return rows.join(durable(kept), "row", "left_semi").select(*names.values()).toDF(*docs.columns)

@@ -347,8 +347,12 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def masked(docs: DataFrame, text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """The documents with every span replaced by its kind in angle brackets; other columns stay. Spans that
-    touch one another are replaced as one, under the kind that comes first."""
-    clear = docs.withColumnsRenamed({c: f"c{i}" for i, c in enumerate(docs.columns)})
+    touch one another are replaced as one, under the kind that comes first.
+
+    Null and empty texts stay as they are, as do rows with null ids; repeated rows are changed alike. Columns may have
+    any names. An empty table gives an empty result.
+    """
+    clear = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     at = f"c{docs.columns.index(text_col)}"
     model = fit(durable(found_spans(docs, [], text_col)), settings)
     rows = decided(found_spans(clear, clear.columns, at), model, settings)

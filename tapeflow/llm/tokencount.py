@@ -24,6 +24,21 @@ from .common import map_rows, text_of
 from .unicode import WHITE_SPACE, splitter
 
 CHUNK = 1 << 16
+
+# Capital letters of Unicode 16 and 17 and their small ones, which Python's tables lack.
+NEWER_CASE = {
+    0x1C89: 0x1C8A,
+    0xA7CB: 0x0264,
+    0xA7CC: 0xA7CD,
+    0xA7CE: 0xA7CF,
+    0xA7D2: 0xA7D3,
+    0xA7D4: 0xA7D5,
+    0xA7DA: 0xA7DB,
+    0xA7DC: 0x019B,
+    **{letter: letter + 0x20 for letter in range(0x10D50, 0x10D66)},
+    **{letter: letter + 0x1B for letter in range(0x16EA0, 0x16EB9)},
+}
+NEWER_CAPITALS = re.compile(f"[{''.join(map(chr, NEWER_CASE))}]")
 FOREVER = 1 << 60
 
 
@@ -193,6 +208,8 @@ class Counter:
         text = unicodedata.normalize("NFC", text)
         if "Σ" in text:  # letter by letter, not by its place in the word
             text = text.replace("Σ", "σ")
+        if NEWER_CAPITALS.search(text):
+            text = text.translate(NEWER_CASE)
         known, word = self.known, self.word
         return sum([known.get(w) or word(w) for w in self.words(text.lower())])
 

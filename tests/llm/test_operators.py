@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tapeflow.llm import ann, bpe, langid, mixing, neardup, pii, quality, repeats, tokencount, toxicity
-from tapeflow.llm.common import held_out
+from tapeflow.llm.common import bounded_sample, held_out
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
@@ -375,3 +375,107 @@ def test_pipeline_stages(spark, docs, empty):
         assert stage(spark, empty, "").count() == 0
     last = corpus_pipeline.STAGES[-1][1](spark, rows, "")
     assert last.count() == rows.count() and last.where("NOT decodes").count() == 0
+
+
+def test_stages_lose_no_row(spark):
+    """Null and repeated ids, and columns with the names that stages used or use themselves."""
+    words = ["the", "of", "and", "to"]
+    good = [" ".join(RNG.choice(VOCABULARY + words * 20) for _ in range(90)).replace("er ", "er. ") for _ in range(12)]
+    rows = [(None, text, "x", "y", 9, 9, 9, "z", None) for text in good[:4]]
+    rows += [(5, text, "x", "y", 9, 9, 9, "z", f"s{i % 2}") for i, text in enumerate(good[4:8])]  # one id
+    rows += [(i, text, "x", "y", 9, 9, 9, "z", "s1") for i, text in enumerate(good[8:], 20)] * 2  # copies
+    rows += [(7, None, "x", "y", 9, 9, 9, "z", "s1"), (None, "", "x", "y", 9, 9, 9, "z", "s1")]
+    schema = "doc_id bigint, text string, c0 string, c1 string, `row` bigint, __key bigint, __takes bigint, __take string, source string"
+    docs = spark.createDataFrame(rows, schema).repartition(3).cache()
+
+    def of(frame):
+        assert frame.columns == docs.columns
+        return Counter(map(tuple, frame.collect()))
+
+    stages = dict(corpus_pipeline.STAGES)
+    every, have_words = of(docs), Counter({r: n for r, n in of(docs).items() if r[1]})
+    assert of(stages["personal data"](spark, docs, "")) == every
+    kept = of(stages["quality rules"](spark, docs, ""))
+    assert kept and all(n == every[r] for r, n in kept.items()) and not any(r[1] in (None, "") for r in kept)
+    once = of(stages["near-duplicates"](spark, docs, ""))
+    assert once == Counter(every.keys())
+    mixed = of(stages["source mix"](spark, docs, ""))
+    assert set(mixed) <= set(have_words) and all(n <= 2 * every[r] for r, n in mixed.items())
+    assert {r[0] for r in mixed} >= {None, 5} and of(stages["source mix"](spark, docs.repartition(5), "")) == mixed
+    assert stages["tokens"](spark, docs, "").count() == docs.count()
+
+
+def test_near_duplicates_keep_the_smallest_id(spark):
+    text = prose(60)
+    rows = [(None, text), (9, text), (3, text), (3, text), (8, None), (8, None), (None, "other words here")]
+    kept = neardup.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter({(3, text): 1, (8, None): 2, (None, "other words here"): 1})
+
+
+@pytest.mark.parametrize("copies", [1, 500])
+def test_bounded_sample(spark, copies):
+    rows = [(lang, f"{lang} text {i % n}") for lang, n in (("a", 300), ("b", 20), (None, 3)) for i in range(n)]
+    rows += [("c", "the only one")] * 200
+    table = spark.createDataFrame(rows * (1 if copies == 1 else 2) + [rows[0]] * (copies - 1), "lang string, text string")
+    found = [tuple(r) for r in bounded_sample(table, "lang", 50).collect()]
+    assert Counter(r[0] for r in found) == {"a": 50, "b": 20, None: 3, "c": 1}
+    assert len(set(found)) == len(found) and set(found) <= set(rows)
+    again = [tuple(r) for r in bounded_sample(table.repartition(5), "lang", 50).collect()]
+    assert sorted(map(str, found)) == sorted(map(str, again))
+    assert bounded_sample(table.where("false"), "lang", 50).count() == 0
+
+
+def test_language_scores_by_definition(spark):
+    """The whole operator again with plain dictionaries: counts, words first, then the longest known letter runs."""
+    alphabets = {"x": ["abra", "cada", "bra", "zim"], "y": ["abra", "ox", "uru", "zam", "三"], "z": ["三一", "ox"]}
+    texts = [(lang, " ".join(RNG.choice(ws) + RNG.choice(["", "", "s", "1"]) for _ in range(RNG.randint(1, 30)))) for lang, ws in alphabets.items() for _ in range(40)]
+    texts += [(None, t) for t in ("abrax zimzam", "", None, "123 ½", "三 一二", "qqq", "Ox " * 5000, "三")]
+    texts += [texts[0]] * 30
+    docs = spark.createDataFrame([(i, text, lang, "x") for i, (lang, text) in enumerate(texts)], "doc_id bigint, text string, lang string, word string")
+    settings = langid.Settings()
+    counts = {}
+    for lang, text in set(t for t in texts if t[0]):
+        for word in langid.letters_of(text):
+            counts.setdefault(word, Counter())[lang] += 1
+    langs = sorted(alphabets)
+
+    def table(rows, least):
+        kept = {k: c for k, c in rows.items() if sum(c.values()) >= least}
+        total = {lang: sum(c[lang] for c in kept.values()) + 0.5 * (len(kept) + 1) for lang in langs}
+        return {k: [np.log((c[lang] + 0.5) / total[lang]) for lang in langs] for k, c in kept.items()}
+
+    known, runs = table(counts, settings.least), {}
+    for size in range(1, settings.longest_run + 1):
+        of_size = {}
+        for word, c in counts.items():
+            for run in langid.runs_of(word, size):
+                of_size.setdefault(run, Counter()).update(c)
+        runs[size] = table(of_size, 1)
+
+    def score(text):
+        words = langid.letters_of(text or "")
+        if not words:
+            return "und", 0.0
+        total = np.zeros(len(langs))
+        for word in words:
+            found = [known[word]] if word in known else []
+            for size in range(settings.longest_run, 0, -1):
+                found = found or [runs[size][r] for r in langid.runs_of(word, size) if r in runs[size]]
+            total += np.mean(found, axis=0) if found else 0
+        odds = np.exp(total - total.max())
+        return langs[int(odds.argmax())], odds.max() / odds.sum()
+
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, langid.fit(docs)).collect()}
+    for i, (_, text) in enumerate(texts):
+        lang, share = score(text)
+        assert got[i][0] == lang and got[i][1] == pytest.approx(share, abs=1e-9), text
+    assert score("123 ½")[0] == "und" and score("三 一二")[0] != "und"
+
+
+def test_capitals_newer_than_python(docs):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    count = tokencount.counter(path).count
+    for capital in tokencount.NEWER_CASE:
+        for text in (chr(capital), f"a{chr(capital)}b", f"x {chr(capital)}{chr(capital)}y"):
+            assert count(text) == len(library.encode(text, add_special_tokens=False).ids)
