@@ -197,6 +197,42 @@ def test_neighbours_recall_and_order(spark):
     assert ann.neighbours(table.where("false"), asked).count() == 0
 
 
+def test_neighbours_of_repeated_and_clashing_rows(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(rng.standard_normal((400, 8)))]
+    rows += [rows[3]] * 150  # a third is one row
+    schema = "vec_id long, embedding array<double>, id string, block string, ask string, dims string"
+    table = spark.createDataFrame([(*r, "a", "b", "c", "d") for r in rows], schema)
+    # One id with two vectors, one row twice, and a null row.
+    asked = spark.createDataFrame([(*r, "a", "b", "c", "d") for r in ((5, rows[5][1]), (5, rows[6][1]), rows[7], rows[7], (8, None))], schema)
+    got = ann.neighbours(table, asked, k=4).orderBy("query_id", "score", "vec_id").collect()
+    for query, vectors in ((5, [rows[5][1], rows[6][1]]), (7, [rows[7][1]] * 2)):
+        mine = [(r["rank"], r.vec_id, r.score) for r in got if r.query_id == query]
+        want = []
+        for vector in vectors:
+            away = sorted((float(np.sqrt(((np.array(vector) - np.array(v)) ** 2).sum())), i) for i, v in rows if i != query)[:4]
+            want += [(rank, i, pytest.approx(d)) for rank, (d, i) in enumerate(away, 1)]
+        assert len(mine) == len(want)
+        assert sorted(mine, key=lambda r: (r[2], r[1], r[0])) == sorted(want, key=lambda r: (r[2].expected, r[1], r[0]))
+    assert {r.query_id for r in got} == {5, 7}
+
+
+def test_windows_read_each_place_once():
+    rng = np.random.default_rng(5)
+    points, ids = rng.standard_normal((500, 12)), np.arange(500)
+    block, read = ann.Block(points, ids, ann.Settings()), []
+    plain = block.strips
+
+    def strips(begin, end):
+        read.append((end - begin).sum())
+        return plain(begin, end)
+
+    block.strips = strips
+    (query, found, away, seen), = block.nearest(points[:1], ids[:1], 500)
+    assert len(found) == 499 and sum(read) == 500 * block.settings.lines and seen == 499
+    np.testing.assert_allclose(away, np.sort(np.sqrt(((points[1:] - points[0]) ** 2).sum(1))))
+
+
 @pytest.mark.parametrize("group", [4096, 2])
 def test_repeats_by_brute_force(docs, empty, group):
     rows, counts = docs.collect(), Counter()
