@@ -32,7 +32,12 @@ def fit_prices(features: DataFrame) -> DataFrame:
         F.array(*[F.covar_pop(_X[i], _X[j]) for i, j in _PAIRS]).alias("products"),
         F.array(*[F.covar_pop(c, "next_price") for c in _X]).alias("targets"),
     )
-    moments = moments.filter(F.col("n") >= C.PREDICT_MIN_TRAINING_ROWS)
+    return solve_moments(moments.filter(F.col("n") >= C.PREDICT_MIN_TRAINING_ROWS))
+
+
+def solve_moments(moments: DataFrame) -> DataFrame:
+    """(symbol, intercept, weights) from a row of moments for each symbol: ``mean`` of the target, ``means`` of the
+    features, their covariances pair by pair (``products``) and with the target (``targets``)."""
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

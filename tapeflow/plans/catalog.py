@@ -11,6 +11,7 @@ from .. import constants as C
 from ..operators import dedup as D
 from ..operators import features as FE
 from ..operators import ingest as I
+from ..operators import price_state as PS
 from ..operators import reports as R
 from ..operators import stats as S
 from ..operators import windows as W
@@ -315,6 +316,16 @@ def predict_prices(spark, sf_dir):
     return predict(hourly(spark, sf_dir)).select("symbol", "window_start", "predicted_price")
 
 
+@query(digits=4)
+def predict_prices_merged(spark, sf_dir):
+    """The models of three refreshes by time, each merged into the state of those before."""
+    windows = hourly(spark, sf_dir)
+    state = PS.no_prices(spark)
+    for low, high in (("2024-01-01", "2024-01-09"), ("2024-01-09", "2024-01-20"), ("2024-01-20", "2100-01-01")):
+        state = PS.PriceState(*map(durable, PS.merge_windows(state, windows.filter(F.col("event_date").between(low, high) & (F.col("event_date") != high)))))
+    return PS.predict_from_state(state, windows).select("symbol", "window_start", "predicted_price")
+
+
 @query(digits=4)
 def prediction_error(spark, sf_dir):
     scored = with_error(predict(hourly(spark, sf_dir)))

@@ -387,6 +387,8 @@ ORACLE["predict_prices"] = f"""
 SELECT symbol, strftime(window_start, {_TIME}) AS window_start,
        round(predicted_price + 1e-7, 4) AS predicted_price FROM p"""
 
+ORACLE["predict_prices_merged"] = ORACLE["predict_prices"]
+
 ORACLE["prediction_error"] = f"""
 {_regression()}
 SELECT symbol, strftime(window_start, {_TIME}) AS window_start,

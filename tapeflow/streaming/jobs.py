@@ -8,6 +8,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQue
 
 from .. import constants as C
 from ..operators.ingest import enrich_trades, split_rejects, to_records, unwrap_messages, validate_trades
+from ..operators.dedup import dedup_windows
+from ..operators.price_state import PriceState, merge_windows, no_prices, out_of_order, predict_from_state
 from ..operators.spikes import ARRIVAL
 from ..operators.stats import running_totals, totals_stats
 from ..operators.windows import (
@@ -251,7 +253,7 @@ def refresh_scores(
 ) -> StreamingQuery:
     """Fit both models again over all windows so far whenever the window table has grown, and
     write the scored table. All symbols are scored unless some are given. A refresh has a folder
-    of its own; those of earlier refreshes go when it is written."""
+    of its own, to be read with :func:`latest_scores`; the one before stays for whoever reads it."""
     source = settings.output_path(table)
 
     def refresh(_: DataFrame, batch_id: int) -> None:
@@ -260,8 +262,54 @@ def refresh_scores(
             scored = score_windows(windows, symbols)
             target = f"{settings.output_path(name)}/refresh={batch_id}"
             scored.write.mode("overwrite").parquet(target)
-        delete_siblings(spark, target)
+        delete_siblings(spark, target, (f"refresh={batch_id - 1}",))
 
     grown = spark.readStream.schema(TUMBLING_TABLE).parquet(source).select("window_start")
     writer = grown.writeStream.queryName(name).foreachBatch(refresh)
     return _start(writer, settings.checkpoint_path(name), trigger)
+
+
+def latest_scores(spark: SparkSession, settings: Settings, name: str = "scores") -> DataFrame:
+    """The table of the last refresh."""
+    folder = settings.output_path(name)
+    numbers = [int(n.partition("=")[2]) for n in list_names(spark, folder) if n.startswith("refresh=")]
+    return spark.read.parquet(f"{folder}/refresh={max(numbers)}")
+
+
+def refresh_prices(
+    spark: SparkSession,
+    settings: Settings,
+    table: str = C.TUMBLING_NAME,
+    name: str = "prices",
+    trigger: Trigger | None = None,
+) -> StreamingQuery:
+    """Keep the price models up to date without reading the history again: whenever the window table has grown, the new windows
+    are merged into the models' state, which is stored beside the checkpoint, and predicted with the new models, into a
+    folder ``refresh=N``.
+
+    Windows that come behind later ones of their symbol cannot be merged; then the state is made again from the whole table.
+    """
+    state_path = settings.checkpoint_path(name) + "/state"
+    source = settings.output_path(table)
+
+    def stored(batch_id: int) -> PriceState:
+        path = f"{state_path}/refresh={batch_id}"
+        return PriceState(spark.read.parquet(f"{path}/moments"), spark.read.parquet(f"{path}/tail"))
+
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        with temporary_tables(spark):
+            new = durable(dedup_windows(batch))
+            state = stored(batch_id - 1) if batch_id else no_prices(spark)
+            if not out_of_order(state, new).isEmpty():
+                state, new = no_prices(spark), durable(read_window_table(spark, source, sort=False))
+            for part, rows in zip(("moments", "tail"), merge_windows(state, new)):
+                rows.write.mode("overwrite").parquet(f"{state_path}/refresh={batch_id}/{part}")
+            columns = ["symbol", "window_start", "avg_price", "sum_value"]
+            every = state.tail.withColumn("_new", F.lit(False)).union(new.select(*columns, F.lit(True)))
+            scored = predict_from_state(stored(batch_id), every).filter("_new").drop("_new")
+            scored.write.mode("overwrite").parquet(f"{settings.output_path(name)}/refresh={batch_id}")
+        delete_siblings(spark, f"{state_path}/refresh={batch_id}", (f"refresh={batch_id - 1}",))
+
+    grown = spark.readStream.schema(TUMBLING_TABLE).parquet(source)
+    writer = grown.writeStream.queryName(name).foreachBatch(refresh)
+    return _start(writer, settings.checkpoint_path(name), trigger)

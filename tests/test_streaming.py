@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeflow import constants as C
+from tapeflow.operators import price_state as PS
 from tapeflow.operators import windows as W
 from tapeflow.operators.ingest import split_rejects, unwrap_messages, validate_trades
 from tapeflow.plans.pipelines import ingest_messages, mark_trades
+from tapeflow.operators.regression import predict_prices
 from tapeflow.operators.stats import every_snapshot, running_totals, stats_at
 from tapeflow.session import durable, durable_dir
 from tapeflow.settings import Settings
@@ -288,10 +290,42 @@ def test_scores_are_refreshed(spark, settings):
     jobs.refresh_scores(spark, settings, trigger=NOW).awaitTermination()
     tumbling.filter("minute(window_start) >= 40").write.mode("append").parquet(path)
     jobs.refresh_scores(spark, settings, trigger=NOW).awaitTermination()
-    scores = spark.read.parquet(settings.output_path("scores"))
-    counts = {r.refresh: r["count"] for r in scores.groupBy("refresh").count().collect()}
-    # Every symbol is scored, and the earlier refresh is gone.
-    assert counts == {1: 180} and {r.symbol for r in scores.collect()} == set(BASE_PRICES)
+    scores = jobs.latest_scores(spark, settings)
+    # Every symbol is scored, and the refresh before is still there for its readers.
+    assert scores.count() == 180 and {r.symbol for r in scores.collect()} == set(BASE_PRICES)
+    assert sorted(os.listdir(settings.output_path("scores"))) == ["refresh=0", "refresh=1"]
     assert {"anomaly", "anomaly_score", "predicted_price", "pred_error"} <= set(scores.columns)
     # Intermediate tables of a refresh are gone.
     assert set(os.listdir(stored)) == before
+
+
+def test_price_models_are_merged(spark, settings):
+    tumbling, _ = synth_window_tables(spark, datetime(2024, 1, 1))
+    tumbling = durable(tumbling)
+    path, minute = settings.output_path(C.TUMBLING_NAME), F.minute("window_start")
+
+    def refresh(rows):
+        rows.write.mode("append").parquet(path)
+        jobs.refresh_prices(spark, settings, trigger=NOW).awaitTermination()
+
+    def models():
+        folder = settings.checkpoint_path("prices") + "/state"
+        newest = max(os.listdir(folder))
+        state = PS.PriceState(*[spark.read.parquet(f"{folder}/{newest}/{part}") for part in ("moments", "tail")])
+        return {r.symbol: (r.intercept, list(r.weights)) for r in PS.price_models(state).collect()}
+
+    def whole(rows):
+        state = PS.merge_windows(PS.no_prices(spark), rows)
+        return {r.symbol: (pytest.approx(r.intercept), pytest.approx(list(r.weights))) for r in PS.price_models(state).collect()}
+
+    refresh(tumbling.filter(minute < 20))
+    refresh(tumbling.filter((minute >= 20) & (minute < 21) & (F.col("symbol") != "BTCUSDT")))
+    refresh(tumbling.filter((minute >= 21) & (minute < 50)))
+    seen = (minute < 50) & ((minute != 20) | (F.col("symbol") != "BTCUSDT"))
+    assert models() == whole(tumbling.filter(seen)) and len(models()) == 3
+    got = {(r.symbol, r.window_start): r.predicted_price for r in spark.read.parquet(settings.output_path("prices")).filter("refresh = 2").collect()}
+    full = {(r.symbol, r.window_start): r.predicted_price for r in predict_prices(tumbling.filter(seen)).filter(minute >= 21).collect()}
+    assert got.keys() == full.keys() and all(got[k] == pytest.approx(full[k], rel=1e-7) for k in full)
+    # A window behind later ones: all is fitted again.
+    refresh(tumbling.filter((minute == 20) & (F.col("symbol") == "BTCUSDT")))
+    assert models() == whole(tumbling.filter(minute < 50))
