@@ -118,7 +118,9 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 def measured(docs: DataFrame, keep: list[str], text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """The columns ``keep``, the counts, ``base_failed`` and one vote column per rule."""
-    found = docs.select(*[docs[c] for c in keep], measures(text_of(docs, text_col)).alias("__m"))
+    # A filter on measures must not be pushed below and measure again for each column it names; it stops at a generator.
+    once = F.inline(F.array(F.struct(measures(text_of(docs, text_col)).alias("__m"))))
+    found = docs.select(*[docs[c] for c in keep], once)
     flat = {name: F.col(f"__m.{name}") for name in ("word_chars", "n_symbols", "n_upper", "n_exclaim", "n_common", "n_stops")}
     flat |= {name: F.col(f"__m.words.{name}") for name in ("n_words", "n_repeat_words")}
     flat |= {name: F.col(f"__m.lines.{name}") for name in ("n_lines", "n_dup_lines")}
@@ -203,9 +205,13 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sett
 
 def keep_good(docs: DataFrame, text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """The documents that are kept, with all their columns. Votes are computed again instead of joined, so
-    that texts are not shuffled and rows need no key."""
+    that texts are not shuffled and rows need no key.
+
+    A null or empty text fails; rows with null ids and repeated rows are judged like any others, each by its own text. Columns may have any names.
+    An empty table gives an empty result.
+    """
     found = fit(measured(docs, [], text_col, settings), settings)
-    clear = docs.withColumnsRenamed({c: f"c{i}" for i, c in enumerate(docs.columns)})
+    clear = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     at = f"c{docs.columns.index(text_col)}"
     kept = judged(measured(clear, clear.columns, at, settings), found).where("kept")
     return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
