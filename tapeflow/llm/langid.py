@@ -29,7 +29,7 @@ class Settings:
     words_per_language: int = 50_000  # bound of the model, the most frequent words
     least: int = 3  # a word seen less often is left to its letter runs
     longest_run: int = 4
-    word_chars: int = 40  # letters of a word that its runs are taken from, in learning only
+    word_chars: int = 40  # longer words are learned by the runs of their first so many letters, not as words
 
 
 @dataclass
@@ -54,7 +54,7 @@ def word_counts(labelled: DataFrame, settings: Settings) -> DataFrame:
             counts: dict[str, Counter] = defaultdict(Counter)
             for lang, text in zip(part["lang"], part["text"]):
                 counts[lang].update(letters_of(text))
-            rows = [(lang, w[: settings.word_chars], n) for lang, c in counts.items() for w, n in c.items()]
+            rows = [(lang, w[: settings.word_chars + 1], n) for lang, c in counts.items() for w, n in c.items()]
             yield [list(column) for column in zip(*rows)] if rows else [[], [], []]
 
     from pyspark.sql import Window
@@ -65,7 +65,11 @@ def word_counts(labelled: DataFrame, settings: Settings) -> DataFrame:
 
 
 def fit(docs: DataFrame, settings: Settings = Settings(), text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learns from the rows with a language. What comes to the driver is bounded by the settings."""
+    """Learns from the rows with a language. What comes to the driver is bounded by the settings.
+
+    Null and empty texts teach nothing, of repeated rows one counts. An empty table, or one without a
+    language, gives a model without languages. Columns may have any names.
+    """
     labelled = docs.select(docs[lang_col].cast("string").alias("lang"), text_of(docs, text_col).alias("text"))
     sample = bounded_sample(labelled.where(F.col("lang").isNotNull()), "lang", settings.docs_per_language)
     rows = word_counts(sample, settings).collect()
@@ -75,7 +79,9 @@ def fit(docs: DataFrame, settings: Settings = Settings(), text_col: str = "text"
     runs: list[dict[str, np.ndarray]] = [defaultdict(lambda: np.zeros(len(languages))) for _ in range(settings.longest_run)]
     for row in rows:
         lang, word, n = at[row["lang"]], row["word"], row["n"]
-        words[word][lang] += n
+        if len(word) <= settings.word_chars:
+            words[word][lang] += n
+        word = word[: settings.word_chars]
         for size, table in zip(range(settings.longest_run, 0, -1), runs):
             for run in runs_of(word, size):
                 table[run][lang] += n

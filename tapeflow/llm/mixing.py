@@ -85,6 +85,8 @@ def mix_sources(
             docs[source_col].cast("string").alias("source"),
             F.regexp_count(text_of(docs, text_col), F.lit(WORD)).cast("long").alias("size"),
             shuffled(mix, docs[id_col]).alias("place"),
+            # Rows of one id are told apart by their texts, so that reruns over other files agree.
+            F.xxhash64(text_of(docs, text_col)).alias("tie"),
             (docs[row_col].cast("long") if row_col else F.lit(0).cast("long")).alias("row"),
         )
     )
@@ -101,7 +103,7 @@ def mix_sources(
         .withColumn("offset", F.sum("words").over(in_order) - F.col("words"))
         .select(F.col("source").alias("of"), F.col("bucket").alias("at"), "offset")
     )
-    inside = Window.partitionBy("source", "bucket").orderBy("place", "id", "size", "row").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source", "bucket").orderBy("place", "id", "size", "tie", "row").rowsBetween(Window.unboundedPreceding, 0)
     queues = sizes.withColumn("sent", F.sum("size").over(inside))
     queues = queues.join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("at")), "left")
     totals = targets.withColumnRenamed("source", "from")

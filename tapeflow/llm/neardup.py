@@ -295,22 +295,33 @@ def across(keys: DataFrame, nodes: DataFrame, roots: DataFrame, settings: Settin
     each node outside a bucket's largest component only the closest one of each block.
 
     The nodes of a bucket live in blocks. Those outside its largest component also visit every block and meet there
-    whoever lives in it; two nodes of the largest component need not meet. A block is held in memory, its visitors
-    come one by one. Of all the keys that two nodes share, the first one gives the pair.
+    whoever lives in it; two nodes of the largest component need not meet. Visitors are dealt into slices, so that a
+    task has one block and one slice: a block is held in memory, its visitors come one by one. Of all the keys that two
+    nodes share, the first one gives the pair.
     """
     rooted = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     counted = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
     largest = counted.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("roots"))
-    split = largest.where("roots > 1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.col("top.root").alias("main"))
+
+    def parts(n: Column) -> Column:
+        return F.ceil(n / BLOCK).cast("int")
+
+    split = largest.where("roots > 1").select(
+        "key", parts(F.col("n")).alias("blocks"), parts(F.col("n") - F.col("top.n")).alias("slices"), F.col("top.root").alias("main")
+    )
     rows = rooted.join(split, "key").withColumn("visits", F.col("root") != F.col("main"))
     rows = rows.join(nodes.select("node", "sig", "bits", "size"), "node")
-    home = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    visited = F.when(F.col("visits"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array().cast("array<int>"))
-    rows = rows.withColumn("places", F.concat(home, visited))
-    rows = rows.select("*", F.posexplode("places").alias("guest", "block")).withColumn("guest", F.col("guest") > 0)
-    columns = ("key", "block", "guest", "visits", "slot", "node", "root", "sig", "bits", "size")
+
+    def cells(of: str, other: str, cell) -> Column:
+        mine = F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.col(other) - 1), lambda at: cell(mine, at))
+
+    home = cells("blocks", "slices", lambda block, slice: F.struct(F.lit(False).alias("guest"), (block * F.col("slices") + slice).alias("cell")))
+    visited = cells("slices", "blocks", lambda slice, block: F.struct(F.lit(True).alias("guest"), (block * F.col("slices") + slice).alias("cell")))
+    rows = rows.select("*", F.inline(F.when(F.col("visits"), F.concat(home, visited)).otherwise(home)))
+    columns = ("key", "cell", "guest", "visits", "slot", "node", "root", "sig", "bits", "size")
     n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = rows.select(*columns).repartition(n, "key", "block").sortWithinPartitions("key", "block", "guest")
+    grouped = rows.select(*columns).repartition(n, "key", "cell").sortWithinPartitions("key", "cell", "guest")
     chunks = settings.chunks
     chunk_starts = np.array([c.start for c in chunks])
 

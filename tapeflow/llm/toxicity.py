@@ -39,11 +39,11 @@ WORD = re.compile(r"[^\W_]+")
 @dataclass(frozen=True)
 class Settings:
     docs_per_class: int = 4000  # bound of the learning sample
-    entries: int = 5000  # bound of the lexicon
+    entries: int = 5000  # bound of the lexicon and of its exceptions: the strongest, the most frequent
     least: int = 4  # toxic texts of the sample that an entry must occur in
     weight: float = 2.0  # least log odds of an entry
     beginnings: tuple[int, ...] = (4, 5, 6, 7)  # lengths of beginnings of words
-    candidates: int = 200_000  # bound of the counts that come to the driver
+    candidates: int = 200_000  # bound of the counts that come to the driver: those of the most toxic texts
 
 
 @dataclass
@@ -68,7 +68,25 @@ def folded(text: str) -> str:
 def entries_of(text: str, settings: Settings) -> set[str]:
     words = set(WORD.findall(folded(text)))
     found = {w[:n] for n in settings.beginnings for w in words if len(w) > n}
-    return found | {f"{w} " for w in words if len(w) <= 40}
+    return found | {f"{w} " for w in words}
+
+
+def word_before(text: str, end: int, reach: int = 48) -> str:
+    """The last word before a place, however long and far."""
+    while True:
+        start = max(0, end - reach)
+        last = None
+        for last in WORD.finditer(text, start, end):
+            pass
+        if not start or last and last.start() > start:
+            return last.group() if last else ""
+        reach *= 4
+
+
+def word_after(text: str, start: int) -> str:
+    """The first word behind a place."""
+    found = WORD.search(text, start)
+    return found.group() if found else ""
 
 
 class Matcher:
@@ -108,9 +126,7 @@ class Matcher:
     def contexts(self, text: str) -> Iterator[tuple[str, str, str]]:
         """(entry, word before + ' ', ' ' + word after) of each match in folded text."""
         for entry, start, end in self.matches(text):
-            before = WORD.findall(text[max(0, start - 48) : start])
-            after = WORD.search(text[end : end + 48])
-            yield entry, f"{before[-1] if before else ''} ", f" {after.group() if after else ''}"
+            yield entry, f"{word_before(text, start)} ", f" {word_after(text, end)}"
 
     def features(self, text: str | None) -> list[float]:
         """1, any match, log of the sum of weights, log of that sum per thousand words."""
@@ -137,7 +153,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, settings
 
 
 def fit(docs: DataFrame, label_col: str, settings: Settings = Settings(), text_col: str = "text") -> Lexicon:
-    """Learns from labelled texts (label 0 or 1). What is collected is bounded by the settings."""
+    """Learns from labelled texts (label 0 or 1). What is collected is bounded by the settings.
+
+    Rows with another label or none are left out; null and empty texts have no words. Of repeated rows one is learned from. Where a label is
+    missing altogether, as in an empty table, the lexicon is empty. Columns may have any names.
+    """
     labelled = docs.select(docs[label_col].cast("int").alias("label"), text_of(docs, text_col).alias("text"))
     sample = durable(bounded_sample(labelled.where("label IN (0, 1)"), "label", settings.docs_per_class))
     n = {row["label"]: row["count"] for row in sample.groupBy("label").count().collect()}

@@ -466,25 +466,25 @@ def test_language_scores_by_definition(spark):
     alphabets = {"x": ["abra", "cada", "bra", "zim"], "y": ["abra", "ox", "uru", "zam", "三"], "z": ["三一", "ox"]}
     texts = [(lang, " ".join(RNG.choice(ws) + RNG.choice(["", "", "s", "1"]) for _ in range(RNG.randint(1, 30)))) for lang, ws in alphabets.items() for _ in range(40)]
     texts += [(None, t) for t in ("abrax zimzam", "", None, "123 ½", "三 一二", "qqq", "Ox " * 5000, "三")]
-    texts += [texts[0]] * 30
+    texts += [texts[0]] * 30 + [("x", "abra" * 11 + " bra"), (None, "abra" * 11), (None, "zim" * 4000)]
     docs = spark.createDataFrame([(i, text, lang, "x") for i, (lang, text) in enumerate(texts)], "doc_id bigint, text string, lang string, word string")
     settings = langid.Settings()
     counts = {}
     for lang, text in set(t for t in texts if t[0]):
         for word in langid.letters_of(text):
             counts.setdefault(word, Counter())[lang] += 1
-    langs = sorted(alphabets)
+    langs, longest = sorted(alphabets), settings.word_chars
 
     def table(rows, least):
         kept = {k: c for k, c in rows.items() if sum(c.values()) >= least}
         total = {lang: sum(c[lang] for c in kept.values()) + 0.5 * (len(kept) + 1) for lang in langs}
         return {k: [np.log((c[lang] + 0.5) / total[lang]) for lang in langs] for k, c in kept.items()}
 
-    known, runs = table(counts, settings.least), {}
+    known, runs = table({w: c for w, c in counts.items() if len(w) <= longest}, settings.least), {}
     for size in range(1, settings.longest_run + 1):
         of_size = {}
         for word, c in counts.items():
-            for run in langid.runs_of(word, size):
+            for run in langid.runs_of(word[:longest], size):
                 of_size.setdefault(run, Counter()).update(c)
         runs[size] = table(of_size, 1)
 
@@ -515,3 +515,67 @@ def test_capitals_newer_than_python(docs):
     for capital in tokencount.NEWER_CASE:
         for text in (chr(capital), f"a{chr(capital)}b", f"x {chr(capital)}{chr(capital)}y"):
             assert count(text) == len(library.encode(text, add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_toxicity_by_definition(spark, seed):
+    """The whole operator again without an automaton: counts, entries, exceptions, matches and scores."""
+    settings, draw = toxicity.Settings(), random.Random(seed)
+    bad, mild = ["grubnak", "zorblic", "fleck"], ["grub", "flecks", "zor"]
+    long_word = "q" * 60
+    texts = [(1, " ".join(draw.choice(VOCABULARY + bad * 40) for _ in range(25)) + f" {long_word}") for _ in range(40)]
+    texts += [(0, " ".join(draw.choice(VOCABULARY + mild * 10) for _ in range(25))) for _ in range(90)]
+    texts += [(0, f"the {'w' * 70} fleck of some words") for _ in range(4)]
+    texts += [(None, t) for t in ("", None, "gr\u00adubnak Z0rbl1c", "FLECK " * 3000, "x" * 50_000 + " fleck", f"{'w' * 70} fleck", long_word, "fleck")]
+    texts += [texts[0]] * 20
+    docs = spark.createDataFrame([(i, text, label, "x") for i, (label, text) in enumerate(texts)], "doc_id bigint, text string, toxic int, score string")
+    sample = {t for t in texts if t[0] is not None}
+    n = Counter(label for label, _ in sample)
+
+    def counts(keys):
+        found = {}
+        for label, text in sample:
+            for key in keys(text or ""):
+                found.setdefault(key, [0, 0])[1 - label] += 1
+        return found
+
+    seen = counts(lambda t: toxicity.entries_of(t, settings))
+    entries = toxicity.chosen(((e, t, c) for e, (t, c) in sorted(seen.items()) if t >= settings.least), n[1], n[0], settings)
+    names = list(entries)
+
+    def matches(text):
+        for start in range(len(text)):
+            if start and text[start - 1].isalnum():
+                continue
+            best = None
+            for at, entry in enumerate(names):
+                word = entry.rstrip()
+                end = start + len(word)
+                whole = entry[-1] == " " and end < len(text) and text[end].isalnum()
+                if text.startswith(word, start) and not whole:
+                    best = max(best or (0, 0, ""), (len(word), at, entry))
+            if best:
+                end = start + best[0]
+                while end < len(text) and text[end].isalnum():
+                    end += 1
+                before, after = toxicity.WORD.findall(text[:start]), toxicity.WORD.findall(text[end:])
+                yield best[2], f"{before[-1] if before else ''} ", f" {after[0] if after else ''}"
+
+    def phrases(text):
+        return {(e, c) for e, b, a in matches(toxicity.folded(text)) for c in (b, a) if c != " "}
+
+    exceptions = {key for key, (t, c) in counts(phrases).items() if c >= settings.least and not t}
+    lexicon = toxicity.fit(docs, "toxic")
+    assert lexicon.entries == entries and lexicon.exceptions == exceptions and exceptions
+
+    def score(text):
+        text = toxicity.folded(text or "")
+        total = sum(entries[e] for e, b, a in matches(text) if (e, b) not in exceptions and (e, a) not in exceptions)
+        words = text.count(" ") + text.count("\n") + 1
+        x = [1.0, 1.0, np.log1p(total), np.log1p(1000 * total / words)] if total else [1.0, 0, 0, 0]
+        return 1 / (1 + np.exp(-np.clip(np.dot(x, lexicon.logistic), -30, 30)))
+
+    got = {r.doc_id: (r.score, r.predicted) for r in toxicity.score(docs, lexicon).collect()}
+    for i, (_, text) in enumerate(texts):
+        want = score(text)
+        assert got[i] == (pytest.approx(want, abs=1e-9), int(want >= 0.3)), (text or "")[:60]
