@@ -525,7 +525,7 @@ def test_toxicity_by_definition(spark, seed):
     long_word = "q" * 60
     texts = [(1, " ".join(draw.choice(VOCABULARY + bad * 40) for _ in range(25)) + f" {long_word}") for _ in range(40)]
     texts += [(0, " ".join(draw.choice(VOCABULARY + mild * 10) for _ in range(25))) for _ in range(90)]
-    texts += [(0, f"the {'w' * 70} fleck of some words") for _ in range(4)]
+    texts += [(0, f"the {'w' * 70} fleck of some words {i}") for i in range(4)]
     texts += [(None, t) for t in ("", None, "gr\u00adubnak Z0rbl1c", "FLECK " * 3000, "x" * 50_000 + " fleck", f"{'w' * 70} fleck", long_word, "fleck")]
     texts += [texts[0]] * 20
     docs = spark.createDataFrame([(i, text, label, "x") for i, (label, text) in enumerate(texts)], "doc_id bigint, text string, toxic int, score string")
