@@ -62,11 +62,14 @@ def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
-def with_row(df: DataFrame) -> DataFrame:
-    """A stored copy of ``df`` with its columns renamed to c0, c1, ... and ``row``, a number that no other row has. So
-    rows without an id, or with the same one, can be told apart, and no name clashes."""
+def with_key(df: DataFrame) -> DataFrame:
+    """``df`` with its columns renamed to c0, c1, ... and ``key``, 128 bits of digests of the whole row. Rows without an id,
+    or with the same one, are told apart by it, equal rows share it, and no name clashes. Nothing is stored."""
     plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    return durable(plain.withColumn("row", F.monotonically_increasing_id()))
+    # Digests pass over nulls, so where they are is digested as well.
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in plain.columns])
+    halves = [F.lpad(F.hex(F.xxhash64(F.lit(seed), nulls, *plain.columns)), 16, "0") for seed in (1, 2)]
+    return plain.withColumn("key", F.concat(*halves))
 
 
 def bounded_sample(df: DataFrame, class_col: str, per_class: int, seed: int = 7) -> DataFrame:

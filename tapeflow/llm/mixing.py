@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, durable, text_of, with_row
+from .common import WORD, durable, text_of, with_key
 
 HASH_BITS = 60
 
@@ -70,9 +70,10 @@ def source_targets(sizes: DataFrame, mix: Mix) -> DataFrame:
 
 
 def mix_sources(
-    docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None
+    docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", key_col: str | None = None
 ) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, takes, and ``row_col`` if there is one, a number that is each row's own.
+    """One row per document: id, source, size, source_size, target, takes, and ``key_col`` if there is one, by which rows
+    of one id are put in order.
 
     ``takes`` is how often the mix takes the document, 0 to ``passes``. A null text has size 0; documents
     of size 0 are never taken. Null is a source like any other. Rows with one id are separate documents, which
@@ -85,9 +86,7 @@ def mix_sources(
             docs[source_col].cast("string").alias("source"),
             F.regexp_count(text_of(docs, text_col), F.lit(WORD)).cast("long").alias("size"),
             shuffled(mix, docs[id_col]).alias("place"),
-            # Rows of one id are told apart by their texts, so that reruns over other files agree.
-            F.xxhash64(text_of(docs, text_col)).alias("tie"),
-            (docs[row_col].cast("long") if row_col else F.lit(0).cast("long")).alias("row"),
+            (docs[key_col] if key_col else F.lit(None).cast("string")).alias("key"),
         )
     )
     rows = sizes.count()
@@ -103,13 +102,13 @@ def mix_sources(
         .withColumn("offset", F.sum("words").over(in_order) - F.col("words"))
         .select(F.col("source").alias("of"), F.col("bucket").alias("at"), "offset")
     )
-    inside = Window.partitionBy("source", "bucket").orderBy("place", "id", "size", "tie", "row").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source", "bucket").orderBy("place", "id", "size", "key").rowsBetween(Window.unboundedPreceding, 0)
     queues = sizes.withColumn("sent", F.sum("size").over(inside))
     queues = queues.join(offsets, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("at")), "left")
     totals = targets.withColumnRenamed("source", "from")
     queues = durable(
         queues.join(totals, F.col("source").eqNullSafe(F.col("from")), "left").select(
-            "id", "source", "size", "place", "row", "source_size", "target", (F.col("sent") + F.col("offset")).alias("sent")
+            "id", "source", "size", "place", "key", "source_size", "target", (F.col("sent") + F.col("offset")).alias("sent")
         )
     )
     finish = [(F.col("sent") + F.col("source_size") * p) / F.col("target") for p in range(mix.passes)]
@@ -117,7 +116,7 @@ def mix_sources(
     cut = _cut(queues, finish, budget or 0.0, bins=max(1024, rows // 1024))
     takes = sum((F.when(_not_after(f, cut), 1).otherwise(0) for f in finish), F.lit(0)) if cut else F.lit(0)
     return queues.select(
-        *([F.col("row").alias(row_col)] if row_col else []),
+        *([F.col("key").alias(key_col)] if key_col else []),
         F.col("id").alias(id_col),
         F.col("source").alias(source_col),
         "size",
@@ -133,11 +132,19 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: s
     Rows with a null id, or with one id, are documents of their own; among equal rows it does not matter which is taken. A
     text without words is never taken. Columns may have any names. An empty table gives an empty result.
     """
-    rows = with_row(docs)
+    rows = with_key(docs)
     names = dict(zip(docs.columns, rows.columns))
-    takes = mix_sources(rows, mix, names[id_col], names[text_col], names[source_col], "row").where("takes > 0")
-    taken = rows.join(durable(takes.select("row", "takes")), "row")
-    copies = F.explode(F.sequence(F.lit(1), F.col("takes"))).alias("take")
+    mix_of = mix_sources(rows, mix, names[id_col], names[text_col], names[source_col], "key")
+    takes = mix_of.groupBy("key").agg(F.sum("takes").alias("takes"), F.count("*").alias("rows")).where("takes > 0")
+    once = durable(takes.where("rows = 1").select("key", "takes"))
+    # What equal rows are taken together is shared among them.
+    often = durable(takes.where("rows > 1"))
+    number = F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0)))
+    more = F.when(number <= F.col("takes") % F.col("rows"), 1).otherwise(0)
+    share = F.floor(F.col("takes") / F.col("rows")) + more
+    equal = rows.join(often, "key").withColumn("takes", share).where("takes > 0").select(*rows.columns, "takes")
+    taken = rows.join(once, "key").select(*rows.columns, "takes").union(equal)
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("takes"))).alias("take")
     return taken.select(*names.values(), copies).drop("take").toDF(*docs.columns)
 
 

@@ -23,12 +23,12 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, map_rows, text_of, with_row
+from .common import durable, map_rows, text_of, with_key
 
-BLOCK, LARGE, BITS = 2048, 32, 1024
+BLOCK, LARGE, BITS = 1024, 32, 1024
 BASE = 0x9E3779B97F4A7C15  # odd
 SPACES = [9, 10, 11, 12, 13, 32]
 GAP = re.compile(rb"[\x20\x09-\x0D]")
@@ -410,15 +410,20 @@ def classes(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc
 
 def one_of_each(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each class of near-duplicates, with all its columns: that with the smallest id, null last, and among
-    rows of one id the first that is read.
+    rows of one id that with the smallest digest.
 
     Repeated rows are copies of each other. Texts without words are in no class and all stay. Columns may have any
     names. An empty table gives an empty result.
     """
-    rows = with_row(docs)
+    rows = with_key(docs)
     names = dict(zip(docs.columns, rows.columns))
-    found = classes(rows, settings, "row", names[text_col]).select("row", "component_id")
-    ids = rows.select("row", F.col(names[id_col]).alias("id"))
-    first = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "row")).alias("first")
-    kept = found.join(ids, "row").groupBy("component_id").agg(first).select(F.col("first.row").alias("row"))
-    return rows.join(durable(kept), "row", "left_semi").select(*names.values()).toDF(*docs.columns)
+    found = classes(rows, settings, "key", names[text_col])
+    ids = rows.select("key", F.col(names[id_col]).alias("id")).distinct()
+    of_class = found.where("n_shingles > 0").select("key", "component_id").distinct()
+    first = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "key")).alias("first")
+    kept = durable(of_class.join(ids, "key").groupBy("component_id").agg(first).select(F.col("first.key").alias("key")))
+    # Equal rows share a key; where the join has dealt the rows by key, numbering them moves nothing.
+    again = F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0)))
+    has_words = text_of(rows, names[text_col]).rlike(r"[^\x20\x09-\x0D]")
+    chosen = rows.where(has_words).join(kept, "key", "left_semi").withColumn("again", again).where("again = 1")
+    return chosen.select(*names.values()).union(rows.where(~has_words).select(*names.values())).toDF(*docs.columns)
