@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tapeflow.llm import bpe, mixing, neardup, pii, quality
-from tapeflow.llm.common import durable, read_table
+from tapeflow.llm.common import read_table
+from tapeflow.session import durable, temporary_tables
 
 #: SQL has no byte-level BPE; the tests hold each stage against a plain version.
 ORACLE_SQL = None
@@ -58,8 +59,10 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents. An empty table gives an empty result."""
+    """All stages over the documents. An empty table gives an empty result. The tables that a stage works with are
+    deleted when its result is written."""
     docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = durable(stage(spark, docs, sf_dir))
+        with temporary_tables(spark):
+            docs = durable(stage(spark, docs, sf_dir), temporary=False)
     return docs
