@@ -125,49 +125,57 @@ def draw_samples(stored: DataFrame, rows: int, trees: int, taken: int, seed: int
 
 
 def grow(drawn: DataFrame, features: int, depth: int, seed: int) -> DataFrame:
-    """(tree, node, feature, threshold, length) of all nodes. The windows of all levels work on one exchange by tree."""
+    """(tree, node, feature, threshold, length) of all nodes. The windows of all levels work on one exchange by tree.
+
+    Every level is the same three projections, with its number in a column, so Spark compiles their code once.
+    """
     names = [f"_x{k}" for k in range(features)]
-    rows = drawn.repartition("tree").withColumns({"node": F.lit(0).cast("bigint"), "_open": F.lit(True)})
-    path = F.array().cast("array<struct<node:bigint,feature:int,threshold:double,length:double>>")
-    rows = rows.withColumn("_path", path)
-    node = Window.partitionBy("tree", "node")
-    for level in range(depth + 1):
-        ranges = [F.struct(F.lit(k).alias("k"), F.min(c).over(node).alias("low"), F.max(c).over(node).alias("high")) for k, c in enumerate(names)]
-        rows = rows.withColumns({"_n": F.count("*").over(node), "_ranges": F.array(*ranges)})
-        varying = F.filter("_ranges", lambda r: r["high"] > r["low"])
-        draw = drawn_number(F.lit(seed), F.col("tree"), F.col("node"), F.lit("feature"))
-        chosen = F.try_element_at(varying, (F.pmod(draw, F.greatest(F.size(varying), F.lit(1))) + 1).cast("int"))
-        rows = rows.withColumn("_cut", chosen if level < depth else F.lit(None).cast("struct<k:int,low:double,high:double>"))
-        share = drawn_number(F.lit(seed), F.col("tree"), F.col("node"), F.lit("cut")) / F.lit(float(1 << _BITS))
-        low, high = F.col("_cut.low"), F.col("_cut.high")
-        cut = low + share * (high - low)
-        rows = rows.withColumn("_at", F.when(cut < high, cut).otherwise(low))  # both sides keep a row
-        splits = F.col("_open") & F.col("_cut").isNotNull()
-        leaf = F.lit(float(level)) + _mean_path(F.col("_n"))
-        entry = F.struct(
+    node = "OVER (PARTITION BY tree, node)"
+    ranges = ", ".join(f"named_struct('k', {k}, 'low', min({c}) {node}, 'high', max({c}) {node})" for k, c in enumerate(names))
+    varying = "filter(_ranges, r -> r.high > r.low)"
+
+    def drawn_at(what: str) -> str:
+        text = f"concat_ws(':', '{seed}', tree, node, '{what}')"
+        return f"CAST(conv(substring(md5({text}), 1, {_BITS // 4}), 16, 10) AS BIGINT)"
+
+    place = f"CAST(pmod({drawn_at('feature')}, greatest(size({varying}), 1)) + 1 AS INT)"
+    cut = "_cut.low + _share * (_cut.high - _cut.low)"
+    at = f"CASE WHEN {cut} < _cut.high THEN {cut} ELSE _cut.low END"  # both sides keep a row
+    euler = float(np.euler_gamma)
+    many = f"2 * (ln(greatest(_n - 1, 1)) + {euler}D) - 2 * (_n - 1) / _n"
+    leaf = f"_level + CASE WHEN _n > 2 THEN {many} WHEN _n = 2 THEN 1D ELSE 0D END"
+    entry = (
+        "named_struct('node', node, 'feature', coalesce(_cut.k, -1), "
+        f"'threshold', coalesce({at}, 0D), 'length', CASE WHEN _cut IS NULL THEN {leaf} ELSE 0D END)"
+    )
+    value = f"element_at(array({', '.join(names)}), coalesce(_cut.k + 1, 1))"
+    kind = "array<struct<node:bigint,feature:int,threshold:double,length:double>>"
+    rows = drawn.repartition("tree").selectExpr(
+        "tree", *names, "0L AS node", "0D AS _level", "true AS _open", f"CAST(array() AS {kind}) AS _path"
+    )
+    kept = ("tree", *names)
+    for _ in range(depth + 1):
+        rows = rows.selectExpr("*", f"count(*) {node} AS _n", f"array({ranges}) AS _ranges")
+        rows = rows.selectExpr(
+            *kept,
             "node",
-            F.coalesce("_cut.k", F.lit(-1)).alias("feature"),
-            F.coalesce("_at", F.lit(0.0)).alias("threshold"),
-            F.when(splits, F.lit(0.0)).otherwise(leaf).alias("length"),
+            "_level",
+            "_open",
+            "_path",
+            "_n",
+            f"CASE WHEN _open AND _level < {depth} THEN try_element_at({varying}, {place}) END AS _cut",
+            f"{drawn_at('cut')} / {float(1 << _BITS)!r}D AS _share",
+        )
+        rows = rows.selectExpr(
+            *kept,
+            f"CASE WHEN _cut IS NULL THEN node ELSE 2 * node + CASE WHEN {value} <= {at} THEN 1 ELSE 2 END END AS node",
+            "_level + 1 AS _level",
+            "_cut IS NOT NULL AS _open",
+            f"CASE WHEN _open THEN array_append(_path, {entry}) ELSE _path END AS _path",
         )
-        value = F.element_at(F.array(*names), F.coalesce(F.col("_cut.k") + 1, F.lit(1)))
-        child = 2 * F.col("node") + F.when(value <= F.col("_at"), 1).otherwise(2)
-        rows = rows.withColumns(
-            {
-                "_path": F.when(F.col("_open"), F.array_append("_path", entry)).otherwise(F.col("_path")),
-                "node": F.when(splits, child).otherwise(F.col("node")),
-                "_open": splits,
-            }
-        ).drop("_n", "_ranges", "_cut", "_at")
     return rows.select("tree", F.inline("_path")).distinct()
 
 
-def _mean_path(count: Column) -> Column:
-    """:func:`mean_path` as a column."""
-    many = 2 * (F.ln(F.greatest(count - 1, F.lit(1))) + F.lit(float(np.euler_gamma))) - 2 * (count - 1) / count
-    return F.when(count > 2, many).when(count == 2, 1.0).otherwise(0.0)
-
-
 def score_rows(features: DataFrame, forest: Forest) -> DataFrame:
     """Add ``_raw``, the raw score of each row."""
     trees = (forest.feature, forest.threshold, forest.length, forest.sample, forest.depth)

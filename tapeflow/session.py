@@ -36,12 +36,12 @@ def build_session(app_name: str, master: str | None = None, conf: dict | None =
 
 def durable_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or the checkpoint
-    directory already set on the context. Only a local session may fall back to a temporary
-    folder."""
+    directory already set on the context. Only a session without executors of its own may fall back to a
+    temporary folder."""
     context = spark.sparkContext
     known = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if known is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         known = tempfile.mkdtemp(prefix="tapeflow-")
     if context.getCheckpointDir() is None:
@@ -52,8 +52,8 @@ def durable_dir(spark: SparkSession) -> str:
 _written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def durable(df: DataFrame, temporary: bool = True) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back. ``temporary=False`` keeps it beyond :func:`temporary_tables`.
 
     Cuts the lineage in a way that survives lost executors, fixes values such as partition
     numbers, and gives later joins the true size of the table. Being parquet, later reads
@@ -61,7 +61,7 @@ def durable(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{durable_dir(spark).rstrip('/')}/tapeflow/{uuid.uuid4().hex}"
-    if (written := _written.get()) is not None:
+    if temporary and (written := _written.get()) is not None:
         written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

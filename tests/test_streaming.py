@@ -21,6 +21,7 @@ from tapeflow.sources.tables import read_window_table
 from tapeflow.sources.topics import read_trade_messages, read_trade_stream
 from tapeflow.schemas import SLIDING_TABLE
 from tapeflow.streaming import jobs
+from tapeflow.streaming.backfill import close_windows, open_windows, whole_table
 
 NOON = 1704110400000
 NOW = {"availableNow": True}
@@ -152,6 +153,36 @@ def test_one_file_per_live_batch(spark, feed, settings):
     assert per_batch and max(per_batch) == 1
 
 
+def test_a_date_is_written_by_several_tasks(spark, feed, settings):
+    feed.add(*[record(s, 1.0, NOON + minute * 60_000, minute * 10 + k) for minute in range(30) for k, s in enumerate("ABCD")])
+    run(spark, settings, feed)
+    files = [f for f in os.listdir(settings.output_path(C.TUMBLING_NAME)) if f.endswith(".parquet")]
+    assert 1 < len(files) <= 4
+    assert table(spark, settings, C.TUMBLING_NAME).count() == 4 * 27
+
+
+def test_open_windows_give_way_to_finished_ones(spark, feed, settings):
+    feed.add(record("A", 1.0, NOON, 1), record("A", 3.0, NOON + 180_000, 2))
+    run(spark, settings, feed)
+    close_windows(spark, settings, C.TUMBLING_NAME)
+    feed.add(record("A", 5.0, NOON + 181_000, 3), record("A", 1.0, NOON + 900_000, 4))
+    run(spark, settings, feed)
+    whole = whole_table(spark, settings, C.TUMBLING_NAME).orderBy("window_start").collect()
+    assert [(r.trade_count, r.avg_price) for r in whole] == [(1, 1.0), (2, 4.0)]
+    close_windows(spark, settings, C.TUMBLING_NAME)
+    assert whole_table(spark, settings, C.TUMBLING_NAME).count() == 3
+    assert open_windows(spark, settings, C.SLIDING_NAME).columns == SLIDING_TABLE.names
+
+
+def test_updates_hold_the_newest_values(spark, feed, tmp_path):
+    feed.add(record("A", 1.0, NOON, 1))
+    feed.add(record("A", 3.0, NOON + 1_000, 2), record("B", 7.0, NOON, 1))
+    updates = Settings(sink="updates", output_dir=str(tmp_path / "out"), checkpoint_dir=str(tmp_path / "cp"))
+    run(spark, updates, feed)
+    newest = jobs.latest_updates(spark, updates, C.TUMBLING_NAME)
+    assert rows(newest.select("symbol", "trade_count", "avg_price")) == [("A", 2, 2.0), ("B", 1, 7.0)]
+
+
 def test_partitioned_table(spark, feed, settings):
     feed.add(record("A", 1.0, NOON, 1))
     feed.add(record("A", 1.0, NOON + 86_400_000, 2))
