@@ -72,19 +72,23 @@ def part_offsets(parts: DataFrame, rows: Column | None = None) -> DataFrame:
     return durable(sizes.select(PART, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_offset")))
 
 
-def with_previous(parts: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """Rows of :func:`range_parts` ordered by ``key`` first, with the ``value`` of the row before it in the key.
+def with_previous(parts: DataFrame, key: str, value: str, name: str, where: Column | None = None) -> DataFrame:
+    """Rows of :func:`range_parts` ordered by ``key`` first, with the ``value`` of the row before it in the key, or of
+    the nearest row before it that fulfils ``where``.
 
-    A part looks at itself; only its last row is carried to the part behind it.
+    A part looks at itself; only its last row is carried to the parts behind it.
     """
-    inside = Window.partitionBy(PART).orderBy(POS)
-    last = F.max_by(F.struct(F.col(key).alias("_key"), F.col(value).alias("_value")), POS)
-    edges = parts.groupBy(PART).agg(last.alias("_edge"))
-    edges = edges.select(PART, F.lag("_edge").over(Window.orderBy(PART)).alias("_edge"))
-    near = F.struct(F.lag(key).over(inside).alias("_key"), F.lag(value).over(inside).alias("_value"))
+    where = F.lit(True) if where is None else where
+    row = F.struct(F.col(key).alias("_key"), F.col(value).alias("_value"))
+    ahead = (Window.unboundedPreceding, -1)
+    # The place of the last row first, as numbers can be aggregated without sorting.
+    tails = durable(parts.groupBy(PART).agg(F.max(F.when(where, F.col(POS))).alias(POS)))
+    last = parts.filter(where).join(tails, [PART, POS]).select(PART, row.alias("_edge"))
+    edge = F.last("_edge", ignorenulls=True).over(Window.orderBy(PART).rowsBetween(*ahead))
+    edges = tails.select(PART).join(last, PART, "left").select(PART, edge.alias("_edge"))
+    near = F.last(F.when(where, row), ignorenulls=True).over(Window.partitionBy(PART).orderBy(POS).rowsBetween(*ahead))
     rows = parts.withColumn("_near", near).join(durable(edges), PART, "left")
-    before = F.when(F.col(POS) == 0, F.col("_edge")).otherwise(F.col("_near"))
-    rows = rows.withColumn("_near", before)
+    rows = rows.withColumn("_near", F.coalesce("_near", "_edge"))
     same = F.col("_near._key").eqNullSafe(F.col(key)) & F.col("_near").isNotNull()
     return rows.withColumn(name, F.when(same, F.col("_near._value"))).drop("_near", "_edge")
 

@@ -12,6 +12,7 @@ from .spikes import ARRIVAL
 # The number first: Spark sorts by the bits of a leading number, but compares texts row by row.
 KEY = ("trade_id", "symbol")
 _COPIES = 1024  # an id with more copies is cut into spans
+_BUCKETS = 1 << 16
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order_by: Sequence) -> DataFrame:
@@ -38,7 +39,32 @@ def mark_duplicates(
     """Like :func:`dedup_recent`, but keeps every row and adds ``is_duplicate``."""
     order = B.total_order(df, order_by)
     if horizon is not None:
-        return _mark_within_horizon(df, horizon, order)
+        return place_duplicates(df, horizon, order).drop(B.PART, B.POS)
+    hot = _hot_buckets(df)
+    if not hot:
+        return _mark_groups(df, order)
+    is_hot = _bucket().isin(hot)
+    return _mark_groups(df.filter(~is_hot), order).unionByName(_mark_hot_groups(df.filter(is_hot), order))
+
+
+def _bucket():
+    return F.pmod(F.xxhash64(*KEY), F.lit(_BUCKETS))
+
+
+def _hot_buckets(df: DataFrame) -> list[int]:
+    """The hash buckets of ids that hold far more rows than others. An id outside has fewer copies than the limit, so its
+    copies may meet in one task."""
+    sizes = durable(df.groupBy(_bucket().alias("_bucket")).agg(F.count("*").alias("_n")))
+    limit = 8 * _COPIES + 2 * (sizes.agg(F.sum("_n")).first()[0] or 0) // _BUCKETS
+    return [r[0] for r in sizes.filter(F.col("_n") > limit).select("_bucket").collect()]
+
+
+def _mark_groups(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    copies = Window.partitionBy(*KEY).orderBy(*[c for c in order if c not in KEY] or [F.lit(0)])
+    return df.withColumn("is_duplicate", F.row_number().over(copies) > 1)
+
+
+def _mark_hot_groups(df: DataFrame, order: Sequence[str]) -> DataFrame:
     # All but the first copy of a map task are settled among themselves; only those firsts meet
     # in one group, so a group of copies never gathers in one task.
     task = Window.partitionBy(*KEY, "_task").orderBy(*order)
@@ -53,8 +79,10 @@ def mark_duplicates(
     )
 
 
-def _mark_within_horizon(df: DataFrame, horizon: int, order: Sequence[str]) -> DataFrame:
-    """Only copies of repeated ids are in question. A copy is dropped if fewer than ``horizon`` trades were
+def place_duplicates(df: DataFrame, horizon: int, order: Sequence[str]) -> DataFrame:
+    """``df`` as :func:`blocks.range_parts` by symbol and ``order``, with ``is_duplicate``.
+
+    Only copies of repeated ids are in question. A copy is dropped if fewer than ``horizon`` trades were
     accepted since the last accepted copy: its place less the duplicates before it says how many were.
 
     So the duplicates are a fixpoint: from the duplicates before each place follow those of each id,
@@ -85,7 +113,7 @@ def _mark_within_horizon(df: DataFrame, horizon: int, order: Sequence[str]) -> D
     return (
         parts.join(copies, [B.PART, B.POS], "left")
         .withColumn("is_duplicate", F.coalesce("_copy", F.lit(False)))
-        .drop(B.PART, B.POS, "_copy")
+        .drop("_copy")
     )
 
 

@@ -36,3 +36,12 @@ def flag_spikes(
         rows = df.withColumn("_previous", before)
     spike = X.is_spike(F.col("price"), F.col("_previous"), threshold_pct)
     return rows.select(*columns, spike.alias("is_price_spike"))
+
+
+def flag_placed(parts: DataFrame, threshold_pct: float = C.SPIKE_THRESHOLD_PCT) -> DataFrame:
+    """The same for rows of :func:`blocks.range_parts` by symbol that have ``is_duplicate``, in the order they are in: against
+    the previous trade of the symbol that is not a duplicate. A duplicate is no spike."""
+    kept = ~F.col("is_duplicate")
+    rows = B.with_previous(parts.drop("is_price_spike"), "symbol", "price", "_previous", kept)
+    spike = kept & X.is_spike(F.col("price"), F.col("_previous"), threshold_pct)
+    return rows.withColumn("is_price_spike", spike).drop("_previous")

@@ -498,7 +498,8 @@ def arriving(spark: SparkSession, sf_dir: str, number: int, path: str) -> None:
     wave = messages(spark, sf_dir).filter((F.col("event_id") + F.col("copy")) % 3 == number)
     order = [(F.col("event_id") * 31 % 1009).alias("k"), "event_id", "copy"]
     rows = durable(wave.select(*order, "value"))
-    rows.repartitionByRange(4, "k", "event_id", "copy").sortWithinPartitions("k", "event_id", "copy").select(
+    files = max(4, -(-rows.count() // 250_000))
+    rows.repartitionByRange(files, "k", "event_id", "copy").sortWithinPartitions("k", "event_id", "copy").select(
         "value"
     ).write.text(f"{path}/wave{number}")
 

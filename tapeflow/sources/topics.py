@@ -2,9 +2,10 @@
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import durable
 from ..settings import Settings
 
 
@@ -86,3 +87,15 @@ def in_arrival_order(messages: DataFrame) -> DataFrame:
     """
     row = F.monotonically_increasing_id().alias("row")
     return messages.withColumn("arrival", F.struct("arrival.*", row))
+
+
+def with_short_arrival(stored: DataFrame) -> DataFrame:
+    """A stored table with the complete ``arrival`` of files as two numbers in the same order, the block and the row: paths
+    are long to carry and to compare. Blocks meet in one place, a row each. The ``arrival`` of a topic stays."""
+    if "path" not in stored.schema["arrival"].dataType.names:
+        return stored
+    blocks = stored.select(F.struct("arrival.path", "arrival.start").alias("_at")).distinct()
+    number = F.row_number().over(Window.orderBy("_at")).alias("_block")
+    at = F.struct("arrival.path", "arrival.start")
+    numbered = stored.withColumn("_at", at).join(durable(blocks.select("_at", number)), "_at")
+    return numbered.withColumn("arrival", F.struct(F.col("_block").alias("block"), "arrival.row")).select(*stored.columns)

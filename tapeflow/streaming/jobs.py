@@ -23,7 +23,7 @@ from ..schemas import TUMBLING_TABLE
 from ..session import delete_siblings, durable, list_names, temporary_tables, touch
 from ..settings import Settings
 from ..sources.tables import read_window_table
-from ..sources.topics import in_arrival_order, read_trade_stream, topic_sink_options
+from ..sources.topics import in_arrival_order, read_trade_stream, topic_sink_options, with_short_arrival
 from .state import mark_batch, no_memory
 
 Trigger = Mapping[str, object]
@@ -106,15 +106,22 @@ def start_ingest(
             placed = in_arrival_order(batch) if arrival else batch
             checked = durable(validate_trades(unwrap_messages(placed, value)).drop("raw", "parse_ok"))
             accepted, refused = split_rejects(checked)
+            # The order of arrival leaves no ties for the text to break.
+            apart = order == ["arrival"]
+            accepted = with_short_arrival(accepted) if apart else accepted
             memory = carried("memory", batch_id)
-            marked, memory = mark_batch(accepted, no_memory(spark) if memory is None else memory, horizon, threshold_pct, order)
-            marked = durable(marked)
+            marked, memory = mark_batch(
+                accepted.drop(value) if apart else accepted, no_memory(spark) if memory is None else memory, horizon, threshold_pct, order
+            )
             clean = to_records(enrich_trades(marked.filter("not is_duplicate"), source))
             if to_topic:
                 clean.write.format("kafka").options(**topic_sink_options(settings, C.CLEAN_TOPIC)).save()
             else:
                 keep(clean, settings.output_path(C.CLEAN_TOPIC), batch_id)
             copies = marked.filter("is_duplicate").withColumn("reject_reason", F.lit(C.DUPLICATE))
+            if apart:
+                copies = durable(copies).join(accepted.select("arrival", value), "arrival").drop("arrival")
+                refused = refused.drop("arrival")
             rejects = refused.unionByName(copies, allowMissingColumns=True)
             seen = Observation("rejects")
             counted = rejects.observe(seen, *[F.count_if(F.col("reject_reason") == r).alias(r) for r in C.REJECT_REASONS])

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..operators.blocks import total_order
-from ..operators.dedup import mark_duplicates
-from ..operators.spikes import ARRIVAL, flag_spikes
+from ..operators.blocks import PART, POS, total_order
+from ..operators.dedup import place_duplicates
+from ..operators.spikes import ARRIVAL, flag_placed
 from ..session import durable
 
 #: The last accepted trades of each symbol; ``_seq`` ascends with their order.
@@ -36,18 +36,16 @@ def mark_batch(
     previous accepted trade) to a batch of valid trades, and give the memory to carry on.
 
     The remembered trades go ahead of the batch as if they were part of it; batch operators do the rest, so a hot symbol is
-    cut into parts like any table. The memory holds ``horizon`` rows a symbol at most.
+    cut into parts like any table. They are sorted once, for ids, prices and memory. The memory holds ``horizon`` rows a
+    symbol at most. The order reads ``valid`` three times: hand over a stored table.
     """
     past = memory.withColumn("_new", F.lit(False))
     rows = valid.withColumn("_new", F.lit(True)).unionByName(past, allowMissingColumns=True)
     order = ["_new", "_seq", *order_by]
-    marked = durable(mark_duplicates(durable(rows), horizon, order))
-    accepted = marked.filter("not is_duplicate")
-    spikes = durable(flag_spikes(accepted, threshold_pct, order))
-    copies = marked.filter("is_duplicate").withColumn("is_price_spike", F.lit(False))
-    result = spikes.unionByName(copies).filter("_new").drop("_new", "_seq")
+    marked = durable(flag_placed(place_duplicates(rows, horizon, total_order(rows, order)), threshold_pct))
+    result = marked.filter("_new").drop("_new", "_seq", PART, POS)
     # Spark keeps so many rows of a symbol in each task before they meet.
-    newest = Window.partitionBy("symbol").orderBy(*[F.col(c).desc() for c in total_order(accepted, order)])
-    kept = accepted.withColumn("_age", F.row_number().over(newest)).filter(F.col("_age") <= horizon)
+    newest = Window.partitionBy("symbol").orderBy(F.col(PART).desc(), F.col(POS).desc())
+    kept = marked.filter("not is_duplicate").withColumn("_age", F.row_number().over(newest)).filter(F.col("_age") <= horizon)
     kept = kept.select("symbol", (-F.col("_age")).cast("bigint").alias("_seq"), "trade_id", "price")
     return Marked(result, kept)

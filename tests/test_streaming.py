@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeflow import constants as C
+from tapeflow.operators import blocks
 from tapeflow.operators import price_state as PS
 from tapeflow.operators import windows as W
 from tapeflow.operators.ingest import split_rejects, unwrap_messages, validate_trades
@@ -18,8 +19,9 @@ from tapeflow.session import durable, durable_dir
 from tapeflow.settings import Settings
 from tapeflow.sources.synthetic import BASE_PRICES, synth_window_tables
 from tapeflow.sources.tables import read_window_table
-from tapeflow.sources.topics import read_trade_messages, read_trade_stream
+from tapeflow.sources.topics import read_trade_messages, read_trade_stream, with_short_arrival
 from tapeflow.schemas import SLIDING_TABLE
+from tapeflow.streaming.state import mark_batch, no_memory
 from tapeflow.streaming import jobs
 from tapeflow.streaming.backfill import close_windows, open_windows, whole_table
 
@@ -360,3 +362,36 @@ def test_price_models_are_merged(spark, settings):
     # A window behind later ones: all is fitted again.
     refresh(tumbling.filter((minute == 20) & (F.col("symbol") == "BTCUSDT")))
     assert models() == whole(tumbling.filter(minute < 50))
+
+
+def test_a_micro_batch_is_sorted_once_for_ids_prices_and_memory(spark, trades, monkeypatch):
+    draw = random.Random(3)
+    rows = [(draw.choice("AAB"), draw.uniform(98, 103), n, draw.randrange(60)) for n in range(200)]
+    sorts, sort = [], blocks.range_parts
+    monkeypatch.setattr(blocks, "range_parts", lambda *a, **k: sorts.append(a) or sort(*a, **k))
+    valid = durable(trades(*rows).select("symbol", "price", "quantity", "timestamp_ms", "trade_id"))
+    marked, memory = mark_batch(valid, no_memory(spark), 20)
+    got = {r.timestamp_ms: (r.is_duplicate, r.is_price_spike) for r in marked.collect()}
+    assert len(sorts) == 1
+    ids, last, expected = {}, {}, {}
+    for symbol, price, at, trade_id in rows:
+        mine = ids.setdefault(symbol, [])
+        copy = trade_id in mine[-20:]
+        spike = not copy and symbol in last and abs(price - last[symbol]) / last[symbol] * 100 > 2
+        expected[at] = (copy, spike)
+        if not copy:
+            mine.append(trade_id)
+            last[symbol] = price
+    assert got == expected
+    kept = sorted((r.symbol, r._seq, r.trade_id) for r in memory.collect())
+    assert kept == sorted((s, -n, i) for s, mine in ids.items() for n, i in enumerate(mine[::-1][:20], 1))
+
+
+def test_short_arrival_keeps_the_order(spark, tmp_path):
+    for name in ("b", "a", "c"):
+        (tmp_path / name).write_text("".join(f"{name}{n}\n" for n in range(5)))
+    table = durable(read_trade_messages(spark, json_dir=str(tmp_path), arrival=True))
+    short = with_short_arrival(table)
+    assert [f.name for f in short.schema["arrival"].dataType] == ["block", "row"]
+    texts = [[r.json_str for r in t.orderBy("arrival").collect()] for t in (table, short)]
+    assert texts[0] == texts[1] == [f"{c}{n}" for c in "abc" for n in range(5)]
