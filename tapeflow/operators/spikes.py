@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import columns as X
+from ..session import durable
 from . import blocks as B
 
 ARRIVAL = ("timestamp_ms", "trade_id")
@@ -45,3 +46,19 @@ def flag_placed(parts: DataFrame, threshold_pct: float = C.SPIKE_THRESHOLD_PCT)
     rows = B.with_previous(parts.drop("is_price_spike"), "symbol", "price", "_previous", kept)
     spike = kept & X.is_spike(F.col("price"), F.col("_previous"), threshold_pct)
     return rows.withColumn("is_price_spike", spike).drop("_previous")
+
+
+def flag_across(parts: DataFrame, threshold_pct: float = C.SPIKE_THRESHOLD_PCT) -> DataFrame:
+    """The same for parts in any order, in which symbols alternate: a part hands the last price of each of its symbols on."""
+    kept = ~F.col("is_duplicate")
+    columns = [c for c in parts.columns if c != "is_price_spike"]
+    tails = parts.filter(kept).groupBy(B.PART, "symbol").agg(F.max_by("price", B.POS).alias("_edge"))
+    edge = F.lag("_edge").over(Window.partitionBy("symbol").orderBy(B.PART))
+    edges = durable(tails.select(F.col(B.PART).alias("_at"), F.col("symbol").alias("_symbol"), edge.alias("_edge")))
+    inside = Window.partitionBy(B.PART, "symbol").orderBy(B.POS).rowsBetween(Window.unboundedPreceding, -1)
+    near = F.last(F.when(kept, F.struct("price")), ignorenulls=True).over(inside)
+    same = (F.col(B.PART) == F.col("_at")) & F.col("symbol").eqNullSafe(F.col("_symbol"))
+    rows = parts.select(*columns, near.alias("_near")).join(edges, same, "left")
+    previous = F.when(F.col("_near").isNull(), F.col("_edge")).otherwise(F.col("_near.price"))
+    spike = kept & X.is_spike(F.col("price"), previous, threshold_pct)
+    return rows.select(*columns, spike.alias("is_price_spike"))

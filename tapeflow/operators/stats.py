@@ -10,8 +10,10 @@ from .. import constants as C
 from ..functions import columns as X
 from ..session import durable
 from . import blocks as B
-from .spikes import ARRIVAL
+from .spikes import ARRIVAL, flag_across
 
+_ORDER = ("symbol", "is_duplicate", "price", "quantity")
+_COUNT = "_accepted"
 _SUMS = ("trades", "_price_sum", "total_value", "duplicates", "spikes")
 
 
@@ -60,6 +62,17 @@ def _stats(rows: DataFrame) -> DataFrame:
     )
 
 
+def place_trades(
+    marked: DataFrame, threshold_pct: float = C.SPIKE_THRESHOLD_PCT, order_by: Sequence[str] = ARRIVAL
+) -> DataFrame:
+    """Trades with ``is_duplicate`` as :func:`running_totals` takes them without sorting again: as parts in ``order_by``
+    with ``is_price_spike`` and the accepted trades of the part so far. Hand over a stored table, and store the result."""
+    order = list(dict.fromkeys([*order_by, *_ORDER]))
+    parts = B.range_parts(marked.select(*order), order)
+    inside = Window.partitionBy(B.PART).orderBy(B.POS).rowsBetween(Window.unboundedPreceding, 0)
+    return flag_across(parts.withColumn(_COUNT, F.sum((~F.col("is_duplicate")).cast("bigint")).over(inside)), threshold_pct)
+
+
 class Totals(NamedTuple):
     """Statistics of a batch of trades: the intervals in which they hold, and what the next batch goes on from."""
 
@@ -76,16 +89,17 @@ def running_totals(
 ) -> Totals:
     """Statistics of every symbol after each ``interval``-th accepted trade, counted over all symbols in ``order_by``.
 
-    ``marked`` holds the valid trades with ``is_duplicate`` and ``is_price_spike``; hand over a stored table. A
-    symbol has one row for each snapshot that found it changed, valid ``from_trades`` to ``to_trades`` (null while
+    ``marked`` holds the valid trades with ``is_duplicate`` and ``is_price_spike``, or is the result of
+    :func:`place_trades` with the same order; hand over a stored table. A symbol has one row for each snapshot that found it changed, valid ``from_trades`` to ``to_trades`` (null while
     nothing newer is known). ``carried`` is what an earlier batch left: the count goes on from there.
 
     The count comes from range parts and their offsets, and totals are carried over spans of ``span`` snapshots, so no
     task sees more than a part or a span.
     """
     # Only what the statistics use; rows that tie in all of it are interchangeable.
-    order = list(dict.fromkeys([*order_by, "symbol", "is_duplicate", "price", "quantity", "is_price_spike"]))
-    parts = B.range_parts(marked.select(*order), order)
+    order = list(dict.fromkeys([*order_by, *_ORDER, "is_price_spike"]))
+    placed = _COUNT in marked.columns
+    parts = marked if placed else B.range_parts(marked.select(*order), order)
     accepted = (~F.col("is_duplicate")).cast("bigint")
     offsets = B.part_offsets(parts, accepted)
     before = 0 if carried is None else carried.agg(F.sum("trades")).first()[0] or 0
@@ -93,7 +107,8 @@ def running_totals(
     snapshots = total // interval
 
     inside = Window.partitionBy(B.PART).orderBy(B.POS).rowsBetween(Window.unboundedPreceding, 0)
-    counted = parts.join(offsets, B.PART).withColumn("_count", F.lit(before) + F.col("_offset") + F.sum(accepted).over(inside))
+    in_part = F.col(_COUNT) if placed else F.sum(accepted).over(inside)
+    counted = parts.join(offsets, B.PART).withColumn("_count", F.lit(before) + F.col("_offset") + in_part)
     # A duplicate that follows the last trade of a snapshot belongs to the next one.
     number = F.floor((F.col("_count") - F.when(F.col("is_duplicate"), 0).otherwise(1)) / interval)
     price = F.when(~F.col("is_duplicate"), F.col("price"))

@@ -193,20 +193,26 @@ def symbol_stats(spark, sf_dir):
     return S.symbol_stats(marked.filter("not is_duplicate"), rejects)
 
 
+def stats_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All trades, marked, with the columns that running statistics use. Trades that tie in these are interchangeable."""
+    trades = lineitem(spark, sf_dir).select("symbol", "price", "quantity", "timestamp_ms", "trade_id")
+    return durable(pipelines.mark_trades(trades, placed=True))
+
+
 @query(digits=2)
 def stats_snapshots(spark, sf_dir):
-    return S.stats_snapshots(durable(pipelines.mark_trades(lineitem(spark, sf_dir))))
+    return S.stats_snapshots(stats_trades(spark, sf_dir))
 
 
 @query(digits=2)
 def stats_intervals(spark, sf_dir):
-    marked = durable(pipelines.mark_trades(lineitem(spark, sf_dir)))
+    marked = stats_trades(spark, sf_dir)
     return S.running_totals(marked).intervals.fillna(-1, ["to_trades"])
 
 
 @query(digits=2)
 def stats_as_of(spark, sf_dir):
-    marked = durable(pipelines.mark_trades(lineitem(spark, sf_dir)))
+    marked = stats_trades(spark, sf_dir)
     return S.stats_at(durable(S.running_totals(marked).intervals), 3_750)
 
 

@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..operators.dedup import mark_duplicates
+from ..operators.blocks import PART, POS, total_order
+from ..operators.dedup import mark_duplicates, place_duplicates
 from ..operators.forest import detect_anomalies
 from ..operators.ingest import enrich_trades, split_rejects, unwrap_messages, validate_trades
 from ..operators.regression import predict_prices, prediction_error
 from ..operators.reports import filter_symbols
-from ..operators.spikes import ARRIVAL, flag_spikes
+from ..operators.spikes import ARRIVAL, flag_placed, flag_spikes
+from ..operators.stats import place_trades
 from ..operators.windows import aggregate_sliding, aggregate_tumbling, clean_trades
 from ..session import durable
 
@@ -27,9 +29,16 @@ def mark_trades(
     horizon: int | None = None,
     threshold_pct: float = C.SPIKE_THRESHOLD_PCT,
     order_by: Sequence[str] = ARRIVAL,
+    placed: bool = False,
 ) -> DataFrame:
     """Valid trades with ``is_duplicate`` and ``is_price_spike``, the batch form of the keyed
-    stream state: a spike is measured against the previous trade that is not a duplicate."""
+    stream state: a spike is measured against the previous trade that is not a duplicate. ``placed`` gives the columns
+    that running statistics use, by :func:`stats.place_trades`, with one sort for spikes and totals."""
+    if placed:
+        return place_trades(durable(mark_duplicates(valid, horizon, order_by)), threshold_pct, order_by)
+    if horizon is not None:  # one sort is enough for both
+        placed = place_duplicates(valid, horizon, total_order(valid, order_by))
+        return durable(flag_placed(placed, threshold_pct).drop(PART, POS))
     marked = durable(mark_duplicates(valid, horizon, order_by))
     kept = flag_spikes(marked.filter(~F.col("is_duplicate")), threshold_pct, order_by)
     copies = marked.filter("is_duplicate").withColumn("is_price_spike", F.lit(False))

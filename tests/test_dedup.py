@@ -4,6 +4,7 @@ from collections import deque
 import pytest
 
 from tapeflow.operators import dedup as D
+from tapeflow.session import durable
 
 
 def brute_force(rows, horizon):
@@ -95,3 +96,17 @@ def test_window_rows(spark):
         AS t(symbol, window_start, window_end, trade_count, avg_price)"""
     ).to(spark.createDataFrame([], schema).schema)
     assert sorted(r.avg_price for r in D.dedup_windows(table).collect()) == [3.0, 4.0]
+
+
+def test_ids_are_marked_in_one_shuffle_unless_hot(trades, monkeypatch):
+    rows = [("A", 1.0, n, 7) for n in range(300)] + [("B", 1.0, n, n % 40) for n in range(100)]
+    table = durable(trades(*rows))
+    marked = D.mark_duplicates(table)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1
+    expected = sorted((r.symbol, r.timestamp_ms, r.is_duplicate) for r in marked.collect())
+    assert expected == sorted([("A", n, n > 0) for n in range(300)] + [("B", n, n >= 40) for n in range(100)])
+    monkeypatch.setattr(D, "_COPIES", 10)  # ids in buckets of more than 80 rows are hot
+    assert D._hot_buckets(table)
+    hot = D.mark_duplicates(table)
+    assert expected == sorted((r.symbol, r.timestamp_ms, r.is_duplicate) for r in hot.collect())

@@ -3,8 +3,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tapeflow.operators import blocks as B
 from tapeflow.operators import stats as S
 from tapeflow.plans.pipelines import mark_trades
+from tapeflow.session import durable
 
 
 def simulate(rows, interval):
@@ -49,6 +51,24 @@ def test_snapshots(trades, interval, span):
     assert len(got) == len(expected) and mine == expected
 
 
+def test_one_sort_serves_spikes_and_totals(trades, monkeypatch):
+    draw = random.Random(5)
+    rows = [
+        (draw.choice(["A", "A", "B", None]), draw.choice([draw.uniform(99, 103)] * 9 + [None]), draw.randrange(90), draw.randrange(150))
+        for _ in range(400)
+    ]
+    table = durable(trades(*rows).select("symbol", "price", "quantity", "timestamp_ms", "trade_id"))
+    apart = S.running_totals(durable(mark_trades(table)), 7)
+    sorts, sort = [], B.range_parts
+    monkeypatch.setattr(B, "range_parts", lambda *a, **k: sorts.append(a) or sort(*a, **k))
+    once = S.running_totals(durable(mark_trades(table, placed=True)), 7)
+    assert len(sorts) == 1
+    shown = [c for c in once.intervals.columns if c not in ("avg_price", "total_value")]
+    for a, b in ((apart.intervals, once.intervals), (apart.carried, once.carried)):
+        names = [c for c in shown if c in a.columns]
+        assert sorted(map(repr, a.select(*names).collect())) == sorted(map(repr, b.select(*names).collect()))
+
+
 def test_too_few_trades_give_no_snapshot(trades):
     assert S.stats_snapshots(mark_trades(trades(("A", 1.0, 1, 1)))).count() == 0
 
