@@ -64,12 +64,23 @@ def range_parts(
     )
 
 
-def part_offsets(parts: DataFrame, rows: Column | None = None) -> DataFrame:
+def part_offsets(parts: DataFrame, rows: Column | None = None, per: Sequence[str] = ()) -> DataFrame:
     """(``_part``, ``_offset``): how many rows, or how much of ``rows``, the parts before hold. One row per part, the only
-    place where all parts meet."""
-    sizes = parts.groupBy(PART).agg((F.count("*") if rows is None else F.sum(rows)).alias("_n"))
-    ahead = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    return durable(sizes.select(PART, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_offset")))
+    place where all parts meet. ``per`` counts for each value of these columns, for parts in which they alternate."""
+    sizes = parts.groupBy(PART, *per).agg((F.count("*") if rows is None else F.sum(rows)).alias("_n"))
+    ahead = Window.partitionBy(*per).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    return durable(sizes.select(PART, *per, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_offset")))
+
+
+def with_offsets(parts: DataFrame, offsets: DataFrame, per: Sequence[str] = ()) -> DataFrame:
+    """Parts with the ``_offset`` of :func:`part_offsets`, null values of ``per`` included."""
+    if not per:
+        return parts.join(offsets, PART)
+    same = F.col(PART) == F.col("_at")
+    for c in per:
+        same = same & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
+    offsets = offsets.select(F.col(PART).alias("_at"), *[F.col(c).alias(f"_at_{c}") for c in per], "_offset")
+    return parts.join(offsets, same).drop("_at", *[f"_at_{c}" for c in per])
 
 
 def with_previous(parts: DataFrame, key: str, value: str, name: str, where: Column | None = None) -> DataFrame:

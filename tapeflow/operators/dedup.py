@@ -96,6 +96,29 @@ def place_duplicates(df: DataFrame, horizon: int, order: Sequence[str]) -> DataF
     parts = B.range_parts(df, ["symbol", *[c for c in order if c != "symbol"]])
     places = parts.select(*KEY, B.PART, B.POS).join(B.part_offsets(parts), B.PART)
     places = places.select(*KEY, B.PART, B.POS, (F.col("_offset") + F.col(B.POS)).alias("_place"))
+    return _mark(parts, _copies(places, horizon))
+
+
+def duplicates_across(parts: DataFrame, horizon: int) -> DataFrame:
+    """The same for rows that are in order already, as parts in which symbols alternate, with ``_part`` and ``_pos``: nothing
+    is sorted over all rows, places are counted symbol by symbol."""
+    inside = Window.partitionBy(B.PART, "symbol").orderBy(B.POS)
+    placed = durable(parts.withColumn("_place", F.row_number().over(inside).cast("bigint")))
+    places = B.with_offsets(placed.select(*KEY, B.PART, B.POS, "_place"), B.part_offsets(placed, per=["symbol"]), ["symbol"])
+    places = places.select(*KEY, B.PART, B.POS, (F.col("_offset") + F.col("_place")).alias("_place"))
+    return _mark(placed.drop("_place"), _copies(places, horizon, ["symbol"]))
+
+
+def _mark(parts: DataFrame, copies: DataFrame) -> DataFrame:
+    return (
+        parts.join(copies, [B.PART, B.POS], "left")
+        .withColumn("is_duplicate", F.coalesce("_copy", F.lit(False)))
+        .drop("_copy")
+    )
+
+
+def _copies(places: DataFrame, horizon: int, per: Sequence[str] = ()) -> DataFrame:
+    """Part and place of the duplicates. ``per`` tells that places and parts are those of a symbol."""
     counts = places.groupBy(*[F.col(c).alias(f"_{c}") for c in KEY]).agg(F.count("*").alias("_copies"))
     again = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in KEY]
     span = max(_COPIES, min(16 * horizon, 64 * _COPIES))
@@ -105,24 +128,19 @@ def place_duplicates(df: DataFrame, horizon: int, order: Sequence[str]) -> DataF
     )
     rows = durable(rows)
     while True:
-        rows = durable(_decide(_with_duplicates_before(rows), horizon))
+        rows = durable(_decide(_with_duplicates_before(rows, per), horizon))
         if rows.filter(F.col("_copy") != F.col("_was")).isEmpty():
             break
         rows = rows.drop("_was")
-    copies = rows.filter("_copy").select(B.PART, B.POS, "_copy")
-    return (
-        parts.join(copies, [B.PART, B.POS], "left")
-        .withColumn("is_duplicate", F.coalesce("_copy", F.lit(False)))
-        .drop("_copy")
-    )
+    return rows.filter("_copy").select(B.PART, B.POS, "_copy")
 
 
-def _with_duplicates_before(rows: DataFrame) -> DataFrame:
+def _with_duplicates_before(rows: DataFrame, per: Sequence[str] = ()) -> DataFrame:
     """``_free``: the place of a row less the duplicates among the rows before it."""
     copy = F.col("_copy").cast("bigint")
-    inside = Window.partitionBy(B.PART).orderBy(B.POS).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(B.PART, *per).orderBy(B.POS).rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("_offset") + F.coalesce(F.sum(copy).over(inside), F.lit(0))
-    counted = rows.join(B.part_offsets(rows, copy), B.PART)
+    counted = B.with_offsets(rows, B.part_offsets(rows, copy, per), per)
     return counted.withColumn("_free", F.col("_place") - before).drop("_offset")
 
 

@@ -68,7 +68,11 @@ def place_trades(
     """Trades with ``is_duplicate`` as :func:`running_totals` takes them without sorting again: as parts in ``order_by``
     with ``is_price_spike`` and the accepted trades of the part so far. Hand over a stored table, and store the result."""
     order = list(dict.fromkeys([*order_by, *_ORDER]))
-    parts = B.range_parts(marked.select(*order), order)
+    return count_placed(B.range_parts(marked.select(*order), order), threshold_pct)
+
+
+def count_placed(parts: DataFrame, threshold_pct: float = C.SPIKE_THRESHOLD_PCT) -> DataFrame:
+    """The same for trades that are such parts already, with all their columns."""
     inside = Window.partitionBy(B.PART).orderBy(B.POS).rowsBetween(Window.unboundedPreceding, 0)
     return flag_across(parts.withColumn(_COUNT, F.sum((~F.col("is_duplicate")).cast("bigint")).over(inside)), threshold_pct)
 
@@ -90,7 +94,7 @@ def running_totals(
     """Statistics of every symbol after each ``interval``-th accepted trade, counted over all symbols in ``order_by``.
 
     ``marked`` holds the valid trades with ``is_duplicate`` and ``is_price_spike``, or is the result of
-    :func:`place_trades` with the same order; hand over a stored table. A symbol has one row for each snapshot that found it changed, valid ``from_trades`` to ``to_trades`` (null while
+    :func:`place_trades` or :func:`count_placed` with the same order; hand over a stored table. A symbol has one row for each snapshot that found it changed, valid ``from_trades`` to ``to_trades`` (null while
     nothing newer is known). ``carried`` is what an earlier batch left: the count goes on from there.
 
     The count comes from range parts and their offsets, and totals are carried over spans of ``span`` snapshots, so no

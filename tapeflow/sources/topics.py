@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..session import durable
 from ..settings import Settings
 
+BLOCK_ROWS = 1 << 16
+
 
 def topic_options(settings: Settings) -> dict[str, str]:
     """Reader options of the topic source. The connector is a package of the Spark project that
@@ -90,12 +92,17 @@ def in_arrival_order(messages: DataFrame) -> DataFrame:
 
 
 def with_short_arrival(stored: DataFrame) -> DataFrame:
-    """A stored table with the complete ``arrival`` of files as two numbers in the same order, the block and the row: paths
-    are long to carry and to compare. Blocks meet in one place, a row each. The ``arrival`` of a topic stays."""
-    if "path" not in stored.schema["arrival"].dataType.names:
-        return stored
-    blocks = stored.select(F.struct("arrival.path", "arrival.start").alias("_at")).distinct()
-    number = F.row_number().over(Window.orderBy("_at")).alias("_block")
-    at = F.struct("arrival.path", "arrival.start")
-    numbered = stored.withColumn("_at", at).join(durable(blocks.select("_at", number)), "_at")
+    """A stored table with the complete ``arrival`` as two numbers in the same order, the block and the row: paths are long to
+    carry and to compare. A block is a run of rows that one task read in their order, of a file or a partition, and holds
+    ``BLOCK_ROWS`` at most, however large a file is. Blocks meet in one place, a row each."""
+    names = stored.schema["arrival"].dataType.names
+    at = [F.col(f"arrival.{n}").alias(f"_{n}") for n in names if n not in ("offset", "row")]
+    at.append(F.floor(F.col("arrival.row") / BLOCK_ROWS).alias("_run"))
+    rows = stored.withColumn("_at", F.struct(*at))
+    first = F.min("arrival.offset" if "offset" in names else "arrival.row").alias("_first")
+    blocks = rows.groupBy("_at").agg(first).select("_at.*", "_first")
+    order = [c for c in blocks.columns if c not in ("_run", "_first")]
+    number = F.row_number().over(Window.orderBy(*order, "_first")).cast("bigint").alias("_block")
+    blocks = durable(blocks.select(F.struct(*[c for c in blocks.columns if c != "_first"]).alias("_at"), number))
+    numbered = rows.join(blocks, "_at")
     return numbered.withColumn("arrival", F.struct(F.col("_block").alias("block"), "arrival.row")).select(*stored.columns)

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQue
 
 from .. import constants as C
 from ..operators.ingest import enrich_trades, split_rejects, to_records, unwrap_messages, validate_trades
+from ..operators.blocks import PART, POS
 from ..operators.dedup import dedup_windows
 from ..operators.price_state import PriceState, merge_windows, no_prices, out_of_order, predict_from_state
 from ..operators.spikes import ARRIVAL
@@ -106,12 +107,14 @@ def start_ingest(
             placed = in_arrival_order(batch) if arrival else batch
             checked = durable(validate_trades(unwrap_messages(placed, value)).drop("raw", "parse_ok"))
             accepted, refused = split_rejects(checked)
-            # The order of arrival leaves no ties for the text to break.
+            # Rows are read in the order of arrival, so they need no sort, and it leaves no ties for the text to break.
             apart = order == ["arrival"]
-            accepted = with_short_arrival(accepted) if apart else accepted
+            if apart:
+                at = {PART: F.col("arrival.block"), POS: F.col("arrival.row")}
+                accepted = with_short_arrival(accepted.drop(value)).withColumns(at).drop("arrival")
             memory = carried("memory", batch_id)
             marked, memory = mark_batch(
-                accepted.drop(value) if apart else accepted, no_memory(spark) if memory is None else memory, horizon, threshold_pct, order
+                accepted, no_memory(spark) if memory is None else memory, horizon, threshold_pct, order
             )
             clean = to_records(enrich_trades(marked.filter("not is_duplicate"), source))
             if to_topic:
@@ -120,7 +123,9 @@ def start_ingest(
                 keep(clean, settings.output_path(C.CLEAN_TOPIC), batch_id)
             copies = marked.filter("is_duplicate").withColumn("reject_reason", F.lit(C.DUPLICATE))
             if apart:
-                copies = durable(copies).join(accepted.select("arrival", value), "arrival").drop("arrival")
+                # A row has its number in the whole micro-batch.
+                copies = durable(copies.select("symbol", "trade_id", "timestamp_ms", "reject_reason", POS))
+                copies = copies.join(checked.select(F.col("arrival.row").alias(POS), value), POS).drop(POS)
                 refused = refused.drop("arrival")
             rejects = refused.unionByName(copies, allowMissingColumns=True)
             seen = Observation("rejects")

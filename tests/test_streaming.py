@@ -19,6 +19,7 @@ from tapeflow.session import durable, durable_dir
 from tapeflow.settings import Settings
 from tapeflow.sources.synthetic import BASE_PRICES, synth_window_tables
 from tapeflow.sources.tables import read_window_table
+from tapeflow.sources import topics
 from tapeflow.sources.topics import read_trade_messages, read_trade_stream, with_short_arrival
 from tapeflow.schemas import SLIDING_TABLE
 from tapeflow.streaming.state import mark_batch, no_memory
@@ -395,3 +396,52 @@ def test_short_arrival_keeps_the_order(spark, tmp_path):
     assert [f.name for f in short.schema["arrival"].dataType] == ["block", "row"]
     texts = [[r.json_str for r in t.orderBy("arrival").collect()] for t in (table, short)]
     assert texts[0] == texts[1] == [f"{c}{n}" for c in "abc" for n in range(5)]
+
+
+def test_short_arrival_follows_the_offsets_of_a_topic(spark, monkeypatch):
+    monkeypatch.setattr(topics, "BLOCK_ROWS", 4)
+    # Two tasks read partition 0, the later one its first offsets; offsets have gaps.
+    places = [(0, 100 + 3 * n, n) for n in range(10)] + [(0, 2 * n, (1 << 33) + n) for n in range(9)] + [(1, n, (2 << 33) + n) for n in range(5)]
+    table = spark.createDataFrame([(p,) for p in places], "arrival struct<partition: int, offset: bigint, row: bigint>")
+    short = with_short_arrival(durable(table.withColumn("place", F.col("arrival"))))
+    assert [tuple(r.place) for r in short.orderBy("arrival").collect()] == sorted(places)
+    assert short.select("arrival.block").distinct().count() == 3 + 3 + 2
+
+
+@pytest.mark.parametrize("horizon", [2, 9])
+def test_messages_in_order_of_arrival_are_not_sorted(spark, feed, settings, monkeypatch, horizon):
+    sorts, sort = [], blocks.range_parts
+    monkeypatch.setattr(blocks, "range_parts", lambda *a, **k: sorts.append(a) or sort(*a, **k))
+    monkeypatch.setattr(topics, "BLOCK_ROWS", 8)
+    draw = random.Random(horizon)
+    ids, last, totals, clean, copies, snapshots, n = {}, {}, {}, [], [], [], 0
+    for _ in range(6):
+        lines = []
+        for _ in range(40):
+            symbol, price, trade_id = draw.choice("AAAB") if n % 50 < 35 else "C", draw.uniform(98, 102), draw.randrange(12)
+            lines.append(raw(symbol, price, NOON + draw.randrange(10**6), trade_id))
+            mine, seen = ids.setdefault(symbol, []), totals.setdefault(symbol, [0, 0, 0])
+            if trade_id in mine[-horizon:]:
+                seen[1] += 1
+                copies.append((symbol, trade_id, json.dumps(lines[-1])))
+            else:
+                spike = symbol in last and abs(price - last[symbol]) / last[symbol] * 100 > 2
+                clean.append((symbol, trade_id, price, spike))
+                mine.append(trade_id)
+                last[symbol] = price
+                seen[0], seen[2], n = seen[0] + 1, seen[2] + spike, n + 1
+                if n % 5 == 0:
+                    snapshots += [(n, s, *t) for s, t in totals.items()]
+            if draw.random() < 0.2:
+                lines.append(raw(symbol, 0, NOON, trade_id))
+        feed.add(*lines)
+    stream = read_trade_stream(spark, json_dir=str(feed.path), max_per_trigger=2, arrival=True)
+    jobs.start_ingest(stream, settings, horizon=horizon, interval=5, trigger=NOW).awaitTermination()
+    assert not sorts
+    records = W.parse_clean_trades(spark.read.parquet(settings.output_path(C.CLEAN_TOPIC)), "value")
+    assert rows(records.select("symbol", "trade_id", "price", "is_price_spike")) == sorted(clean)
+    rejects = spark.read.parquet(settings.output_path("rejects")).filter("reject_reason = 'duplicate'")
+    assert rows(rejects.select("symbol", "trade_id", "json_str")) == sorted(copies)
+    intervals = spark.read.parquet(settings.output_path("stats_intervals")).drop("batch")
+    moments = every_snapshot(intervals, 5).filter("trades + duplicates > 0")
+    assert rows(moments.select("after_trades", "symbol", "trades", "duplicates", "spikes")) == sorted(snapshots)
